@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1 << 21
 
@@ -51,9 +52,11 @@ def drop(spark: SparkSession, *paths: str) -> None:
 
 
 def only(df: DataFrame, *names: str) -> DataFrame:
-    """The named columns by exact name; extra columns, also ones that clash only by
-    case with others, never reach the operator."""
-    return df.select(*[df[f"`{n}`"] for n in names])
+    """The named columns by exact name, found by position: extra columns never reach the
+    operator, not even ones whose names differ by case alone."""
+    have = df.columns
+    plain = df.toDF(*[f"c{i}" for i in range(len(have))])
+    return plain.select(*[F.col(f"c{have.index(n)}").alias(n) for n in names])
 
 
 # ---------------------------------------------------------------- word kernels

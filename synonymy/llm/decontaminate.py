@@ -95,7 +95,7 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, int]:
     return score, matches, int(i), int(k), end
 
 
-def _aligned(items: Items, least: float, least_matches: int):
+def _aligned(items: Items, least: float, least_matches: int, rows_too: bool = False):
     def found(w: Words, h: np.ndarray) -> Iterator[tuple]:
         g, at = windows(h, w.doc, SEED_WORDS)
         maybe = np.flatnonzero(items.filter[(g & np.uint64(0xFFFF)).astype(np.int64)])
@@ -131,20 +131,30 @@ def _aligned(items: Items, least: float, least_matches: int):
                     q = int(p - w.first[w.doc[p]])
                     yield int(w.doc[p]), i, 1.0, len(words), len(words), 0, q, q + len(words)
 
+    def best(batch: pa.RecordBatch) -> list[tuple]:
+        w = Words(column(batch, "text"), ALNUM_WORDS)
+        top: dict[tuple[int, int], tuple] = {}
+        for x in found(w, w.hashes()):
+            if x[3] >= min(least_matches, x[4]) and x[2] >= least:
+                top[x[:2]] = max(top.get(x[:2], x), x, key=lambda y: (y[2], y[3], -y[6]))
+        return sorted(top.values())
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in chunks(whole):
+                keep = np.ones(batch.num_rows, bool)
+                keep[[x[0] for x in best(batch)]] = False
+                yield batch.filter(pa.array(keep))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in chunks(whole):
-                w = Words(column(batch, "text"), ALNUM_WORDS)
-                best: dict[tuple[int, int], tuple] = {}
-                for x in found(w, w.hashes()):
-                    if x[3] >= min(least_matches, x[4]) and x[2] >= least:
-                        best[x[:2]] = max(best.get(x[:2], x), x, key=lambda y: (y[2], y[3], -y[6]))
-                rows = sorted(best.values())
+                rows = best(batch)
                 ids = column(batch, "doc_id").take(pa.array([r[0] for r in rows], pa.int64()))
                 more = [pa.array([f(r) for r in rows], t) for f, t in ((lambda r: items.ids[r[1]], pa.int64()), (lambda r: r[2], pa.float64()), (lambda r: r[3], pa.int64()), (lambda r: r[4], pa.int64()), (lambda r: r[6], pa.int64()), (lambda r: r[7], pa.int64()))]
                 yield pa.RecordBatch.from_arrays([ids, *more], names=["doc_id", "item_id", "score", "n_matches", "item_words", "first_word", "end_word"])
 
-    return run
+    return clean if rows_too else run
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, least_matches: int = LEAST_MATCHES, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -157,10 +167,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCO
     more than ``block_words`` words is searched in blocks, so that what is broadcast
     stays below 16 bytes times ``block_words``.
     """
+    out = None
+    for block in _blocks(only(docs, "doc_id", "text"), benchmark, block_words):
+        part = only(docs, "doc_id", "text").mapInArrow(_aligned(block, least, least_matches), "doc_id long, item_id long, score double, n_matches long, item_words long, first_word long, end_word long")
+        out = part if out is None else out.union(part)
+    return out
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, least_matches: int = LEAST_MATCHES, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``contaminated`` does not list."""
+    for block in _blocks(only(docs, "doc_id", "text"), benchmark, block_words):
+        docs = docs.mapInArrow(_aligned(block, least, least_matches, rows_too=True), docs.schema)
+    return docs
+
+
+def _blocks(docs: DataFrame, benchmark: DataFrame, block_words: int) -> Iterator[Items]:
+    """The benchmark in blocks with their seeds; one block at least, maybe empty."""
     items = only(benchmark, "item_id", "text").where("item_id is not null and length(trim(text)) > 0")
     sizes = items.select(F.sum(F.size(F.split("text", r"\s+"))).alias("n")).first()["n"] or 0
     blocks = max(1, -(-sizes // block_words))
-    docs, out = only(docs, "doc_id", "text"), None
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
         block = Items([(r["item_id"], r["text"]) for r in rows])
@@ -170,9 +195,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCO
             got = counted.collect()  # at most a row for each word of the block
             counts, total = {r["word"]: r["n"] for r in got}, sum(r["total"] for r in got)
         block.seed(counts, total)
-        part = docs.mapInArrow(_aligned(block, least, least_matches), "doc_id long, item_id long, score double, n_matches long, item_words long, first_word long, end_word long")
-        out = part if out is None else out.union(part)
-    return out
+        yield block
 
 
 def op6_decontamination(spark, sf_dir):

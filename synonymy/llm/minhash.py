@@ -226,5 +226,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     return out
 
 
+def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``near_duplicates`` keeps."""
+    gone = near_duplicates(docs, k, percent).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+
+
 def op9_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), k=4, percent=80)

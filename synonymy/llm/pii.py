@@ -196,20 +196,15 @@ def _lookup(rows, key, value) -> Column:
     return F.create_map(*flat) if flat else F.expr("map('', 0.0D)")
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added for each row of ``docs`` (doc_id, text).
-
-    ``spans`` lists kind:start:end (code points, end exclusive) by start, then kind; the
-    counts and base_sha256 are those of the base rules.  A null or empty text has no
-    spans.  Null and repeated doc_ids are kept row by row.  Added spans never
-    overlap base ones.  Columns other than doc_id and text are ignored.
-    """
+def spans(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of ``docs`` with arrays base and added of (start, kind, end), by start and kind."""
     folder = scratch(docs.sparkSession)
-    table = cut(only(docs, "doc_id", "text").select("doc_id", candidates(F.col("text")).alias("cands")), folder, "candidates")
-    rows = table.where(F.size("cands") > 0).select(F.explode("cands").alias("c")).select("c.kind", "c.v1", "c.v2", "c.v3", "c.bins")
-    votes = cut(reliabilities(rows), folder, "votes")
+    rows = only(docs, *dict.fromkeys([*keep, "text"]))
+    table = cut(rows.select(*[F.col(f"`{c}`").alias(f"keep{i}") for i, c in enumerate(keep)], candidates(F.col("text")).alias("cands")), folder, "candidates")
+    cands = table.where(F.size("cands") > 0).select(F.explode("cands").alias("c")).select("c.kind", "c.v1", "c.v2", "c.v3", "c.bins")
+    votes = cut(reliabilities(cands), folder, "votes")
     post = votes.collect()  # at most 27 rows a kind
-    weights = classifier(rows, votes).collect()  # at most 46 rows a kind
+    weights = classifier(cands, votes).collect()  # at most 46 rows a kind
     posterior = _lookup(post, lambda r: f"{r['kind']}:{r['v1']}:{r['v2']}:{r['v3']}", lambda r: r["posterior"])
     weight = _lookup(weights, lambda r: f"{r['kind']}:{r['bin']}", lambda r: r["weight"])
 
@@ -222,16 +217,49 @@ def find(docs: DataFrame) -> DataFrame:
     threshold = F.log(F.lit(ACCEPT / (1 - ACCEPT)))
     base = F.filter("cands", lambda c: c["base"])
     # Only candidates that no base rule covers need a score, and only documents that have some.
-    added = F.filter("cands", lambda c: ~c["base"] & (score(c) >= threshold) & ~F.exists(F.filter("cands", lambda x: x["base"]), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    split = table.select("doc_id", base.alias("base"), F.when(F.size("cands") > 0, added).otherwise(F.filter("cands", lambda c: F.lit(False))).alias("added"))
-    name = F.array(*map(F.lit, KINDS))
+    open_ = F.filter("cands", lambda c: ~c["base"] & ~F.exists(F.filter("cands", lambda x: x["base"]), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    added = F.filter(open_, lambda c: score(c) >= threshold)
+    plain = lambda a: F.array_sort(F.array_distinct(F.transform(a, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))))
+    none = F.filter("cands", lambda c: F.lit(False))
+    found_ = F.when(F.exists("cands", lambda c: ~c["base"]), added).otherwise(none)
+    return table.select(*[F.col(f"keep{i}").alias(c) for i, c in enumerate(keep)], plain(base).alias("base"), plain(found_).alias("added"))
 
-    def joined(spans):
-        ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["kind"], s["end"])))
-        return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", F.get(name, s["kind"]), s["start"], s["end"])), ",")
 
+def find(docs: DataFrame) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added for each row of ``docs`` (doc_id, text).
+
+    ``spans`` lists kind:start:end (code points, end exclusive) by start, then kind; the
+    counts and base_sha256 are those of the base rules.  A null or empty text has no
+    spans.  Null and repeated doc_ids are kept row by row.  Added spans never
+    overlap base ones.  Columns other than doc_id and text are ignored.
+    """
+    name = F.array(*map(F.lit, KINDS))
+    joined = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", F.get(name, s["kind"]), s["start"], s["end"])), ",")
     counts = [F.size(_of_kind("base", i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
-    return split.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.array_distinct(F.concat(F.transform("base", lambda s: F.struct(s["start"], s["kind"], s["end"])), F.transform("added", lambda s: F.struct(s["start"], s["kind"], s["end"]))))).alias("spans"), F.size("added").cast("long").alias("n_added"))
+    every = F.array_sort(F.concat("base", "added"))
+    return spans(docs, ["doc_id"]).select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(every).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with each span of ``find`` replaced by its kind, as in [EMAIL]; n_chars, if there, follows.
+
+    Spans that overlap are one, under the name of the first.
+    """
+    keep = docs.columns
+    table = spans(docs, keep)
+    mark = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+
+    def step(acc, s):
+        out = F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int")), F.get(mark, s["kind"]))
+        fresh = s["start"] >= acc["at"]
+        return F.struct(F.greatest(acc["at"], s["end"].cast("int")).alias("at"), F.when(fresh, out).otherwise(acc["out"]).alias("out"))
+
+    every = F.array_sort(F.concat("base", "added"))
+    whole = F.aggregate(every, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
+    out = table.withColumn("text", F.when(F.size(every) > 0, whole).otherwise(F.col("text")))
+    if "n_chars" in keep:
+        out = out.withColumn("n_chars", F.when(F.size(every) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*keep)
 
 
 def op2_pii(spark, sf_dir):

@@ -191,16 +191,30 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> Lexi
     return lexicon
 
 
-def _scored(lexicon: Lexicon, keep: list[str]):
+def _scored(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in chunks(whole):
                 s = [lexicon.score(*lexicon.sums(x)) for x in column(batch, "text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(column(batch, c) for c in keep), pa.array(s, pa.float64())], names=[*keep, "score"])
+                yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(s, pa.float64())], names=["doc_id", "score"])
 
     return run
 
 
+def _tolerated(lexicon: Lexicon):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in chunks(whole):
+                yield batch.filter(pa.array([lexicon.score(*lexicon.sums(x)) < 0.5 for x in column(batch, "text").to_pylist()], pa.bool_()))
+
+    return run
+
+
+def tolerated(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``score`` does not predict toxic."""
+    return docs.mapInArrow(_tolerated(learn(docs, labels, most)), docs.schema)
+
+
 def score(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of ``docs`` (doc_id, text).
 
@@ -208,7 +222,7 @@ def score(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> Data
     (held_out null); repeated rows are scored each.  Labels that are null, unknown
     or contradictory teach nothing.  Other columns are ignored.
     """
-    out = only(docs, "doc_id", "text").mapInArrow(_scored(learn(docs, labels, most), ["doc_id"]), "doc_id long, score double")
+    out = only(docs, "doc_id", "text").mapInArrow(_scored(learn(docs, labels, most)), "doc_id long, score double")
     return out.select("doc_id", F.expr("crc32(cast(doc_id as string)) % 5 = 0").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
