@@ -6,10 +6,9 @@ large-star and small-star.
 
 Cost. Documents with equal sets collapse to one representative first, by an
 aggregation.  A band bucket of m representatives never yields m*m pairs: its most
-central member (the one with the most collisions) is paired with the others, and
-only members that the links found so far leave outside its component are paired
-with members of other components.  A bucket with a million near copies of one text
-thus costs a million pairs.
+central member (the one with the most collisions) is paired with the others.  Only
+members that these links leave outside its component are then compared with the
+group's other members, in blocks of bounded size out of which only links come.
 
 Chance of a lost link. With 32 bands of 4 rows a pair at similarity 0.8 shares no
 bucket with probability (1 - 0.8^4)^32 = 5e-8.  Signature verification drops a pair
@@ -30,6 +29,8 @@ from .common import SPACE_WORDS, Words, chunks, column, cut, drop, mix, only, sc
 
 BANDS, ROWS = 32, 4
 SIGNATURE_AGREEMENT = 0.6
+#: Shingle sets, in bytes, that are compared with as many others at once.
+BLOCK_BYTES = 1 << 20
 
 
 def shingle_sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -91,11 +92,13 @@ def signatures(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) ->
     return only(docs, "doc_id", "text").mapInArrow(_signer(k, bands, rows), "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary")
 
 
-def _sets(k: int):
+def _sets(k: int, out: str):
+    """Each document's id, under the name out, and its sorted set as bytes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in chunks(whole):
-                yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array([s.tobytes() for _, s in shingle_sets(batch, k)], pa.binary())], names=["id", "shingles"])
+                yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array([s.tobytes() for _, s in shingle_sets(batch, k)], pa.binary())], names=[out, "shingles"])
 
     return run
 
@@ -131,7 +134,7 @@ def links(docs: DataFrame, pairs: DataFrame, sigs: DataFrame, k: int, percent: i
     likely = cut(likely, folder, f"likely{tag}")
     ids = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
     sets = cut(
-        only(docs, "doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(_sets(k), "id long, shingles binary").dropDuplicates(["id"]),
+        only(docs, "doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(_sets(k, "id"), "id long, shingles binary").dropDuplicates(["id"]),
         folder,
         f"sets{tag}",
     )
@@ -169,8 +172,64 @@ def components(edges: DataFrame, folder: str, most_rounds: int = 60) -> DataFram
     raise RuntimeError(f"components did not converge in {most_rounds} rounds")
 
 
-def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
-    return members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(*members.columns, F.coalesce("root", "rep").alias("comp"))
+def _block_links(percent: int):
+    """Links between two blocks of documents, exact, one for each document and component it meets."""
+
+    def incidence(rows: list[np.ndarray], low: int, high: int) -> np.ndarray:
+        out = np.zeros((len(rows), high - low), np.float32)
+        for i, r in enumerate(rows):
+            out[i, r[np.searchsorted(r, low) : np.searchsorted(r, high)] - low] = 1
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [], []
+            for left, right in zip(column(batch, "outside").to_pylist(), column(batch, "members").to_pylist(), strict=True):
+                sets = [np.frombuffer(x["shingles"], np.uint64) for x in left + right]
+                size = np.array([len(x) for x in sets])
+                seen, number = np.unique(np.concatenate(sets), return_inverse=True)
+                rows = np.split(number.ravel(), np.cumsum(size)[:-1])
+                both = np.zeros((len(left), len(right)), np.float32)
+                for low in range(0, len(seen), 8192):
+                    high = min(low + 8192, len(seen))
+                    both += incidence(rows[: len(left)], low, high) @ incidence(rows[len(left) :], low, high).T
+                both = np.rint(both).astype(np.int64)
+                near = 100 * both >= percent * (size[: len(left), None] + size[None, len(left) :] - both)
+                met = set()
+                for i, j in np.argwhere(near).tolist():
+                    x, y = left[i], right[j]
+                    if x["comp"] != y["comp"] and (i, y["comp"]) not in met:
+                        met.add((i, y["comp"]))
+                        a.append(min(x["rep"], y["rep"])), b.append(max(x["rep"], y["rep"]))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def cross_links(docs: DataFrame, stars: DataFrame, roots: DataFrame, k: int, percent: int, folder: str) -> DataFrame:
+    """(a, b): links between members of one center's group that ``roots`` leaves in different components.
+
+    Any two documents that share a bucket stand in the group of its center.  Members
+    outside the center's component are compared with all members, block by block:
+    a block is a bounded number of bytes of shingle sets, so a large group is many
+    small tasks, and only links leave a task.
+    """
+    root = roots.withColumnRenamed("node", "rep").withColumnRenamed("root", "comp")
+    group = stars.union(stars.select("center", F.col("center").alias("rep")).distinct()).join(root, "rep", "left").select("center", "rep", F.coalesce("comp", "rep").alias("comp"))
+    center = group.where("center = rep").select("center", F.col("comp").alias("center_comp"))
+    group = cut(group.join(center, "center").withColumn("out", F.col("comp") != F.col("center_comp")), folder, "group")
+    group = group.join(group.where("out").select("center").distinct(), "center", "left_semi")
+    ids = group.select(F.col("rep").alias("doc_id")).distinct()
+    sets = cut(only(docs, "doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(_sets(k, "rep"), "rep long, shingles binary").dropDuplicates(["rep"]), folder, "group-sets")
+    size = F.length("shingles")
+    rows = group.join(sets, "rep")
+    blocks = rows.groupBy("center").agg(F.ceil(F.sum(size) / BLOCK_BYTES).cast("int").alias("m"), F.ceil(F.sum(F.when(F.col("out"), size)) / BLOCK_BYTES).cast("int").alias("o"))
+    rows = rows.join(blocks, "center")
+    packed = F.collect_list(F.struct("rep", "comp", "shingles"))
+    members = rows.groupBy("center", F.pmod(F.xxhash64("rep"), "m").alias("block")).agg(packed.alias("members"))
+    outside = rows.where("out").groupBy("center", F.pmod(F.xxhash64("rep", F.lit(1)), "o").alias("own"), "m").agg(packed.alias("outside"))
+    outside = outside.select("center", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m").cast("long") - 1)).alias("block"), "outside")
+    return outside.join(members, ["center", "block"]).select("outside", "members").mapInArrow(_block_links(percent), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -194,20 +253,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     degree = members.groupBy("rep").agg(F.sum("n").alias("degree"))
     ranked = members.join(degree, "rep")
     central = ranked.groupBy("band").agg(F.max_by("rep", F.struct("degree", -F.col("rep"))).alias("center"))
-    stars = members.join(central, "band").where("rep <> center").select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b")).distinct()
-    found = links(docs, stars, reps, k, percent, folder, "1")
+    stars = cut(members.join(central, "band").where("rep <> center").select("center", "rep").distinct(), folder, "centers")
+    pairs = stars.select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b")).distinct()
+    found = links(docs, pairs, reps, k, percent, folder, "1")
     roots = components(found, folder)
 
-    # Buckets that still hold several components: members outside the center's component meet the rest.
-    inside = _labelled(members, roots).join(central, "band")
-    center_comp = inside.where("rep = center").select("band", F.col("comp").alias("center_comp"))
-    inside = inside.join(center_comp, "band")
-    out = inside.where("comp <> center_comp").select("band", F.col("rep").alias("x"), F.col("comp").alias("x_comp"))
-    rest = inside.join(out.select("band").distinct(), "band", "left_semi").where("rep <> center").select("band", F.col("rep").alias("y"), F.col("comp").alias("y_comp"))
-    cross = out.join(rest, "band").where("x_comp <> y_comp").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    cross = cut(cross.join(stars, ["a", "b"], "left_anti"), folder, "cross")
-    if not cross.isEmpty():
-        found = cut(found.union(links(docs, cross, reps, k, percent, folder, "2")), folder, "found")
+    # Groups of a center that still hold several components: members outside the center's meet the rest.
+    crossed = cut(cross_links(docs, stars, roots, k, percent, folder), folder, "crossed")
+    if not crossed.isEmpty():
+        found = cut(found.union(crossed), folder, "found")
         roots = components(found, folder)
 
     same = known.where("set_key is not null").join(groups, "set_key").select("doc_id", "rep").where("doc_id <> rep").distinct()
@@ -222,7 +276,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     out = table.select("doc_id", "n_shingles").join(comp, "doc_id", "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     out = cut(out, folder, "result")
-    drop(spark, *[f"{folder}/{x}" for x in ("signatures", "reps", "members", "cross", "links1", "links2", "found")])
+    drop(spark, *[f"{folder}/{x}" for x in ("signatures", "reps", "members", "centers", "group", "group-sets", "links1", "crossed", "found")])
     return out
 
 
