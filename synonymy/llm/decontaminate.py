@@ -114,7 +114,7 @@ def _aligned(items: Items, least: float, least_matches: int, rows_too: bool = Fa
         new = np.ones(len(doc), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (origin[1:] - origin[:-1] > slack[1:])
         begin = np.flatnonzero(new)
-        for s, e in zip(begin, np.r_[begin[1:], len(doc)], strict=True):
+        for s, e in zip(begin, np.append(begin[1:], len(doc)), strict=False):
             d, i = int(doc[s]), int(item[s])
             a = max(int(w.first[d]), int(origin[s] - slack[s]))
             b = min(int(w.first[d + 1]), int(origin[e - 1] + size[s] + slack[s]))
