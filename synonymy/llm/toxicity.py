@@ -33,8 +33,8 @@ INVISIBLE = "­​‌‍⁠﻿"
 
 #: Bound on the labelled rows that the lexicon and the score's scale are fitted on.
 LABELLED_ROWS = 40_000
-MOST_ENTRIES = 600
-STEM = (5, 9)
+MOST_ENTRIES = 1000
+STEM = (4, 9)
 
 
 def _table() -> dict[int, str | None]:
@@ -94,7 +94,8 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> D
     not 0, and of these at most ``most``, first by crc32.  Labels that disagree on an id drop it."""
     y = only(labels, "doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").alias("other")).where("toxic = other")
     y = y.where("crc32(cast(doc_id as string)) % 5 <> 0").select("doc_id", "toxic").orderBy(F.expr("crc32(cast(doc_id as string))"), "doc_id").limit(most)
-    return only(docs, "doc_id", "text").where("text is not null").join(y, "doc_id")
+    # Copies of one text teach once, or one document's copies would fill the lexicon.
+    return only(docs, "doc_id", "text").where("text is not null").join(y, "doc_id").groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")).select("doc_id", "text", "toxic")
 
 
 class Lexicon:
@@ -167,12 +168,15 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> Lexi
             return Lexicon({}, [], (30.0 if n1 else -30.0, 0.0, 0.0))
         counts = rows.mapInArrow(_document_counts, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         odds = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))
-        error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-        top = counts.where(F.col("toxic") >= max(3, n1 // 400)).select("term", "clean", "toxic", odds.alias("odds"), (odds / error).alias("z")).where("odds > 2 and z > 3.5")
-        entries = top.orderBy(F.col("z").desc(), "term").limit(MOST_ENTRIES).collect()
+        # Likelihood-ratio statistic: unlike odds over their error, it ranks entries that clean texts never have first.
+        both = F.col("toxic") + F.col("clean")
+        part = lambda seen, share: F.when(seen > 0, seen * F.log(seen / (both * share))).otherwise(0.0)
+        g2 = 2 * (part(F.col("toxic"), F.lit(n1 / (n0 + n1))) + part(F.col("clean"), F.lit(n0 / (n0 + n1))))
+        top = counts.where(F.col("toxic") >= max(3, n1 // 400)).select("term", odds.alias("odds"), g2.alias("g2")).where("odds > 2 and g2 > 15")
+        entries = top.orderBy(F.col("g2").desc(), "term").limit(MOST_ENTRIES).collect()
         # A beginning that is no better than a shorter one or than a whole word is left out.
         weights: dict[str, float] = {}
-        for r in sorted(entries, key=lambda r: (-r["z"], len(r["term"]), r["term"])):
+        for r in sorted(entries, key=lambda r: (-r["g2"], -len(r["term"]), r["term"])):
             t = r["term"].strip()
             if not any(r["term"].startswith(e) for e in weights) and not any(e.strip().startswith(t) and weights[e] >= r["odds"] for e in weights):
                 weights[r["term"]] = r["odds"]
