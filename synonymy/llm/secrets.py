@@ -3,7 +3,7 @@
 Two first-order models over the 64 characters of base 64 and a word's end: one of
 random strings, one of ordinary identifiers.  The labelled sample for the first is
 what the base rules match plus generated keys; for the second every other run of
-such characters in the corpus.  A run that the random model explains better by a
+such characters in the corpus that does not keep switching between letters and digits.  A run that the random model explains better by a
 likelihood ratio is a secret too.
 """
 
@@ -32,6 +32,7 @@ ASSIGN = re.compile(rf"""(?:{_KEYS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+SWITCHES = re.compile(r"(?:[0-9]+[^0-9]+){3}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 SYMBOLS = len(ALPHABET) + 1
 _CODE = np.full(256, -1, np.int64)
@@ -74,12 +75,20 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts = [x for x in column(batch, "text").to_pylist() if x]
             every = _pairs("\n".join(texts).encode())
             hidden = _pairs("\n".join(t[m.start(1) : m.end(1)] if k == 0 else m[0] for t in texts for k, m in _matches(t)).encode())
+            open_ = _pairs("\n".join(x for t in texts for x in _unlabelled(t)).encode())
             secret += hidden
-            plain += np.maximum(every - hidden, 0)
+            plain += np.maximum(every - hidden - open_, 0)
     at = np.arange(SYMBOLS * SYMBOLS)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(plain), pa.array(secret)], names=["pair", "plain", "secret"])
 
 
+def _unlabelled(text: str) -> Iterator[str]:
+    """Runs outside the base spans that switch between letters and digits too often to be taken for ordinary ones."""
+    runs = [m for m in RUN.finditer(text) if SWITCHES.search(m[0])]
+    taken = base_spans(text) if runs else []
+    yield from (m[0] for m in runs if not any(s < m.end() and m.start() < e for s, _, e in taken))
+
+
 def _matches(text: str) -> Iterator[tuple[int, re.Match]]:
     """Base matches to learn from, none inside another."""
     end = 0
