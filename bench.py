@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 import __spark_entry__
 
-HEADLINE = ["ag02_rscu_gene", "ag03_rscu_median", "ag05_rscu_pooled", "ag06_enc", "ag16_cbi", "ag18_cps", "ag19_gene_cpb", "ag24_expression_scores", "be05_operon_distance", "rs10_enrichment_score", "st02_mannwhitney", "st25_permanova"]
+HEADLINE = ["ag02_rscu_gene", "ag03_rscu_median", "ag05_rscu_pooled", "ag06_enc", "ag16_cbi", "ag18_cps"]
 
 
 def main() -> None:
