@@ -31,6 +31,8 @@ BANDS, ROWS = 32, 4
 SIGNATURE_AGREEMENT = 0.6
 #: Shingle sets, in bytes, that are compared with as many others at once.
 BLOCK_BYTES = 1 << 20
+#: Sets with more than this part (one in so many) of all rows are hot.
+HOT_SHARE = 1000
 
 
 def shingle_sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -232,6 +234,18 @@ def cross_links(docs: DataFrame, stars: DataFrame, roots: DataFrame, k: int, per
     return outside.join(members, ["center", "block"]).select("outside", "members").mapInArrow(_block_links(percent), "a long, b long").distinct()
 
 
+def by_set(rows: DataFrame, groups: DataFrame, total: int) -> DataFrame:
+    """``rows`` joined with ``groups`` (set_key, copies, ...) on set_key.
+
+    A set that more than one row in HOT_SHARE has is joined by broadcast, so its copies
+    stay where they are; there are fewer than HOT_SHARE such sets at any size.
+    """
+    often = F.col("copies") * HOT_SHARE > total
+    hot = F.broadcast(groups.where(often))
+    rest = rows.join(F.broadcast(groups.where(often).select("set_key")), "set_key", "left_anti")
+    return rows.join(hot, "set_key").unionByName(rest.join(groups.where(~often), "set_key"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text).
 
@@ -244,8 +258,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     spark, folder = docs.sparkSession, scratch(docs.sparkSession)
     table = cut(signatures(docs, k), folder, "signatures")
     known = table.where("doc_id is not null")
-    groups = known.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    reps = cut(known.join(groups, (known.doc_id == groups.rep) & (known.set_key == groups.set_key)).select("rep", "bands", "sig").dropDuplicates(["rep"]), folder, "reps")
+    groups = cut(known.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), folder, "groups")
+    reps = cut(known.join(groups, (known["doc_id"] == groups["rep"]) & (known["set_key"] == groups["set_key"])).select("rep", "bands", "sig").dropDuplicates(["rep"]), folder, "reps")
 
     rows = reps.select("rep", F.explode("bands").alias("band"))
     full = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
@@ -264,19 +278,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         found = cut(found.union(crossed), folder, "found")
         roots = components(found, folder)
 
-    same = known.where("set_key is not null").join(groups, "set_key").select("doc_id", "rep").where("doc_id <> rep").distinct()
+    filled = known.where("set_key is not null")
     # An id that stands on rows with different texts ties their groups together.
-    everything = found.union(same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    multi = known.groupBy("doc_id").agg(F.count_distinct("set_key").alias("n")).where("n > 1").isEmpty()
-    if multi:
-        comp = same.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("root"))
-        comp = comp.union(roots.select(F.col("node").alias("doc_id"), "root"))
+    single = known.groupBy("doc_id").agg(F.count_distinct(F.coalesce("set_key", F.lit(b""))).alias("n")).where("n > 1").isEmpty()
+    if single:
+        rooted = groups.join(roots, groups["rep"] == roots["node"], "left").select("set_key", "copies", F.coalesce("root", "rep").alias("root"))
+        ends = by_set(filled.select("doc_id", "n_shingles", "set_key"), rooted, known.count()).select("doc_id", "n_shingles", F.col("root").alias("component_id"))
+        out = ends.union(table.where("doc_id is null or set_key is null").select("doc_id", "n_shingles", "doc_id"))
     else:
-        comp = components(everything, folder).select(F.col("node").alias("doc_id"), "root")
-    out = table.select("doc_id", "n_shingles").join(comp, "doc_id", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        same = by_set(filled.select("doc_id", "set_key"), groups, known.count()).select("doc_id", "rep").where("doc_id <> rep").distinct()
+        comp = components(found.union(same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))), folder).select(F.col("node").alias("doc_id"), "root")
+        out = table.select("doc_id", "n_shingles").join(comp, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+    out = out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     out = cut(out, folder, "result")
-    drop(spark, *[f"{folder}/{x}" for x in ("signatures", "reps", "members", "centers", "group", "group-sets", "links1", "crossed", "found")])
+    drop(spark, *[f"{folder}/{x}" for x in ("signatures", "groups", "reps", "members", "centers", "group", "group-sets", "links1", "crossed", "found")])
     return out
 
 
