@@ -222,14 +222,15 @@ def cross_links(docs: DataFrame, stars: DataFrame, roots: DataFrame, k: int, per
     group = cut(group.join(center, "center").withColumn("out", F.col("comp") != F.col("center_comp")), folder, "group")
     group = group.join(group.where("out").select("center").distinct(), "center", "left_semi")
     ids = group.select(F.col("rep").alias("doc_id")).distinct()
-    sets = cut(only(docs, "doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(_sets(k, "rep"), "rep long, shingles binary").dropDuplicates(["rep"]), folder, "group-sets")
-    size = F.length("shingles")
-    rows = group.join(sets, "rep")
-    blocks = rows.groupBy("center").agg(F.ceil(F.sum(size) / BLOCK_BYTES).cast("int").alias("m"), F.ceil(F.sum(F.when(F.col("out"), size)) / BLOCK_BYTES).cast("int").alias("o"))
-    rows = rows.join(blocks, "center")
+    sets = cut(only(docs, "doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(_sets(k, "rep"), "rep long, shingles binary").dropDuplicates(["rep"]).withColumn("bytes", F.length("shingles")), folder, "group-sets")
+    # Block numbers are found on thin rows; sets join by rep afterwards, so no task holds a group's sets.
+    thin = group.join(sets.select("rep", "bytes"), "rep")
+    blocks = thin.groupBy("center").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("m"), F.ceil(F.sum(F.when(F.col("out"), F.col("bytes"))) / BLOCK_BYTES).cast("int").alias("o"))
+    thin = thin.join(blocks, "center").select("center", "rep", "comp", "out", "m", F.pmod(F.xxhash64("rep"), "m").alias("block"), F.pmod(F.xxhash64("rep", F.lit(1)), "o").alias("own"))
+    rows = thin.join(sets.select("rep", "shingles"), "rep")
     packed = F.collect_list(F.struct("rep", "comp", "shingles"))
-    members = rows.groupBy("center", F.pmod(F.xxhash64("rep"), "m").alias("block")).agg(packed.alias("members"))
-    outside = rows.where("out").groupBy("center", F.pmod(F.xxhash64("rep", F.lit(1)), "o").alias("own"), "m").agg(packed.alias("outside"))
+    members = rows.groupBy("center", "block").agg(packed.alias("members"))
+    outside = rows.where("out").groupBy("center", "own", "m").agg(packed.alias("outside"))
     outside = outside.select("center", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m").cast("long") - 1)).alias("block"), "outside")
     return outside.join(members, ["center", "block"]).select("outside", "members").mapInArrow(_block_links(percent), "a long, b long").distinct()
 
