@@ -208,6 +208,18 @@ def _block_links(percent: int):
     return run
 
 
+def with_groups(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` joined with ``groups`` (key, copies, ...; one row a key).
+
+    A key that more than one row of ``total`` in HOT_SHARE has is joined by broadcast, so
+    its rows stay where they are; there are fewer than HOT_SHARE such keys at any size.
+    """
+    often = F.col("copies") * HOT_SHARE > total
+    hot = F.broadcast(groups.where(often))
+    rest = rows.join(F.broadcast(groups.where(often).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(rest.join(groups.where(~often), key))
+
+
 def cross_links(docs: DataFrame, stars: DataFrame, roots: DataFrame, k: int, percent: int, folder: str) -> DataFrame:
     """(a, b): links between members of one center's group that ``roots`` leaves in different components.
 
@@ -218,15 +230,17 @@ def cross_links(docs: DataFrame, stars: DataFrame, roots: DataFrame, k: int, per
     """
     root = roots.withColumnRenamed("node", "rep").withColumnRenamed("root", "comp")
     group = stars.union(stars.select("center", F.col("center").alias("rep")).distinct()).join(root, "rep", "left").select("center", "rep", F.coalesce("comp", "rep").alias("comp"))
-    center = group.where("center = rep").select("center", F.col("comp").alias("center_comp"))
-    group = cut(group.join(center, "center").withColumn("out", F.col("comp") != F.col("center_comp")), folder, "group")
-    group = group.join(group.where("out").select("center").distinct(), "center", "left_semi")
+    group = cut(group, folder, "members-of-centers")
+    total = group.count()
+    center = group.groupBy("center").agg(F.count("*").alias("copies"), F.max(F.when(F.col("center") == F.col("rep"), F.col("comp"))).alias("center_comp"), (F.min("comp") != F.max("comp")).alias("mixed"))
+    center = cut(center.where("mixed").drop("mixed"), folder, "mixed-centers")
+    group = cut(with_groups(group, center, "center", total).select("center", "rep", "comp", (F.col("comp") != F.col("center_comp")).alias("out")), folder, "group")
     ids = group.select(F.col("rep").alias("doc_id")).distinct()
     sets = cut(only(docs, "doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(_sets(k, "rep"), "rep long, shingles binary").dropDuplicates(["rep"]).withColumn("bytes", F.length("shingles")), folder, "group-sets")
     # Block numbers are found on thin rows; sets join by rep afterwards, so no task holds a group's sets.
-    thin = group.join(sets.select("rep", "bytes"), "rep")
-    blocks = thin.groupBy("center").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("m"), F.ceil(F.sum(F.when(F.col("out"), F.col("bytes"))) / BLOCK_BYTES).cast("int").alias("o"))
-    thin = thin.join(blocks, "center").select("center", "rep", "comp", "out", "m", F.pmod(F.xxhash64("rep"), "m").alias("block"), F.pmod(F.xxhash64("rep", F.lit(1)), "o").alias("own"))
+    thin = cut(group.join(sets.select("rep", "bytes"), "rep"), folder, "thin")
+    blocks = thin.groupBy("center").agg(F.count("*").alias("copies"), F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("m"), F.ceil(F.sum(F.when(F.col("out"), F.col("bytes"))) / BLOCK_BYTES).cast("int").alias("o"))
+    thin = with_groups(thin, blocks, "center", total).select("center", "rep", "comp", "out", "m", F.pmod(F.xxhash64("rep"), "m").alias("block"), F.pmod(F.xxhash64("rep", F.lit(1)), "o").alias("own"))
     rows = thin.join(sets.select("rep", "shingles"), "rep")
     packed = F.collect_list(F.struct("rep", "comp", "shingles"))
     members = rows.groupBy("center", "block").agg(packed.alias("members"))
@@ -235,18 +249,6 @@ def cross_links(docs: DataFrame, stars: DataFrame, roots: DataFrame, k: int, per
     return outside.join(members, ["center", "block"]).select("outside", "members").mapInArrow(_block_links(percent), "a long, b long").distinct()
 
 
-def by_set(rows: DataFrame, groups: DataFrame, total: int) -> DataFrame:
-    """``rows`` joined with ``groups`` (set_key, copies, ...) on set_key.
-
-    A set that more than one row in HOT_SHARE has is joined by broadcast, so its copies
-    stay where they are; there are fewer than HOT_SHARE such sets at any size.
-    """
-    often = F.col("copies") * HOT_SHARE > total
-    hot = F.broadcast(groups.where(often))
-    rest = rows.join(F.broadcast(groups.where(often).select("set_key")), "set_key", "left_anti")
-    return rows.join(hot, "set_key").unionByName(rest.join(groups.where(~often), "set_key"))
-
-
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text).
 
@@ -284,15 +286,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     single = known.groupBy("doc_id").agg(F.count_distinct(F.coalesce("set_key", F.lit(b""))).alias("n")).where("n > 1").isEmpty()
     if single:
         rooted = groups.join(roots, groups["rep"] == roots["node"], "left").select("set_key", "copies", F.coalesce("root", "rep").alias("root"))
-        ends = by_set(filled.select("doc_id", "n_shingles", "set_key"), rooted, known.count()).select("doc_id", "n_shingles", F.col("root").alias("component_id"))
+        ends = with_groups(filled.select("doc_id", "n_shingles", "set_key"), rooted, "set_key", known.count()).select("doc_id", "n_shingles", F.col("root").alias("component_id"))
         out = ends.union(table.where("doc_id is null or set_key is null").select("doc_id", "n_shingles", "doc_id"))
     else:
-        same = by_set(filled.select("doc_id", "set_key"), groups, known.count()).select("doc_id", "rep").where("doc_id <> rep").distinct()
+        same = with_groups(filled.select("doc_id", "set_key"), groups, "set_key", known.count()).select("doc_id", "rep").where("doc_id <> rep").distinct()
         comp = components(found.union(same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))), folder).select(F.col("node").alias("doc_id"), "root")
         out = table.select("doc_id", "n_shingles").join(comp, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
     out = out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     out = cut(out, folder, "result")
-    drop(spark, *[f"{folder}/{x}" for x in ("signatures", "groups", "reps", "members", "centers", "group", "group-sets", "links1", "crossed", "found")])
+    drop(spark, *[f"{folder}/{x}" for x in ("signatures", "groups", "reps", "members", "centers", "members-of-centers", "mixed-centers", "group", "group-sets", "thin", "links1", "crossed", "found")])
     return out
 
 
