@@ -34,7 +34,9 @@ def codon_rows() -> list[tuple]:
 
 
 def codon_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(codon_rows(), "codon string, aa string, family string, fold int, ffold int, sense boolean, coding boolean, indep boolean, fourfold boolean, gc1 int, gc2 int, gc3 int")
+    """The rows as literals, so the planner knows how small they are and broadcasts them."""
+    row = lambda r: "(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")"
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(map(row, codon_rows()))} AS t({', '.join(COLUMNS)})")
 
 
 def dna_to_rna(s: Column) -> Column:
