@@ -1,6 +1,6 @@
 """Ranks, tests, resampling and gene-set statistics over the usage relations."""
 
-from synonymy.plans.relations import query, relation
+from synonymy.plans.relations import on_spark, query, relation
 
 ERFC = "({t} * (0.254829592e0 + {t} * (-0.284496736e0 + {t} * (1.421413741e0 + {t} * (-1.453152027e0 + {t} * 1.061405429e0)))) * exp(-{x} * {x}))"
 
@@ -16,6 +16,27 @@ def bh(p: str, by: str = "") -> str:
     return f"least(1e0, min({p} * m / r) OVER ({part}ORDER BY r DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"
 
 
+def log_rest(k: str) -> str:
+    """ln k! - k ln k + k: exact to 20, the Stirling series from 21 on (error under 1e-14), in Spark SQL."""
+    d = f"CAST({k} AS DOUBLE)"
+    small = f"ln(CAST(factorial(CAST(least({k}, 20) AS INT)) AS DOUBLE)) - {d} * ln(greatest({d}, 1e0)) + {d}"
+    return f"(CASE WHEN {k} <= 20 THEN {small} ELSE 5e-1 * ln(2 * pi() * {d}) + (1e0 / 12 - (1e0 / 360 - (1e0 / 1260 - 1e0 / 1680 / {d} / {d}) / {d} / {d}) / {d} / {d}) / {d} END)"
+
+
+def hypergeometric(x: str, c: str, s: str, n: str) -> str:
+    """P(X = x) for x of c among s of n. Each cell is taken against its expected count, so large logarithms need not cancel."""
+    margins = (c, f"({n} - {c})"), (s, f"({n} - {s})")
+    cells = ((x, 0, 0), (f"({c} - {x})", 0, 1), (f"({s} - {x})", 1, 0), (f"({n} - {c} - {s} + {x})", 1, 1))
+    off = " + ".join(f"CASE WHEN {k} > 0 THEN {k} * ln(CAST({k} AS DOUBLE) * {n} / (CAST({margins[0][i]} AS DOUBLE) * {margins[1][j]})) ELSE 0e0 END + {log_rest(k)}" for k, i, j in cells)
+    return f"exp({' + '.join(log_rest(k) for m in margins for k in m)} - {log_rest(n)} - ({off}))"
+
+
+def every(lo: str, hi: str, columns: str, source: str) -> str:
+    """Rows of a source h, each once for every i from lo to hi, made by blocks so that no array grows with the input."""
+    blocks = f"SELECT {columns}, {lo} AS lo, {hi} AS hi, explode(sequence({lo} DIV 65536, {hi} DIV 65536)) AS b FROM {source} h WHERE {lo} <= {hi}"
+    return f"SELECT {columns}, explode(sequence(greatest(lo, b * 65536), least(hi, b * 65536 + 65535))) AS i FROM ({blocks}) h"
+
+
 relation("scores", "SELECT e.gene, e.sample_id, e.genome, e.cond, e.length, e.enc, g.gc3, g.gc12, c.cai, c.fop FROM enc e JOIN gc g ON g.gene = e.gene JOIN cai c ON c.gene = e.gene")
 relation("metric", """SELECT gene, sample_id, cond, 'ENC' AS metric, enc AS v FROM scores UNION ALL SELECT gene, sample_id, cond, 'GC3' AS metric, gc3 AS v FROM scores
   UNION ALL SELECT gene, sample_id, cond, 'CAI' AS metric, cai AS v FROM scores UNION ALL SELECT gene, sample_id, cond, 'Fop' AS metric, fop AS v FROM scores""")
@@ -96,11 +117,18 @@ relation("hyper", """SELECT k.pathway, count(*) AS n, count(t.ko) AS k, (SELECT
 relation("hyper_terms", """SELECT h.pathway, x.i, exp(a.v - b.v - c.v + d.v - e.v - f.v - (g.v - j.v - l.v)) AS p FROM hyper h JOIN (SELECT CAST(i AS BIGINT) AS i FROM range(0, 30001) AS t(i)) x ON x.i >= h.k AND x.i <= least(h.n, h.nn) AND h.nn - x.i <= h.m - h.n
   JOIN lnfact a ON a.n = h.n JOIN lnfact b ON b.n = x.i JOIN lnfact c ON c.n = h.n - x.i JOIN lnfact d ON d.n = h.m - h.n JOIN lnfact e ON e.n = h.nn - x.i JOIN lnfact f ON f.n = h.m - h.n - h.nn + x.i JOIN lnfact g ON g.n = h.m JOIN lnfact j ON j.n = h.nn JOIN lnfact l ON l.n = h.m - h.nn""")
 query("st07_hypergeometric", "SELECT h.pathway, h.k, h.n, h.nn AS n_test, h.m AS n_universe, round(least(100e0, h.k / (h.n * h.nn / CAST(h.m AS DOUBLE))), 6) AS fold, round(least(1e0, coalesce(t.p, 0e0)), 6) AS p FROM hyper h LEFT JOIN (SELECT pathway, sum(p) AS p FROM hyper_terms GROUP BY pathway) t ON t.pathway = h.pathway")
+on_spark("hyper_terms", f"SELECT pathway, i, {hypergeometric('i', 'n', 'nn', 'm')} AS p FROM ({every('h.k', 'least(h.n, h.nn)', 'h.pathway, h.k, h.n, h.nn, h.m', 'hyper')}) h")
+on_spark("st07_hypergeometric", "SELECT h.pathway, h.k, h.n, h.nn AS n_test, h.m AS n_universe, round(least(100e0, h.k / (h.n * h.nn / CAST(h.m AS DOUBLE))), 6) AS fold, CASE WHEN t.p IS NOT NULL THEN round(least(1e0, t.p), 6) END AS p FROM hyper h LEFT JOIN (SELECT pathway, sum(p) AS p FROM hyper_terms GROUP BY pathway) t ON t.pathway = h.pathway")
 relation("fish", """SELECT t.genome AS category, tt.tier, count(CASE WHEN t.tier = tt.tier THEN 1 END) AS a, (SELECT count(*) FROM tier x WHERE x.tier = 'high') AS hi, (SELECT count(*) FROM tier x WHERE x.tier = 'low') AS lo, count(*) AS c, (SELECT count(*) FROM tier x) AS n
   FROM tier t CROSS JOIN (SELECT 'high' AS tier UNION ALL SELECT 'low' AS tier) tt GROUP BY t.genome, tt.tier""")
 relation("fish2", "SELECT category, tier, a, CASE WHEN tier = 'high' THEN hi ELSE lo END AS s, c, n FROM fish")
 relation("fish_terms", """SELECT h.category, h.tier, h.a, x.i, exp(q1.v - q2.v - q3.v + q4.v - q5.v - q6.v - (q7.v - q8.v - q9.v)) AS p FROM fish2 h JOIN (SELECT CAST(i AS BIGINT) AS i FROM range(0, 30001) AS t(i)) x ON x.i <= least(h.c, h.s) AND h.s - x.i <= h.n - h.c
   JOIN lnfact q1 ON q1.n = h.c JOIN lnfact q2 ON q2.n = x.i JOIN lnfact q3 ON q3.n = h.c - x.i JOIN lnfact q4 ON q4.n = h.n - h.c JOIN lnfact q5 ON q5.n = h.s - x.i JOIN lnfact q6 ON q6.n = h.n - h.c - h.s + x.i JOIN lnfact q7 ON q7.n = h.n JOIN lnfact q8 ON q8.n = h.s JOIN lnfact q9 ON q9.n = h.n - h.s""")
+# One pass over the tiers, which are costly: the margins are sums over the few rows that it leaves.
+on_spark("fish2", """SELECT genome AS category, tt.tier, CASE WHEN tt.tier = 'high' THEN hi ELSE lo END AS a, sum(CASE WHEN tt.tier = 'high' THEN hi ELSE lo END) OVER (PARTITION BY tt.tier) AS s, c, sum(c) OVER (PARTITION BY tt.tier) AS n
+  FROM (SELECT genome, count(CASE WHEN tier = 'high' THEN 1 END) AS hi, count(CASE WHEN tier = 'low' THEN 1 END) AS lo, count(*) AS c FROM tier GROUP BY genome) t CROSS JOIN (SELECT 'high' AS tier UNION ALL SELECT 'low' AS tier) tt""")
+on_spark("fish_terms", f"SELECT category, tier, a, c, i, {hypergeometric('i', 'c', 's', 'n')} AS p, {hypergeometric('a', 'c', 's', 'n')} AS seen FROM ({every('greatest(0, h.c + h.s - h.n)', 'least(h.c, h.s)', 'h.category, h.tier, h.a, h.s, h.c, h.n', 'fish2')}) h")
+on_spark("st09_fisher", "SELECT category, tier, a AS n_in_tier, c AS n_total, round(least(1e0, sum(CASE WHEN p <= seen * (1e0 + 1e-7) THEN p ELSE 0e0 END)), 6) AS p FROM fish_terms GROUP BY category, tier, a, c")
 query("st09_fisher", """SELECT f.category, f.tier, f.a AS n_in_tier, f.c AS n_total, round(least(1e0, sum(CASE WHEN t.p <= o.p * (1e0 + 1e-7) THEN t.p ELSE 0e0 END)), 6) AS p FROM fish2 f JOIN fish_terms t ON t.category = f.category AND t.tier = f.tier
   JOIN fish_terms o ON o.category = f.category AND o.tier = f.tier AND o.i = o.a GROUP BY f.category, f.tier, f.a, f.c""")
 query("st34_chi_square", """SELECT round(sum(pow(o - e, 2) / e), 6) AS chi2, CAST((count(DISTINCT tier) - 1) * (count(DISTINCT cond) - 1) AS BIGINT) AS df, round(sqrt(sum(pow(o - e, 2) / e) / max(n) / nullif(least(count(DISTINCT tier), count(DISTINCT cond)) - 1, 0)), 6) AS cramers_v

@@ -3,7 +3,7 @@
 A relation is a common table expression; a query lists its own SELECT, and the
 relations that it names, directly or through others, are put before it.  The base
 relations (cds, codon_pos, codon_dim) are DataFrames on Spark; the reference SQL has
-its own text for them.
+its own text for them.  Where that text is bounded, Spark runs its own (on_spark).
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from synonymy.sources.tables import TABLES, cds_from_documents, codon_positions,
 
 RELATIONS: dict[str, str] = {}
 QUERIES: dict[str, str] = {}
+#: Text of relations and queries on Spark, where it is another than the reference SQL.
+SPARK: dict[str, str] = {}
 
 
 def relation(name: str, text: str) -> None:
@@ -27,6 +29,10 @@ def query(name: str, text: str) -> None:
     QUERIES[name] = text
 
 
+def on_spark(name: str, text: str) -> None:
+    SPARK[name] = text
+
+
 def _values() -> str:
     show = lambda x: f"'{x}'" if isinstance(x, str) else str(x).upper() if isinstance(x, bool) else str(x)
     return ", ".join("(" + ", ".join(map(show, r)) + ")" for r in codon_rows())
@@ -43,8 +49,8 @@ BASE = {
 }
 
 
-def _with(text: str, base: dict[str, str]) -> str:
-    every = base | RELATIONS
+def _with(text: str, base: dict[str, str], own: dict[str, str] | None = None) -> str:
+    every = base | RELATIONS | {k: v for k, v in (own or {}).items() if k not in QUERIES}
     placed: dict[str, str] = {}
 
     def place(part: str) -> None:
@@ -62,10 +68,11 @@ def reference_sql(name: str) -> str:
 
 
 def run(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    query_text = SPARK.get(name, QUERIES[name])
     for t in TABLES:
-        if re.search(rf"\b{t}\b", _with(QUERIES[name], BASE)):
+        if re.search(rf"\b{t}\b", _with(query_text, BASE, SPARK)):
             table(spark, sf_dir, t).createOrReplaceTempView(t)
-    text = _with(QUERIES[name], {})
+    text = _with(query_text, {}, SPARK)
     used = set(re.findall(r"\w+", text))
     if used & {"cds", "codon_pos"}:
         cds = cds_from_documents(table(spark, sf_dir, "documents"))

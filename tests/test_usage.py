@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from synonymy.functions.codons import codon_dim, codon_rows, effect_label, reverse_complement, wright_enc
 from synonymy.operators.statistics import erfc
-from synonymy.plans import registry
+from synonymy.plans import registry, relations
 from synonymy.sources import tables
 from synonymy.streaming.counts import codon_counts
 
@@ -80,6 +80,28 @@ def test_queries_match_reference_sql(spark, name):
     assert list(a.columns) == list(b.columns) and key(a) == key(b)
 
 
+def choose_tail(n, c, s, keep):
+    """Sum of hypergeometric chances that are kept, from exact integers."""
+    ways = {x: math.comb(c, x) * math.comb(n - c, s - x) for x in range(max(0, c + s - n), min(c, s) + 1)}
+    return sum(w for x, w in ways.items() if keep(x, ways)) / math.comb(n, s)
+
+
+def test_fisher_of_more_than_30000_genes(spark, monkeypatch):
+    monkeypatch.setitem(relations.RELATIONS, "tier", "SELECT id AS gene, CASE WHEN id < 400 OR id % 3 = 0 THEN 'a' ELSE 'b' END AS genome, CASE WHEN id % 100 = 0 OR id = 7 THEN 'high' WHEN id % 50 = 1 THEN 'low' ELSE 'medium' END AS tier FROM range(33000)")
+    got = {(r.category, r.tier): r for r in registry.QUERIES["st09_fisher"](spark, SF).collect()}
+    assert len(got) == 4
+    for (_, tier), r in got.items():
+        total = 331 if tier == "high" else 660
+        want = choose_tail(33000, r.n_total, total, lambda x, ways, a=r.n_in_tier: ways[x] <= ways[a])
+        assert r.p == pytest.approx(want, abs=1e-6)
+
+
+def test_hypergeometric_of_a_universe_above_30000(spark, monkeypatch):
+    monkeypatch.setitem(relations.RELATIONS, "hyper", "SELECT 'a' AS pathway, 50L AS n, 15L AS k, 40000L AS m, 8000L AS nn UNION ALL SELECT 'b', 3L, 0L, 40000L, 8000L")
+    got = {r.pathway: r.p for r in registry.QUERIES["st07_hypergeometric"](spark, SF).collect()}
+    assert got["a"] == pytest.approx(choose_tail(40000, 50, 8000, lambda x, _: x >= 15), abs=1e-6) and got["b"] == 1
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
