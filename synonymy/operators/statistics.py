@@ -37,6 +37,24 @@ def every(lo: str, hi: str, columns: str, source: str) -> str:
     return f"SELECT {columns}, explode(sequence(greatest(lo, b * 65536), least(hi, b * 65536 + 65535))) AS i FROM ({blocks}) h"
 
 
+def need(source: str) -> str:
+    """bin, need, pool, bound: genes of interest and others of each bin. The need lowest of pool md5 words lie below bound; that they do is checked where it is used."""
+    reach = "need + 10 * sqrt(need) + 100"
+    return f"""SELECT *, CASE WHEN {reach} >= pool THEN 'g' ELSE lower(lpad(hex(CAST(1152921504606846975e0 * ({reach}) / pool AS BIGINT)), 15, '0')) END AS bound
+  FROM (SELECT bin, count(CASE WHEN is_goi = 1 THEN 1 END) AS need, count(CASE WHEN is_goi = 0 THEN 1 END) AS pool FROM {source} GROUP BY bin) x WHERE need > 0"""
+
+
+def draws(source: str, v: str) -> str:
+    """i, gene, v: for each i and bin as many others as genes of interest, by the order of md5; with replacement where there are too few."""
+    word = "md5(CAST(t.i AS VARCHAR(20)) || '-' || CAST(b.gene AS VARCHAR(20)))"
+    slot = "CASE WHEN g.pool = 0 THEN raise_error('no gene of this length to draw') ELSE CAST(conv(substr(md5(t.i || '-' || g.bin || '-' || g.i), 1, 15), 16, 10) AS BIGINT) % g.pool + 1 END"
+    return f"""SELECT i, gene, v FROM (SELECT i, gene, v, need, row_number() OVER (PARTITION BY i, bin ORDER BY word, gene) AS r, count(*) OVER (PARTITION BY i, bin) AS found
+  FROM (SELECT t.i, b.gene, b.{v} AS v, b.bin, g.need, {word} AS word FROM {source} b JOIN {source}_need g ON g.bin = b.bin CROSS JOIN iters t WHERE b.is_goi = 0 AND g.need <= g.pool AND {word} < g.bound) y) x
+  WHERE CASE WHEN found < need THEN raise_error('too few words below the bound') ELSE r <= need END
+  UNION ALL SELECT s.i, p.gene, p.v FROM (SELECT t.i, g.bin, {slot} AS r FROM ({every('1L', 'h.need', 'h.bin, h.pool, h.need', f'(SELECT * FROM {source}_need WHERE need > pool)')}) g CROSS JOIN iters t) s
+  JOIN (SELECT b.bin, b.gene, b.{v} AS v, row_number() OVER (PARTITION BY b.bin ORDER BY b.gene) AS r FROM {source} b JOIN {source}_need g ON g.bin = b.bin WHERE b.is_goi = 0 AND g.need > g.pool) p ON p.bin = s.bin AND p.r = s.r"""
+
+
 relation("scores", "SELECT e.gene, e.sample_id, e.genome, e.cond, e.length, e.enc, g.gc3, g.gc12, c.cai, c.fop FROM enc e JOIN gc g ON g.gene = e.gene JOIN cai c ON c.gene = e.gene")
 relation("metric", """SELECT gene, sample_id, cond, 'ENC' AS metric, enc AS v FROM scores UNION ALL SELECT gene, sample_id, cond, 'GC3' AS metric, gc3 AS v FROM scores
   UNION ALL SELECT gene, sample_id, cond, 'CAI' AS metric, cai AS v FROM scores UNION ALL SELECT gene, sample_id, cond, 'Fop' AS metric, fop AS v FROM scores""")
@@ -97,6 +115,16 @@ relation("drawn", """SELECT i, gene, cai FROM (SELECT t.i, b.gene, b.cai, b.bin,
 query("rs03_length_matched", "SELECT i AS iter, count(*) AS n, round(avg(cai), 6) AS mean_cai FROM drawn GROUP BY i")
 query("rs06_matched_permutation", """SELECT round(max(o.m), 6) AS observed, round(avg(d.m), 6) AS null_mean, round((1e0 + count(CASE WHEN d.m >= o.m THEN 1 END)) / (1e0 + count(*)), 6) AS p_more, round((1e0 + count(CASE WHEN d.m <= o.m THEN 1 END)) / (1e0 + count(*)), 6) AS p_less
   FROM (SELECT i, round(avg(cai), 9) AS m FROM drawn GROUP BY i) d CROSS JOIN (SELECT round(avg(cai), 9) AS m FROM binned WHERE is_goi = 1) o""")
+# On Spark 999 permutations, as the reference; the SQL has 99. The matched test is of the rate of foreign genes; the SQL compares mean CAI.
+on_spark("iters", "SELECT CAST(i AS BIGINT) AS i FROM range(0, 999) AS t(i)")
+on_spark("binned_need", need("binned"))
+on_spark("drawn", draws("binned", "cai"))
+on_spark("rs03_length_matched", "SELECT i AS iter, count(*) AS n, round(avg(v), 6) AS mean_cai FROM drawn GROUP BY i")
+on_spark("flagged", "SELECT b.gene, b.is_goi, b.bin, CASE WHEN f.flag THEN 1e0 ELSE 0e0 END AS flag FROM binned b JOIN foreign_gene f ON f.gene = b.gene WHERE f.flag IS NOT NULL")
+on_spark("flagged_need", need("flagged"))
+on_spark("drawn_flags", draws("flagged", "flag"))
+on_spark("rs06_matched_permutation", """SELECT round(o.m, 6) AS observed, round(avg(d.m), 6) AS null_mean, round((1e0 + count(CASE WHEN d.m >= o.m THEN 1 END)) / (1e0 + count(*)), 6) AS p_more, round((1e0 + count(CASE WHEN d.m <= o.m THEN 1 END)) / (1e0 + count(*)), 6) AS p_less
+  FROM (SELECT i, round(avg(v), 9) AS m FROM drawn_flags GROUP BY i) d CROSS JOIN (SELECT round(avg(CASE WHEN is_goi = 1 THEN flag END), 9) AS m FROM flagged HAVING count(CASE WHEN is_goi = 1 THEN 1 END) >= 3 AND count(CASE WHEN is_goi = 0 THEN 1 END) >= 30) o GROUP BY o.m""")
 query("st27_ks_two_sample", """SELECT metric, round(max(abs(f1 - f0)), 6) AS d FROM (SELECT metric, count(CASE WHEN is_goi = 1 THEN 1 END) OVER (PARTITION BY metric ORDER BY v RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / nullif(CAST(count(CASE WHEN is_goi = 1 THEN 1 END) OVER (PARTITION BY metric) AS DOUBLE), 0) AS f1,
   count(CASE WHEN is_goi = 0 THEN 1 END) OVER (PARTITION BY metric ORDER BY v RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / nullif(CAST(count(CASE WHEN is_goi = 0 THEN 1 END) OVER (PARTITION BY metric) AS DOUBLE), 0) AS f0
   FROM (SELECT m.metric, round(m.v, 9) AS v, s.is_goi FROM metric m JOIN split s ON s.gene = m.gene) z) x GROUP BY metric""")

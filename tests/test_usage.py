@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import duckdb
@@ -102,6 +103,30 @@ def test_hypergeometric_of_a_universe_above_30000(spark, monkeypatch):
     assert got["a"] == pytest.approx(choose_tail(40000, 50, 8000, lambda x, _: x >= 15), abs=1e-6) and got["b"] == 1
 
 
+def test_strong_effects_reach_one_in_a_thousand(spark, monkeypatch):
+    monkeypatch.setitem(relations.RELATIONS, "clr", "SELECT 's' || s.id AS sample_id, CASE WHEN s.id < 20 THEN 'a' ELSE 'b' END AS cond, 'c' || c.id AS codon, CASE WHEN s.id < 20 THEN 1e0 ELSE -1e0 END + s.id * 1e-3 AS x FROM range(40) s CROSS JOIN range(3) c")
+    assert registry.QUERIES["st25_permanova"](spark, SF).first().p == 0.001
+    # 20 genes of interest, all foreign; CAI says nothing.
+    monkeypatch.setitem(relations.RELATIONS, "binned", "SELECT id AS gene, CASE WHEN id < 20 THEN 1 ELSE 0 END AS is_goi, 5e-1 AS cai, 4e1 AS enc, CAST(id % 4 AS INT) AS bin FROM range(200)")
+    monkeypatch.setitem(relations.RELATIONS, "foreign_gene", "SELECT id AS gene, id < 20 OR id % 7 = 0 AS flag FROM range(200)")
+    got = registry.QUERIES["rs06_matched_permutation"](spark, SF).first()
+    assert (got.observed, got.p_more, got.p_less) == (1, 0.001, 1) and 0.1 < got.null_mean < 0.2
+
+
+def test_draws_are_whole_and_fill_short_bins(spark, monkeypatch):
+    # Bin 0: 50 of interest and 8 others, bin 1: 30 and 5000.
+    monkeypatch.setitem(relations.RELATIONS, "binned", "SELECT id AS gene, CASE WHEN id < 80 THEN 1 ELSE 0 END AS is_goi, CAST(id AS DOUBLE) AS cai, 4e1 AS enc, CASE WHEN id < 50 OR id BETWEEN 80 AND 87 THEN 0 ELSE 1 END AS bin FROM range(5088)")
+    got = registry.QUERIES["rs03_length_matched"](spark, SF).collect()
+    assert len(got) == 999 and {r.n for r in got} == {80}
+    # 50 draws around 83.5 and 30 around 2587.5.
+    assert sum(r.mean_cai for r in got) / 999 == pytest.approx((50 * 83.5 + 30 * 2587.5) / 80, rel=0.02)
+    words = {i: sorted((hashlib.md5(f"{i}-{g}".encode()).hexdigest(), g) for g in range(88, 5088))[:30] for i in (0, 998)}
+    means = {r.iter: r.mean_cai for r in got}
+    for i, lowest in words.items():
+        short = [80 + int(hashlib.md5(f"{i}-0-{k}".encode()).hexdigest()[:15], 16) % 8 for k in range(1, 51)]
+        assert means[i] == pytest.approx((sum(short) + sum(g for _, g in lowest)) / 80, abs=1e-5)
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
