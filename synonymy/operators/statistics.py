@@ -37,6 +37,15 @@ def every(lo: str, hi: str, columns: str, source: str) -> str:
     return f"SELECT {columns}, explode(sequence(greatest(lo, b * 65536), least(hi, b * 65536 + 65535))) AS i FROM ({blocks}) h"
 
 
+def chi_square_tail(x: str, df: str) -> str:
+    """P(chi-square >= x) for df >= 2, in Spark SQL: the finite sum in logarithms, and erfc where df is odd."""
+    h = f"(({x}) / 2)"
+    first = f"(CASE WHEN {df} % 2 = 0 THEN -{h} ELSE 5e-1 * ln({h}) - {h} - ln(sqrt(pi()) / 2) END)"
+    step = f"a.l + ln({h} / (j + ({df} % 2) / 2e0))"
+    terms = f"aggregate(filter(sequence(1, CAST({df} DIV 2 AS INT)), j -> j < {df} DIV 2), named_struct('l', {first}, 's', exp({first})), (a, j) -> named_struct('l', {step}, 's', a.s + exp({step})), a -> a.s)"
+    return f"CASE WHEN {x} <= 0 THEN 1e0 ELSE least(1e0, {terms} + CASE WHEN {df} % 2 = 1 THEN {erfc(f'sqrt({h})')} ELSE 0e0 END) END"
+
+
 def need(source: str) -> str:
     """bin, need, pool, bound: genes of interest and others of each bin. The need lowest of pool md5 words lie below bound; that they do is checked where it is used."""
     reach = "need + 10 * sqrt(need) + 100"
@@ -85,6 +94,10 @@ relation("kw_rank", "SELECT *, rank() OVER (PARTITION BY metric ORDER BY v) + (c
 relation("kw_grp", "SELECT metric, cond, max(n) AS n, sum(rk) * sum(rk) / count(*) AS s, sum(CAST(ties AS DOUBLE) * ties - 1e0) AS tie, count(*) AS k FROM kw_rank GROUP BY metric, cond HAVING count(*) >= 5")
 relation("kw", "SELECT metric, count(*) AS grps, (12e0 / (max(n) * (max(n) + 1e0)) * sum(s) - 3e0 * (max(n) + 1e0)) / (1e0 - sum(tie) / (CAST(max(n) AS DOUBLE) * max(n) * max(n) - max(n))) AS h FROM kw_grp GROUP BY metric HAVING count(*) >= 3")
 query("st16_kruskal_wallis", f"SELECT metric, grps AS n_groups, round(h, 6) AS h, CASE WHEN grps = 4 THEN round({erfc('sqrt(greatest(h, 0e0) / 2)')} + sqrt(2 * greatest(h, 0e0) / pi()) * exp(-greatest(h, 0e0) / 2), 6) END AS p FROM kw")
+# On Spark small conditions are dropped before ranks are taken, and p is given for any number of groups.
+on_spark("kw_rank", """SELECT metric, cond, v, rank() OVER (PARTITION BY metric ORDER BY v) + (count(*) OVER (PARTITION BY metric, v) - 1) / 2e0 AS rk, count(*) OVER (PARTITION BY metric, v) AS ties, count(*) OVER (PARTITION BY metric) AS n
+  FROM (SELECT metric, cond, v, count(*) OVER (PARTITION BY metric, cond) AS k FROM sample_metric WHERE v IS NOT NULL) x WHERE k >= 5""")
+on_spark("st16_kruskal_wallis", f"SELECT metric, grps AS n_groups, round(h, 6) AS h, CASE WHEN h IS NOT NULL THEN round({chi_square_tail('h', '(grps - 1)')}, 6) END AS p FROM kw")
 
 query("ag33_within_condition", """SELECT cond, metric, count(*) AS n, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS sd, round(percentile(v, 0.5), 6) AS med, round(percentile(v, 0.25), 6) AS q25, round(percentile(v, 0.75), 6) AS q75, round(min(v), 6) AS lo, round(max(v), 6) AS hi
   FROM sample_metric GROUP BY cond, metric""")

@@ -127,6 +127,23 @@ def test_draws_are_whole_and_fill_short_bins(spark, monkeypatch):
         assert means[i] == pytest.approx((sum(short) + sum(g for _, g in lowest)) / 80, abs=1e-5)
 
 
+@pytest.mark.parametrize("sizes", [(6, 7, 5, 2), (6, 5, 8), (5, 6, 7, 8), (5, 5, 6, 5, 7), (6, 5, 5, 7, 5, 5, 4)])
+def test_kruskal_wallis_of_any_groups(spark, monkeypatch, sizes):
+    rows = [(f"g{g}", (7 * k + 3 * g * g) % 11 + g / 4) for g, n in enumerate(sizes) for k in range(n)]
+    monkeypatch.setitem(relations.RELATIONS, "sample_metric", "SELECT 's' AS sample_id, cond, 'x' AS metric, v FROM VALUES " + ", ".join(f"('{c}', {v}D)" for c, v in rows) + " AS t(cond, v)")
+    got = registry.QUERIES["st16_kruskal_wallis"](spark, SF).first()
+    kept = [(c, v) for c, v in rows if sizes[int(c[1:])] >= 5]
+    n, df, every = len(kept), sum(k >= 5 for k in sizes) - 1, [v for _, v in kept]
+    rank = {v: sum(x < v for x in every) + (every.count(v) + 1) / 2 for v in every}
+    total = {c: [rank[v] for d, v in kept if d == c] for c, _ in kept}
+    h = (12 / (n * (n + 1)) * sum(sum(r) ** 2 / len(r) for r in total.values()) - 3 * (n + 1)) / (1 - sum(every.count(v) ** 3 - every.count(v) for v in set(every)) / (n**3 - n))
+    # The density of chi-square from h on, by Simpson's rule.
+    f = lambda x: x ** (df / 2 - 1) * math.exp(-x / 2) / (2 ** (df / 2) * math.gamma(df / 2))
+    xs = [h + k / 50 for k in range(10001)]
+    p = sum(f(x) * (1 if k in (0, 10000) else 4 if k % 2 else 2) for k, x in enumerate(xs)) / 150
+    assert got.n_groups == df + 1 and got.h == pytest.approx(h, abs=1e-6) and got.p == pytest.approx(p, abs=2e-6)
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
