@@ -12,7 +12,8 @@ relation("strand_rank", "SELECT *, rank() OVER (PARTITION BY codon ORDER BY v) +
 relation("strand_u", """SELECT codon, aa, n1, n2, mp, mm, r1 - n1 * (n1 + 1) / 2 AS u, n1 * n2 / 12 * ((n1 + n2 + 1) - tie / ((n1 + n2) * (n1 + n2 - 1))) AS var FROM (SELECT codon, aa, CAST(count(CASE WHEN strand = '+' THEN 1 END) AS DOUBLE) AS n1, CAST(count(CASE WHEN strand = '-' THEN 1 END) AS DOUBLE) AS n2,
   avg(CASE WHEN strand = '+' THEN v END) AS mp, avg(CASE WHEN strand = '-' THEN v END) AS mm, sum(CASE WHEN strand = '+' THEN rk ELSE 0e0 END) AS r1, sum(CAST(ties AS DOUBLE) * ties - 1e0) AS tie FROM strand_rank GROUP BY codon, aa) x WHERE n1 > 1 AND n2 > 1""")
 query("be04_strand_asymmetry", f"SELECT codon, aa, round(mp, 6) AS mean_plus, round(mm, 6) AS mean_minus, round(u, 2) AS u, CASE WHEN var > 0 THEN round({erfc('greatest(abs(u - n1 * n2 / 2) - 5e-1, 0e0) / sqrt(2 * var)')}, 6) END AS p, greatest(n1, n2) / least(n1, n2) > 3 AS imbalanced FROM strand_u")
-query("be01_growth_rate", """SELECT s.genome, count(*) AS n_ref, round(avg(s.cai), 6) AS mean_cai, round(exp(715e-2 - 738e-2 * avg(s.cai)), 6) AS doubling_hours, CASE WHEN exp(715e-2 - 738e-2 * avg(s.cai)) < 2 THEN 'fast' WHEN exp(715e-2 - 738e-2 * avg(s.cai)) <= 8 THEN 'moderate' ELSE 'slow' END AS growth
+# Intercept and slope of the growth regression, in hours.
+query("be01_growth_rate", """SELECT s.genome, count(*) AS n_ref, round(avg(s.cai), 6) AS mean_cai, round(exp(7.15e0 - 7.38e0 * avg(s.cai)), 6) AS doubling_hours, CASE WHEN exp(7.15e0 - 7.38e0 * avg(s.cai)) < 2 THEN 'fast' WHEN exp(7.15e0 - 7.38e0 * avg(s.cai)) <= 8 THEN 'moderate' ELSE 'slow' END AS growth
   FROM scores s JOIN refset r ON r.gene = s.gene GROUP BY s.genome HAVING count(*) >= 3""")
 relation("high_mean", "SELECT r.codon, r.aa, r.family, avg(r.rscu) AS all_mean, avg(CASE WHEN t.tier = 'high' THEN r.rscu END) AS high_mean FROM rscu r JOIN tier t ON t.gene = r.gene GROUP BY r.codon, r.aa, r.family")
 query("st10_delta_rscu", """SELECT codon, aa, round(all_mean, 6) AS ref_rscu, round(high_mean, 6) AS high_rscu, round(high_mean - all_mean, 6) AS delta_rscu,
@@ -31,17 +32,22 @@ query("sg02_genome_signature", "SELECT s.sample_id, s.codon, round(s.x - r.x, 6)
 query("mv04_enc_diff", "SELECT e.gene, round(e.enc, 6) AS enc, round(p.encprime, 6) AS encprime, round(e.enc - p.encprime, 6) AS enc_diff, round(2 + g.gc3 + 29 / (pow(g.gc3, 2) + pow(1 - g.gc3, 2)), 6) AS wright FROM enc e JOIN encprime p ON p.gene = e.gene JOIN gc g ON g.gene = e.gene")
 relation("med", "SELECT metric, percentile(v, 0.5) AS med FROM sample_metric GROUP BY metric")
 relation("mad", "SELECT s.metric, percentile(abs(s.v - m.med), 0.5) AS mad FROM sample_metric s JOIN med m ON m.metric = s.metric GROUP BY s.metric")
-query("mv19_robust_z", "SELECT s.sample_id, s.metric, round(CASE WHEN d.mad < 1e-12 THEN 0e0 ELSE (s.v - m.med) / (14826e-4 * d.mad) END, 6) AS z FROM sample_metric s JOIN med m ON m.metric = s.metric JOIN mad d ON d.metric = s.metric")
+query("mv19_robust_z", "SELECT s.sample_id, s.metric, round(CASE WHEN d.mad < 1e-12 THEN 0e0 ELSE (s.v - m.med) / (1.4826e0 * d.mad) END, 6) AS z FROM sample_metric s JOIN med m ON m.metric = s.metric JOIN mad d ON d.metric = s.metric")
 query("mv05_gc3_outliers", "SELECT gene, round(gc3 - m, 6) AS gc3_deviation, abs(gc3 - m) > 2 * s AS gc3_outlier FROM (SELECT gene, gc3, avg(gc3) OVER (PARTITION BY genome) AS m, stddev_pop(gc3) OVER (PARTITION BY genome) AS s, count(*) OVER (PARTITION BY genome) AS n FROM gc) x WHERE n > 5")
-relation("foreign_gene", "SELECT gene, genome, gc3, abs(gc3 - avg(gc3) OVER (PARTITION BY genome)) > 15e-1 * stddev_pop(gc3) OVER (PARTITION BY genome) AS flag FROM gc")
+relation("foreign_gene", "SELECT gene, genome, gc3, abs(gc3 - avg(gc3) OVER (PARTITION BY genome)) > 1.5e0 * stddev_pop(gc3) OVER (PARTITION BY genome) AS flag FROM gc")
 query("be06_islands", """SELECT genome, count(*) AS n_genes, min(gene) AS first_gene, max(gene) AS last_gene FROM (SELECT genome, gene, flag, sum(CASE WHEN flag THEN 0 ELSE 1 END) OVER (PARTITION BY genome ORDER BY gene ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM foreign_gene) x WHERE flag GROUP BY genome, island HAVING count(*) >= 2""")
 query("be03_mobile_elements", """SELECT f.gene, p.p_brand AS category, CASE WHEN p.p_brand = 'Brand#11' AND f.flag THEN 'category;foreign' WHEN p.p_brand = 'Brand#11' THEN 'category' ELSE 'foreign' END AS method FROM foreign_gene f LEFT JOIN part p ON p.p_partkey = f.gene WHERE f.flag OR p.p_brand = 'Brand#11'""")
 query("co01_three_way_table", """SELECT a.codon, a.aa, a.family, round(a.rscu, 6) AS rscu_all, round(r.rscu, 6) AS rscu_ref, round(a.w, 6) AS w_all, round(r.w, 6) AS w_ref, row_number() OVER (PARTITION BY a.family ORDER BY a.w DESC, a.codon) = 1 AS best_all, row_number() OVER (PARTITION BY a.family ORDER BY r.w DESC, a.codon) = 1 AS best_ref
   FROM set_w a JOIN set_w r ON r.codon = a.codon AND r.gene_set = 'reference' WHERE a.gene_set = 'all' AND a.sense AND a.w IS NOT NULL AND r.w IS NOT NULL""")
-relation("best", """SELECT a.family, max_by(a.codon, a.w) AS all_codon, max_by(a.codon, r.w) AS ref_codon, max(abs(a.w - r.w)) AS shift FROM set_w a JOIN set_w r ON r.codon = a.codon AND r.gene_set = 'reference' WHERE a.gene_set = 'all' AND a.sense AND a.w IS NOT NULL AND r.w IS NOT NULL GROUP BY a.family""")
-query("co02_optimization_summary", "SELECT family, all_codon, ref_codon, all_codon = ref_codon AS agree, round(shift, 6) AS max_shift FROM best")
-query("co03_top_line", "SELECT count(*) AS n_families, count(CASE WHEN all_codon = ref_codon THEN 1 END) AS n_agree, round(percentile(shift, 0.5), 6) AS median_shift, round(max(shift), 6) AS max_shift FROM best")
-query("co04_recommendation", "SELECT family, ref_codon AS recommended, CASE WHEN all_codon = ref_codon OR shift >= 5e-1 THEN 'high' WHEN shift >= 2e-1 THEN 'medium' ELSE 'low' END AS confidence FROM best")
+relation("shifted", """SELECT a.codon, a.aa, a.family, a.w AS w_all, r.w AS w_ref, a.w - r.w AS delta, row_number() OVER (PARTITION BY a.family ORDER BY a.w DESC, a.codon) = 1 AS best_all, row_number() OVER (PARTITION BY a.family ORDER BY r.w DESC, a.codon) = 1 AS best_ref
+  FROM set_w a JOIN set_w r ON r.codon = a.codon AND r.gene_set = 'reference' WHERE a.gene_set = 'all' AND a.sense AND a.w IS NOT NULL AND r.w IS NOT NULL""")
+relation("best", """SELECT family, max(aa) AS aa, count(*) AS n_codons, max(CASE WHEN best_all THEN codon END) AS all_codon, max(CASE WHEN best_ref THEN codon END) AS ref_codon, max(CASE WHEN best_all THEN delta END) AS delta_all, max(CASE WHEN best_ref THEN delta END) AS delta_ref,
+  max(CASE WHEN best_ref THEN w_all END) AS rec_w_all, max(CASE WHEN best_ref THEN w_ref END) AS rec_w_ref, max(abs(delta)) AS shift FROM shifted GROUP BY family""")
+query("co02_optimization_summary", "SELECT family, aa, n_codons, all_codon, ref_codon, all_codon = ref_codon AS agree, round(delta_all, 6) AS delta_at_all, round(delta_ref, 6) AS delta_at_ref, round(shift, 6) AS max_shift FROM best")
+query("co03_top_line", """SELECT b.n_families, b.n_agree, b.n_families - b.n_agree AS n_disagree, round(CAST(b.n_agree AS DOUBLE) / greatest(1, b.n_families), 6) AS agreement, s.median_shift, s.max_shift
+  FROM (SELECT count(*) AS n_families, count(CASE WHEN all_codon = ref_codon THEN 1 END) AS n_agree FROM best) b CROSS JOIN (SELECT round(percentile(abs(delta), 0.5), 6) AS median_shift, round(max(abs(delta)), 6) AS max_shift FROM shifted) s""")
+query("co04_recommendation", """SELECT aa, family, ref_codon AS recommended, CASE WHEN all_codon <> ref_codon THEN all_codon END AS alternative, CASE WHEN all_codon = ref_codon THEN 'both agree' ELSE ref_codon || ' differs from ' || all_codon END AS rationale, round(rec_w_all, 6) AS w_all, round(rec_w_ref, 6) AS w_ref,
+  CASE WHEN all_codon = ref_codon OR shift >= 0.5e0 THEN 'high' WHEN shift >= 0.2e0 THEN 'medium' ELSE 'low' END AS confidence FROM best""")
 query("gs03_partition", "SELECT s.gene, CASE WHEN r.gene IS NOT NULL THEN 'cluster' WHEN f.flag THEN 'outlier' ELSE 'bulk' END AS part FROM scores s LEFT JOIN refset r ON r.gene = s.gene LEFT JOIN foreign_gene f ON f.gene = s.gene")
 query("gs02_goi_summary", "SELECT s.gene, round(s.enc, 6) AS enc, round(s.cai, 6) AS cai, s.is_goi = 1 AS is_goi, coalesce(f.flag, false) AS foreign_flag FROM split s LEFT JOIN foreign_gene f ON f.gene = s.gene WHERE s.is_goi = 1")
 query("jn03_outer_join", "SELECT coalesce(a.gene, b.gene) AS gene, a.gene IS NOT NULL AS in_reference, b.gene IS NOT NULL AS in_interest FROM refset a FULL OUTER JOIN goi b ON a.gene = b.gene")
@@ -55,7 +61,8 @@ query("dd01_keep_longest", "SELECT genome, cond, gene, length FROM (SELECT *, ro
 query("sl02_top_pairs", "SELECT a, b, round(cps, 6) AS cps, side FROM (SELECT a, b, cps, 'top' AS side, row_number() OVER (ORDER BY round(cps, 9) DESC, a, b) AS r FROM cps UNION ALL SELECT a, b, cps, 'bottom' AS side, row_number() OVER (ORDER BY round(cps, 9), a, b) AS r FROM cps) x WHERE r <= 10")
 query("sl04_sample", "SELECT gene FROM (SELECT gene, row_number() OVER (ORDER BY md5(CAST(gene AS VARCHAR(20))), gene) AS r FROM genes) x WHERE r <= 200")
 query("sf01_02_sequences", "SELECT gene, md5(translate(seq, 'T', 'U')) AS rna, md5(reverse(translate(seq, 'ACGT', 'TGCA'))) AS revcomp FROM cds")
-relation("wobble", "SELECT * FROM (VALUES ('U', 'A', 1e0), ('U', 'G', 561e-3), ('C', 'G', 1e0), ('G', 'C', 1e0), ('G', 'U', 561e-3), ('A', 'U', 9999e-4), ('A', 'C', 72e-2), ('A', 'A', 32e-2)) AS t(anticodon_base, codon_base, weight)")
+# Wobble weights (Crick pairing; selective constraints as published by dos Reis and others, 2004).
+relation("wobble", "SELECT * FROM (VALUES ('U', 'A', 1e0), ('U', 'G', 0.561e0), ('C', 'G', 1e0), ('G', 'C', 1e0), ('G', 'U', 0.561e0), ('A', 'U', 0.9999e0), ('A', 'C', 0.72e0), ('A', 'A', 0.32e0)) AS t(anticodon_base, codon_base, weight)")
 relation("trna", "SELECT reverse(translate(codon, 'ACGU', 'UGCA')) AS anticodon, CAST(1 + n % 5 AS BIGINT) AS copies FROM codon_n WHERE n % 2 = 0")
 relation("trna_codon", "SELECT d.codon, d.aa, sum(t.copies * w.weight) AS effective FROM trna t JOIN wobble w ON w.anticodon_base = substr(t.anticodon, 1, 1) JOIN codon_dim d ON substr(d.codon, 3, 1) = w.codon_base AND substr(d.codon, 1, 2) = translate(reverse(substr(t.anticodon, 2, 2)), 'ACGU', 'UGCA') GROUP BY d.codon, d.aa")
 query("sf06_trna_wobble", "SELECT codon, aa, round(effective, 6) AS effective_trna FROM trna_codon")

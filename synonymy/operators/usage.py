@@ -1,11 +1,15 @@
 """Codon counts, synonymous usage, effective numbers of codons, adaptation and pairs."""
 
-from synonymy.plans.relations import query, relation
+from synonymy.plans.relations import on_spark, query, relation
 
-relation("genes", "SELECT DISTINCT gene, sample_id, genome, cond, length FROM cds")
-relation("cl", "SELECT gene, sample_id, genome, cond, codon, count(*) AS n FROM codon_pos JOIN codon_dim USING (codon) GROUP BY gene, sample_id, genome, cond, codon")
+relation("genes", "SELECT DISTINCT gene, sample_id, genome, cond, length FROM cds", kept=True)
+relation("cl", "SELECT gene, sample_id, genome, cond, codon, count(*) AS n FROM codon_pos JOIN codon_dim USING (codon) GROUP BY gene, sample_id, genome, cond, codon", kept=True)
 relation("grid", """SELECT g.gene, g.sample_id, g.genome, g.cond, d.codon, d.aa, d.family, d.fold, d.ffold, d.indep, coalesce(c.n, 0) AS n
   FROM genes g CROSS JOIN (SELECT * FROM codon_dim WHERE sense) d LEFT JOIN cl c ON c.gene = g.gene AND c.codon = d.codon""")
+# On Spark one shuffle by gene: a gene's counts (64 at most) as a map, spread over the codons.
+on_spark("grid", """SELECT gene, sample_id, genome, cond, codon, aa, family, fold, ffold, indep, coalesce(element_at(ns, codon), 0) AS n
+  FROM (SELECT g.gene, g.sample_id, g.genome, g.cond, map_from_entries(coalesce(c.es, array())) AS ns FROM genes g LEFT JOIN (SELECT gene, collect_list(struct(codon, n)) AS es FROM cl GROUP BY gene) c ON c.gene = g.gene) x
+  CROSS JOIN (SELECT * FROM codon_dim WHERE sense) d""")
 relation("rscu", "SELECT *, CAST(n * ffold AS DOUBLE) / nullif(sum(n) OVER (PARTITION BY gene, family), 0) AS rscu FROM grid")
 relation("refset", "SELECT DISTINCT doc_id AS gene FROM labels WHERE quality = 1")
 relation("goi", "SELECT DISTINCT doc_id AS gene FROM labels WHERE toxic = 1")
@@ -13,7 +17,7 @@ relation("member", "SELECT 'all' AS gene_set, gene FROM genes UNION ALL SELECT '
 relation("pooled", "SELECT gene_set, codon, sum(n) AS n FROM member JOIN cl USING (gene) GROUP BY gene_set, codon")
 relation("set_rscu", """SELECT s.gene_set, d.codon, d.aa, d.family, d.fold, d.ffold, d.sense, coalesce(p.n, 0) AS n,
   CASE WHEN d.sense THEN CAST(coalesce(p.n, 0) * d.ffold AS DOUBLE) / nullif(sum(coalesce(p.n, 0)) OVER (PARTITION BY s.gene_set, d.family), 0) END AS rscu
-  FROM (SELECT DISTINCT gene_set FROM member) s CROSS JOIN codon_dim d LEFT JOIN pooled p ON p.gene_set = s.gene_set AND p.codon = d.codon""")
+  FROM (SELECT DISTINCT gene_set FROM member) s CROSS JOIN codon_dim d LEFT JOIN pooled p ON p.gene_set = s.gene_set AND p.codon = d.codon""", kept=True)
 relation("set_w", "SELECT *, rscu / nullif(max(rscu) OVER (PARTITION BY gene_set, family), 0) AS w FROM set_rscu")
 relation("w_ref", "SELECT codon, aa, family, rscu, greatest(w, 1e-3) AS w FROM set_w WHERE gene_set = 'reference' AND sense AND w IS NOT NULL")
 relation("weights", """SELECT r.codon, r.aa, r.family, r.fold, r.rscu AS rscu_ref, a.rscu AS rscu_all, ln((r.rscu + 1e-2) / (a.rscu + 1e-2)) AS weight
@@ -34,7 +38,7 @@ relation("freq", """SELECT gene_set, codon, CAST(n AS DOUBLE) / nullif(sum(n) OV
 relation("aa_n", "SELECT gene, aa, fold, codon, n, sum(n) OVER (PARTITION BY gene, aa) AS n_aa, sum(n) OVER (PARTITION BY gene) AS total FROM grid")
 relation("milc", """SELECT a.gene, f.gene_set, sum(CASE WHEN a.n > 0 AND f.f > 0 THEN 2e0 * a.n * ln(a.n / (a.n_aa * f.f)) ELSE 0e0 END) / max(a.total)
   - ((sum(CASE WHEN a.n > 0 THEN 1e0 ELSE 0e0 END) - count(DISTINCT CASE WHEN a.n > 0 THEN a.aa END)) / max(a.total) - 5e-1) AS milc
-  FROM aa_n a JOIN freq f USING (codon) WHERE a.total > 0 GROUP BY a.gene, f.gene_set""")
+  FROM aa_n a JOIN freq f USING (codon) WHERE a.total > 0 GROUP BY a.gene, f.gene_set""", kept=True)
 relation("melp", "SELECT a.gene, a.milc AS milc_all, r.milc AS milc_ref, a.milc / nullif(r.milc, 0) AS melp FROM milc a JOIN milc r ON r.gene = a.gene AND r.gene_set = 'reference' WHERE a.gene_set = 'all'")
 relation("encp_aa", """SELECT gene, aa, fold, (n_aa + x2 - fold) / (fold * (n_aa - 1e0)) AS f FROM (SELECT a.gene, a.aa, a.fold, max(a.n_aa) AS n_aa,
   sum(CASE WHEN f.f > 0 THEN a.n_aa * pow(CAST(a.n AS DOUBLE) / a.n_aa - f.f, 2) / f.f ELSE 0e0 END) AS x2 FROM aa_n a JOIN freq f ON f.codon = a.codon AND f.gene_set = 'all' WHERE a.n_aa > 1 GROUP BY a.gene, a.aa, a.fold) x""")
@@ -73,11 +77,11 @@ query("ag31_two_way_cai", """SELECT c.gene, round(exp(sum(CASE WHEN w.gene_set =
   FROM cl c JOIN set_w w ON w.codon = c.codon AND w.sense AND w.w IS NOT NULL GROUP BY c.gene""")
 
 relation("pair", """SELECT x.gene, x.codon AS a, x.nxt AS b, count(*) AS n FROM (SELECT gene, codon, lead(codon) OVER (PARTITION BY gene ORDER BY pos) AS nxt FROM codon_pos) x
-  JOIN codon_dim da ON da.codon = x.codon AND da.coding JOIN codon_dim db ON db.codon = x.nxt AND db.coding GROUP BY x.gene, x.codon, x.nxt""")
+  JOIN codon_dim da ON da.codon = x.codon AND da.coding JOIN codon_dim db ON db.codon = x.nxt AND db.coding GROUP BY x.gene, x.codon, x.nxt""", kept=True)
 relation("codon_n", "SELECT d.codon, d.aa, sum(c.n) AS n, sum(sum(c.n)) OVER (PARTITION BY d.aa) AS n_aa FROM cl c JOIN codon_dim d ON d.codon = c.codon AND d.coding GROUP BY d.codon, d.aa")
 relation("cps", """SELECT p.a, p.b, p.n, ln(p.n / ((CAST(x.n AS DOUBLE) * y.n) / (CAST(x.n_aa AS DOUBLE) * y.n_aa) * p.n_aa)) AS cps
   FROM (SELECT q.a, q.b, q.n, da.aa AS aa1, db.aa AS aa2, sum(q.n) OVER (PARTITION BY da.aa, db.aa) AS n_aa FROM (SELECT a, b, sum(n) AS n FROM pair GROUP BY a, b) q JOIN codon_dim da ON da.codon = q.a JOIN codon_dim db ON db.codon = q.b) p
-  JOIN codon_n x ON x.codon = p.a JOIN codon_n y ON y.codon = p.b""")
+  JOIN codon_n x ON x.codon = p.a JOIN codon_n y ON y.codon = p.b""", kept=True)
 relation("cpb", "SELECT p.gene, sum(p.n) AS n_pairs, sum(p.n * c.cps) / sum(p.n) AS cpb FROM pair p JOIN cps c ON c.a = p.a AND c.b = p.b GROUP BY p.gene")
 relation("bases", "SELECT DISTINCT substr(codon, 1, 1) AS base FROM codon_dim")
 relation("junction", "SELECT substr(a, 3, 1) AS x, substr(b, 1, 1) AS y, sum(n) AS n FROM pair GROUP BY substr(a, 3, 1), substr(b, 1, 1)")

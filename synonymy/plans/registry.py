@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from synonymy.operators import genomics, statistics, usage  # noqa: F401  they define the queries
 from synonymy.plans import relations
 
-QUERIES = {name: partial(lambda spark, sf_dir, name: relations.run(spark, sf_dir, name), name=name) for name in relations.QUERIES}
-SQL = {name: relations.reference_sql(name) for name in relations.QUERIES}
+QUERIES = relations.queries()
+SQL = {name: relations.reference_sql(name) for name in relations.QUERIES if name not in relations.NO_SQL}
