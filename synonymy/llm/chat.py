@@ -3,22 +3,26 @@
 An assistant's text may be a JSON object with ``tool_calls`` (id, name, arguments) and
 ``content``; a tool's text a JSON object with ``tool_call_id`` and ``content``.  Calls
 and results are hash-joined by conversation and identifier.  A result depends on its
-call, a call on the results that its arguments name as ``{"$ref": id}``.  Messages
-without unmet dependencies are placed round by round; what is left is on a cycle.
+call, a call on the results that its arguments name as ``{"$ref": id}``.  A message
+without unmet dependencies is placed after those it depends on; what is left is on a cycle.
 
-A conversation's messages are numbered through blocks of turns, so that no task
-holds a whole conversation.
+The dependencies of a conversation are ordered in one task where they are at most
+``TASK_EDGES``, and by rounds of joins beyond.  Messages are numbered by one sort over
+the whole order, cut into ranges; a conversation that spans ranges carries its count
+over, so no task holds a whole conversation.
 """
 
 from __future__ import annotations
 
 import json
+import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import column, cut, only, scratch
 
@@ -29,13 +33,14 @@ SCHEMAS = {
     "fetch": {"url": ("string", True), "timeout": ("number", False)},
 }
 _TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict, "null": type(None)}
-TURN_BLOCK = 512
+#: Dependencies of a conversation that one task orders; larger conversations go by rounds of joins.
+TASK_EDGES = 100_000
 PARSED = "tool_calls array<struct<id:string,name:string,arguments:string>>, tool_call_id string"
 
 
 def valid(name: str | None, arguments, schemas: dict) -> bool:
     """Whether the arguments (parsed) fit the tool's schema; references fit any type, unknown tools fit nothing."""
-    schema = schemas.get(name)
+    schema = schemas.get(name) if isinstance(name, str) else None
     if schema is None or not isinstance(arguments, dict) or set(arguments) - set(schema):
         return False
     for key, (kind, required) in schema.items():
@@ -54,49 +59,104 @@ def valid(name: str | None, arguments, schemas: dict) -> bool:
 def _load(text):
     try:
         return json.loads(text)
-    except (TypeError, ValueError):
+    except (TypeError, ValueError, RecursionError):
         return None
 
 
 def canonical(value) -> str:
-    """Sorted keys, no blanks, characters as they are; numbers that JSON lacks become null."""
+    """Sorted keys, no blanks, characters as they are but for lone surrogates, which stay escaped; numbers that JSON lacks become null."""
     try:
-        return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+        out = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
     except ValueError:
         return canonical(json.loads(json.dumps(value), parse_constant=lambda _: None))
+    return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m[0]):04x}", out)
+
+
+def _message(role, text, calls: bool, result: bool, schemas: dict) -> tuple[int, bool, str]:
+    """(number of calls, whether all are valid, canonical JSON) of a message."""
+    body = _load(text) if calls or result else None
+    out = {"role": role, "content": text}
+    if calls and isinstance(body, dict) and isinstance(body.get("tool_calls"), list):
+        made = []
+        for c in body["tool_calls"]:
+            c = c if isinstance(c, dict) else {}
+            arguments = _load(c["arguments"]) if isinstance(c.get("arguments"), str) else c.get("arguments")
+            made.append({"id": c.get("id"), "name": c.get("name"), "arguments": arguments, "valid": valid(c.get("name"), arguments, schemas)})
+        return len(made), all(c["valid"] for c in made), canonical(out | {"content": body.get("content"), "tool_calls": made})
+    if result and isinstance(body, dict):
+        out |= {"content": body.get("content"), "tool_call_id": body.get("tool_call_id")}
+    return 0, True, canonical(out)
 
 
 def _formatted(schemas: dict):
-    def one(role, text, calls: bool, result: bool) -> tuple[int, bool, str]:
-        body = _load(text) if calls or result else None
-        out = {"role": role, "content": text}
-        if calls and isinstance(body, dict):
-            made, ok = [], True
-            for c in body.get("tool_calls") or []:
-                c = c if isinstance(c, dict) else {}
-                arguments = _load(c["arguments"]) if isinstance(c.get("arguments"), str) else c.get("arguments")
-                good = valid(c.get("name"), arguments, schemas)
-                ok &= good
-                made.append({"id": c.get("id"), "name": c.get("name"), "arguments": arguments, "valid": good})
-            out |= {"content": body.get("content"), "tool_calls": made}
-            return len(made), ok, canonical(out)
-        if result and isinstance(body, dict):
-            out |= {"content": body.get("content"), "tool_call_id": body.get("tool_call_id")}
-        return 0, True, canonical(out)
+    """Messages as JSON, with their range, their place in it, and their place in their conversation's part of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, pos, conversation, at = TaskContext.get().partitionId(), -1, (), 0
         for batch in batches:
-            got = [one(*x) for x in zip(*(column(batch, c).to_pylist() for c in ("role", "text", "is_call", "is_result")), strict=True)]
+            got = [_message(*x, schemas) for x in zip(*(column(batch, c).to_pylist() for c in ("role", "text", "is_call", "is_result")), strict=True)]
+            places = []
+            for c in column(batch, "conv_id").to_pylist():
+                at = at + 1 if conversation == (c,) else 0
+                conversation, pos = (c,), pos + 1
+                places.append((pos, at))
             yield pa.RecordBatch.from_arrays(
-                [*(column(batch, c) for c in ("conv_id", "turn", "role", "seq", "n_linked", "status")), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.bool_()), pa.array([g[2] for g in got], pa.string())],
-                names=["conv_id", "turn", "role", "seq", "n_linked", "status", "n_calls", "valid", "json"],
-            )
+                [
+                    *(column(batch, c) for c in ("conv_id", "turn", "role", "n_linked", "status")), pa.array([part] * len(got), pa.int32()), pa.array([x[0] for x in places], pa.int64()), pa.array([x[1] for x in places], pa.int64()),
+                    pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.bool_()), pa.array([g[2] for g in got], pa.string()),
+                ],
+                names=["conv_id", "turn", "role", "n_linked", "status", "part", "pos", "at", "n_calls", "valid", "json"],
+            )
 
     return run
 
 
-def _levels(edges: DataFrame, folder: str) -> DataFrame:
-    """(node, level, after): Kahn's algorithm by rounds over (src, dst, src_turn); nodes on or behind a cycle are missing."""
+def _numbered(parts: DataFrame) -> DataFrame:
+    """seq from the places in each range: a range's first conversation goes on where the ranges before left it."""
+    ends = parts.groupBy("part").agg(F.min(F.struct("pos", "conv_id")).alias("first"), F.max(F.struct("pos", "conv_id", "at")).alias("last"))
+    carry, last, n = [], None, 0
+    for r in sorted(ends.collect(), key=lambda r: r["part"]):  # a row for each range of the sort
+        begin = n if last == (r["first"]["conv_id"],) else 0
+        if begin:
+            carry.append((r["part"], r["first"]["conv_id"], begin))
+        whole = r["first"]["conv_id"] == r["last"]["conv_id"]
+        last, n = (r["last"]["conv_id"],), r["last"]["at"] + 1 + (begin if whole else 0)
+    more = F.broadcast(parts.sparkSession.createDataFrame(carry, "p int, c long, carry long"))  # a row for each range at most
+    out = parts.join(more, (F.col("part") == F.col("p")) & F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    return out.withColumn("seq", F.col("at") + F.coalesce("carry", F.lit(0).cast("long")))
+
+
+def _order(table: pa.Table) -> pa.Table:
+    """(node, level, after) of one conversation's dependencies; nodes on or behind a cycle are missing."""
+    src, dst, src_turn, dst_turn = (table[c].to_pylist() for c in ("src", "dst", "src_turn", "dst_turn"))
+    need, out = defaultdict(int), defaultdict(list)
+    own = dict(zip(src, src_turn, strict=True)) | dict(zip(dst, dst_turn, strict=True))
+    for s, d in zip(src, dst, strict=True):
+        out[s].append(d)
+        need[d] += 1
+    level, after, ready = {n: 0 for n in own}, dict(own), [n for n in own if not need[n]]
+    placed = []
+    while ready:
+        n = ready.pop()
+        placed.append(n)
+        for d in out[n]:
+            level[d], after[d], need[d] = max(level[d], level[n] + 1), max(after[d], after[n]), need[d] - 1
+            if not need[d]:
+                ready.append(d)
+    return pa.table({"node": pa.array(placed, pa.int64()), "level": pa.array([level[n] for n in placed], pa.int32()), "after": pa.array([after[n] for n in placed], pa.int64())})
+
+
+def _levels(edges: DataFrame, folder: str, most: int) -> DataFrame:
+    """(node, level, after): in one task where a conversation has at most ``most`` dependencies, else by rounds."""
+    sizes = edges.groupBy("conv_id").agg(F.count("*").alias("edges"))
+    sized = edges.join(sizes, "conv_id")
+    small = sized.where(F.col("edges") <= most).drop("edges").groupBy("conv_id").applyInArrow(_order, "node long, level int, after long")
+    large = sized.where(F.col("edges") > most)
+    return small if large.isEmpty() else small.union(_rounds(cut(large, folder, "large"), folder))
+
+
+def _rounds(edges: DataFrame, folder: str) -> DataFrame:
+    """(node, level, after): Kahn's algorithm by rounds over (src, dst, src_turn, dst_turn); nodes on or behind a cycle are missing."""
     need = edges.groupBy("dst").agg(F.count("*").alias("need"))
     roots = edges.select(F.col("src").alias("node"), F.col("src_turn").alias("turn")).distinct().join(need, F.col("node") == need.dst, "left_anti")
     done = cut(roots.select("node", F.lit(0).alias("level"), F.col("turn").alias("after")), folder, "level0")
@@ -111,7 +171,7 @@ def _levels(edges: DataFrame, folder: str) -> DataFrame:
         done = cut(done.union(new), folder, f"placed{i}")
 
 
-def link(conversations: DataFrame, schemas: dict | None = None) -> DataFrame:
+def link(conversations: DataFrame, schemas: dict | None = None, task_edges: int = TASK_EDGES) -> DataFrame:
     """conv_id, turn, role, seq, n_calls, n_linked, valid, status, json for each row of ``conversations`` (conv_id, turn, role, text).
 
     ``seq`` numbers a conversation's messages from 0 in topological order; ties go by turn,
@@ -119,11 +179,12 @@ def link(conversations: DataFrame, schemas: dict | None = None) -> DataFrame:
     linked result.  status: plain, linked, unlinked (a call or result without its
     counterpart) or cycle.  A result whose id several calls have belongs to the first by
     turn; of several results each is linked.  Texts that are null, or no JSON, are plain content;
+    a call whose name is no string, whose tool is unknown or whose arguments do not fit is not valid;
     null turns come first; rows of null conv_id are one conversation, never linked;
     repeated rows stay.  Other columns are ignored.
     """
     folder = scratch(conversations.sparkSession)
-    body = F.from_json("text", PARSED)
+    body = F.from_json("text", PARSED, {"allowSingleQuotes": "false"})
     looks = F.startswith(F.ltrim("text"), F.lit("{"))
     rows = only(conversations, "conv_id", "turn", "role", "text").withColumn("p", F.when(looks & F.col("role").isin("assistant", "tool"), body))
     rows = rows.withColumn("is_call", F.coalesce((F.col("role") == "assistant") & (F.size("p.tool_calls") > 0), F.lit(False))).withColumn("is_result", F.coalesce((F.col("role") == "tool") & F.col("p.tool_call_id").isNotNull(), F.lit(False)))
@@ -134,28 +195,24 @@ def link(conversations: DataFrame, schemas: dict | None = None) -> DataFrame:
     results = rows.where("is_result and conv_id is not null").select("conv_id", F.col("p.tool_call_id").alias("id"), F.col("node").alias("result_node"), key.alias("result_turn"))
     linked = cut(owner.join(results, ["conv_id", "id"]), folder, "linked")
     refs = calls.select("conv_id", "node", "turn", F.explode(F.regexp_extract_all("call.arguments", F.lit(r'"\$ref"\s*:\s*"([^"]*)"'), F.lit(1))).alias("id")).distinct()
-    edges = linked.select(F.col("call_node").alias("src"), F.col("call_turn").alias("src_turn"), F.col("result_node").alias("dst"), F.col("result_turn").alias("dst_turn"))
-    edges = edges.union(refs.join(linked, ["conv_id", "id"]).select("result_node", "result_turn", "node", "turn")).distinct()
+    edges = linked.select("conv_id", F.col("call_node").alias("src"), F.col("call_turn").alias("src_turn"), F.col("result_node").alias("dst"), F.col("result_turn").alias("dst_turn"))
+    edges = edges.union(refs.join(linked, ["conv_id", "id"]).select("conv_id", "result_node", "result_turn", "node", "turn")).distinct()
     edges = cut(edges, folder, "edges")
     if edges.isEmpty():
         placed = rows.withColumn("level", F.lit(0)).withColumn("after", key).withColumn("cycle", F.lit(False)).withColumn("n_linked", F.lit(0).cast("long"))
     else:
-        levels = _levels(edges, folder)
+        levels = _levels(edges, folder, task_edges)
         nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct().join(levels, "node", "left").withColumn("cycle", F.col("level").isNull())
         count = linked.select(F.col("call_node").alias("node"), "id").distinct().union(linked.select("result_node", "id")).groupBy("node").agg(F.count("*").alias("n_linked"))
         placed = rows.join(nodes, "node", "left").join(count, "node", "left").withColumn("cycle", F.coalesce("cycle", F.lit(False))).withColumn("n_linked", F.coalesce("n_linked", F.lit(0).cast("long"))).withColumn("level", F.coalesce("level", F.lit(0))).withColumn("after", F.coalesce("after", key))
-    placed = placed.withColumn("block", F.floor(F.col("after") / TURN_BLOCK))
-    sizes = placed.groupBy("conv_id", "block").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
-    base = sizes.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), F.coalesce(before, F.lit(0)).alias("base"))
-    inside = F.row_number().over(Window.partitionBy("conv_id", "block").orderBy("after", "level", "turn", "role", F.xxhash64("text"), "node"))
-    ordered = placed.withColumn("inside", inside).join(base, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b")))
     tool = F.col("is_call") | F.col("is_result")
     whole = F.when(F.col("is_call"), F.col("n_linked") >= F.size("p.tool_calls")).otherwise(F.col("n_linked") > 0)
     status = F.when(~tool, "plain").when(F.col("cycle"), "cycle").when(whole, "linked").otherwise("unlinked")
-    ready = ordered.select("conv_id", "turn", "role", "text", "is_call", "is_result", (F.col("base") + F.col("inside") - 1).alias("seq"), "n_linked", status.alias("status"))
-    out = ready.mapInArrow(_formatted(schemas or SCHEMAS), "conv_id long, turn long, role string, seq long, n_linked long, status string, n_calls long, valid boolean, json string")
-    return out.select("conv_id", "turn", "role", "seq", "n_calls", "n_linked", "valid", "status", "json")
+    order = ["conv_id", "after", "level", "turn", "role", "hash", "node"]
+    ready = placed.select("conv_id", "turn", "role", "text", "is_call", "is_result", "n_linked", status.alias("status"), "after", "level", F.xxhash64("text").alias("hash"), "node")
+    ready = ready.repartitionByRange(*order).sortWithinPartitions(*order)
+    made = ready.mapInArrow(_formatted(schemas or SCHEMAS), "conv_id long, turn long, role string, n_linked long, status string, part int, pos long, at long, n_calls long, valid boolean, json string")
+    return _numbered(cut(made, folder, "formatted")).select("conv_id", "turn", "role", "seq", "n_calls", "n_linked", "valid", "status", "json")
 
 
 def op8_chat_formatting(spark, sf_dir):
