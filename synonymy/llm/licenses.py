@@ -1,10 +1,13 @@
 """License scan by a positional rare-token index.
 
-Templates are short word sequences.  The index posts each template's words of highest
-inverse document frequency with their positions; frequencies are counted over all
-documents.  A document's hits on such words propose where a template would begin;
-hits of a template must agree on that place, and its mandatory key phrases must then
-stand there word by word.
+Templates are short word sequences.  The index posts the places of each word in each
+template, and ranks words by inverse document frequency over all documents.  In each
+file the licence words of highest inverse document frequency that stand in it are
+looked up, template by template; their postings, intersected by relative position,
+propose where the template would begin.  Several of them must agree on that place,
+and the template's mandatory key phrases must stand there word by word.
+
+A file without all words of a template's key phrases is not looked up for it.
 """
 
 from __future__ import annotations
@@ -41,6 +44,7 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software", "public domain")),
     ("warranty", "the software is provided as is without warranty of any kind express or implied", ("without warranty of any kind",)),
 )
+#: Of each template, so many of its rarest words that stand in a file are looked up there.
 ANCHORS = 4
 #: Words by which an edited template may be longer or shorter.
 SLACK = 3
@@ -59,15 +63,16 @@ class Index:
         h = np.array([hash_word(w) for w in self.words], np.uint64)
         self.order = np.argsort(h)
         self.hashes = h[self.order]
-        self.anchors: list[list[int]] = []
 
     def rank(self, df: dict[int, int]) -> None:
-        """Choose each template's anchors: positions of its words of least document frequency."""
-        self.df = df
-        for i, t in enumerate(self.templates):
-            first = {int(w): p for p, w in reversed([*enumerate(t)])}
-            best = sorted(first, key=lambda w: (df.get(w, 0), first[w]))
-            self.anchors.append(sorted(first[w] for w in best[: 1 if i < len(BASE) else ANCHORS]))
+        """Rank each template's words, rarest first; equal frequencies by place.  Base phrases are looked up by their rarest word alone."""
+        self.ranked, self.postings = [], []
+        for t in self.templates:
+            places: dict[int, list[int]] = {}
+            for p, w in enumerate(t.tolist()):
+                places.setdefault(w, []).append(p)
+            self.ranked.append(sorted(places, key=lambda w: (df.get(w, 0), places[w][0])))
+            self.postings.append(places)
 
     def numbers(self, h: np.ndarray) -> np.ndarray:
         """Each word's number, -1 for other words."""
@@ -100,44 +105,63 @@ def _stands(v: np.ndarray, doc: np.ndarray, start: np.ndarray, t: np.ndarray) ->
     return ok
 
 
-def _matched(index: Index, v: np.ndarray, doc: np.ndarray, spot: dict[int, np.ndarray], i: int) -> Iterator[tuple[int, int, float]]:
-    """(document, first word, share of the template's words) where template i holds."""
-    t, where = index.templates[i], index.anchors[i]
-    starts = np.concatenate([spot.get(int(t[p]), np.zeros(0, np.int64)) - p for p in where])
-    which = np.concatenate([np.full(len(spot.get(int(t[p]), ())), p) for p in where])
-    order = np.argsort(starts, kind="stable")
-    starts, which = starts[order], which[order]
-    if not len(starts):
+class Hits:
+    """Where licence words stand in a slice, and which of them stand in which document."""
+
+    def __init__(self, index: Index, w: Words):
+        self.v, self.doc, self.first = index.numbers(w.hashes()), w.doc, w.first
+        hit = np.flatnonzero(self.v >= 0)
+        hit = hit[np.argsort(self.v[hit], kind="stable")]
+        edges = np.searchsorted(self.v[hit], np.arange(len(index.words) + 1))
+        self.spot = [hit[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+        self.docs, place = np.unique(self.doc[hit], return_inverse=True)
+        self.has = np.zeros((len(self.docs), len(index.words)), bool)
+        self.has[place, self.v[hit]] = True
+
+
+def _matched(index: Index, hits: Hits, i: int) -> Iterator[tuple[int, float]]:
+    """(document, share of the template's words) where template i holds; each document by itself."""
+    t, keys, ranked = index.templates[i], index.keys[i - len(BASE)], index.ranked[i]
+    able = np.flatnonzero(hits.has[:, np.unique(np.concatenate(keys))].all(axis=1))
+    if not len(able):
         return
-    edges = np.flatnonzero(np.r_[True, np.diff(starts) > SLACK])
-    for a, b in zip(edges, np.r_[edges[1:], len(starts)], strict=True):
-        if len(set(which[a:b].tolist())) < min(2, len(where)):
+    present = hits.has[np.ix_(able, ranked)]
+    looked_up = present & (np.cumsum(present, axis=1) <= ANCHORS)
+    start, doc, word = [], [], []
+    for k, w in enumerate(ranked):
+        at = hits.spot[w]
+        which = np.searchsorted(hits.docs[able], hits.doc[at])
+        which = np.minimum(which, len(able) - 1)
+        at = at[(hits.docs[able[which]] == hits.doc[at]) & looked_up[which, k]]
+        for p in index.postings[i][w]:
+            start.append(at - p), doc.append(hits.doc[at]), word.append(np.full(len(at), w))
+    start, doc, word = np.concatenate(start), np.concatenate(doc), np.concatenate(word)
+    order = np.lexsort((start, doc))
+    start, doc, word = start[order], doc[order], word[order]
+    edges = np.flatnonzero(np.r_[True, (np.diff(start) > SLACK) | (np.diff(doc) > 0)]) if len(start) else ()
+    for a, b in zip(edges, np.r_[edges[1:], len(start)] if len(start) else (), strict=True):
+        if len(set(word[a:b].tolist())) < min(2, len(ranked)):
             continue
-        s = max(0, int(starts[a]) - SLACK)
-        d = int(doc[min(max(int(starts[a]) + int(which[a]), 0), len(doc) - 1)])
-        window = np.where(doc[s : int(starts[b - 1]) + len(t) + SLACK] == d, v[s : int(starts[b - 1]) + len(t) + SLACK], -2)
-        held = all(any(np.array_equal(window[x : x + len(k)], k) for x in range(len(window) - len(k) + 1)) for k in index.keys[i - len(BASE)])
-        if held:
-            share = max(float(np.mean([0 <= x + j < len(v) and doc[x + j] == d and v[x + j] == word for j, word in enumerate(t)])) for x in set(starts[a:b].tolist()))
-            yield d, max(int(starts[a]), 0), share
+        low, high = hits.first[doc[a]], hits.first[doc[a] + 1]
+        window = hits.v[max(low, start[a] - SLACK) : min(high, start[b - 1] + len(t) + SLACK)]
+        if all(any(np.array_equal(window[x : x + len(k)], k) for x in range(len(window) - len(k) + 1)) for k in keys):
+            share = max(float(np.mean([low <= x + j < high and hits.v[x + j] == w for j, w in enumerate(t)])) for x in set(start[a:b].tolist()))
+            yield int(doc[a]), share
 
 
 def _scanned(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        needed = sorted({int(index.templates[i][p]) for i, ps in enumerate(index.anchors) for p in ps})
         for whole in batches:
             for batch in chunks(whole):
                 w = Words(column(batch, "text"), ALNUM_WORDS)
-                v, n = index.numbers(w.hashes()), w.rows
-                hit = np.flatnonzero(np.isin(v, needed))
-                spot = {int(x): hit[v[hit] == x] for x in np.unique(v[hit])}
+                hits, n = Hits(index, w), w.rows
                 base = np.zeros(n, np.int64)
                 low, high = np.full(n, np.iinfo(np.int64).max), np.full(n, -1)
                 score, base_labels, labels = np.zeros(n), [set() for _ in range(n)], [set() for _ in range(n)]
                 for i, t in enumerate(index.templates[: len(BASE)]):
-                    p = index.anchors[i][0]
-                    start = spot.get(int(t[p]), np.zeros(0, np.int64)) - p
-                    start = start[_stands(v, w.doc, start, t)] if len(start) else start
+                    rarest = index.ranked[i][0]
+                    start = hits.spot[rarest] - index.postings[i][rarest][0]
+                    start = start[_stands(hits.v, w.doc, start, t)] if len(start) else start
                     d = w.doc[start]
                     np.add.at(base, d, 1)
                     np.minimum.at(low, d, start - w.first[d])
@@ -147,7 +171,7 @@ def _scanned(index: Index):
                         labels[x].add(index.labels[i])
                         score[x] = 1.0
                 for i in range(len(BASE), len(index.templates)):
-                    for d, _, share in _matched(index, v, w.doc, spot, i):
+                    for d, share in _matched(index, hits, i):
                         labels[d].add(index.labels[i])
                         score[d] = max(score[d], share)
                 yield pa.RecordBatch.from_arrays(
