@@ -33,7 +33,6 @@ INVISIBLE = "­​‌‍⁠﻿"
 
 #: Bound on the labelled rows that the lexicon and the score's scale are fitted on.
 LABELLED_ROWS = 40_000
-MOST_ENTRIES = 1000
 STEM = (4, 9)
 
 
@@ -59,7 +58,8 @@ def fold_word(word: str) -> str:
 
 
 def folded(text: str | None) -> list[str]:
-    return [fold_word(w) if len(w) < 64 else w.translate(_FOLD) for w in (text or "").lower().split()]
+    """Folded words of any length; only short ones are remembered."""
+    return [fold_word(w) if len(w) < 64 else fold_word.__wrapped__(w) for w in (text or "").lower().split()]
 
 
 def _terms(word: str) -> Iterator[str]:
@@ -149,6 +149,19 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 60
     return w
 
 
+def _leading(entries: dict[str, tuple[float, float]]) -> dict[str, float]:
+    """term -> odds, best g2 first, without terms that begin with one taken before, and without beginnings of a taken term with odds as good."""
+    weights: dict[str, float] = {}
+    below: dict[str, float] = {}  # the best odds of taken terms by each of their beginnings
+    for term, (_, odds) in sorted(entries.items(), key=lambda e: (-e[1][0], -len(e[0]), e[0])):
+        starts = [term[:n] for n in range(1, len(term) + 1)]
+        if not any(x in weights for x in starts) and below.get(term.rstrip(), -math.inf) < odds:
+            weights[term] = odds
+            for x in starts:
+                below[x] = max(below.get(x, odds), odds)
+    return weights
+
+
 def _summed(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,20 +185,15 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> Lexi
         both = F.col("toxic") + F.col("clean")
         part = lambda seen, share: F.when(seen > 0, seen * F.log(seen / (both * share))).otherwise(0.0)
         g2 = 2 * (part(F.col("toxic"), F.lit(n1 / (n0 + n1))) + part(F.col("clean"), F.lit(n0 / (n0 + n1))))
-        top = counts.where(F.col("toxic") >= max(3, n1 // 400)).select("term", odds.alias("odds"), g2.alias("g2")).where("odds > 2 and g2 > 15")
-        entries = top.orderBy(F.col("g2").desc(), "term").limit(MOST_ENTRIES).collect()
-        # A beginning that is no better than a shorter one or than a whole word is left out.
-        weights: dict[str, float] = {}
-        for r in sorted(entries, key=lambda r: (-r["g2"], -len(r["term"]), r["term"])):
-            t = r["term"].strip()
-            if not any(r["term"].startswith(e) for e in weights) and not any(e.strip().startswith(t) and weights[e] >= r["odds"] for e in weights):
-                weights[r["term"]] = r["odds"]
+        # As many rows as terms of the bounded sample pass both tests.
+        entries = counts.where("toxic >= 3").select("term", odds.alias("odds"), g2.alias("g2")).where("odds > 2 and g2 > 15").collect()
+        weights = _leading({r["term"]: (r["g2"], r["odds"]) for r in entries})
         stems = [e for e in weights if not e.endswith(" ")]
         exceptions = []
         if stems:
-            word = F.expr("term like '% '")
-            hit = F.exists(F.array(*map(F.lit, stems)), lambda s: F.startswith("term", s))
-            exceptions = [r["term"].strip() for r in counts.where(word & hit & (F.col("clean") >= 3) & (F.col("clean") > 20 * F.col("toxic"))).orderBy(F.col("clean").desc(), "term").limit(MOST_ENTRIES).collect()]
+            beginnings = F.transform(F.sequence(F.lit(STEM[0]), F.lit(STEM[1])), lambda n: F.substring(F.col("term"), F.lit(1), n + 1))
+            hit = F.arrays_overlap(beginnings, F.array(*map(F.lit, stems)))
+            exceptions = [r["term"].strip() for r in counts.where(F.expr("term like '% '") & hit & (F.col("clean") >= 3) & (F.col("clean") > 20 * F.col("toxic"))).collect()]
         lexicon = Lexicon(weights, exceptions, (0, 0, 0))
         got = rows.mapInArrow(_summed(lexicon), "total double, words long, toxic int").toPandas()
     finally:
