@@ -1,8 +1,9 @@
 """Benchmark decontamination.
 
 Word n-grams of the test items seed the search.  A seed is rare if its words'
-corpus frequencies make it unlikely by chance; a passage that leaked into many
-documents stays a seed however often it stands there.  Documents stream past the
+corpus frequencies make chance hits rare for each word that is read, whatever the
+size of the corpus; and of each stretch of an item its rarest seed is kept, so every
+part of an item is sought, however often it leaked.  Documents stream past the
 seeds; hits on near diagonals open a window of the document, and Smith-Waterman on
 words aligns the window with the item, so edited copies keep their score.
 """
@@ -19,8 +20,12 @@ from pyspark.sql import functions as F
 from .common import ALNUM_WORDS, Words, chunks, column, only, windows
 
 SEED_WORDS = 4
-#: A seed is rare if chance would put it into the corpus fewer times than this.
-CHANCE = 0.01
+#: A seed is rare if chance would put it at fewer than one in so many words.
+CHANCE = 1e-8
+#: Of so many seeds in a row the rarest is kept in any case.
+STRETCH = 4
+#: Cells of an alignment that are held at once; larger ones keep one row.
+CELLS = 1 << 22
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Least share of the best possible score, and least number of matching words.
 LEAST_SCORE, LEAST_MATCHES = 0.4, 8
@@ -53,16 +58,16 @@ class Items:
         self.vocabulary = np.unique(self.words)
 
     def seed(self, counts: dict[int, int], total: int) -> None:
-        """Keep rare n-grams; an item without any keeps all that it has."""
+        """Keep rare n-grams, and the rarest of each stretch of an item."""
         p = np.array([max(counts.get(int(x), 0), 0.5) for x in self.words.view(np.int64)], float) / max(total, 1)
         g, at = windows(self.words, self.doc, SEED_WORDS)
-        chance = np.full(len(at), float(total))
-        for i in range(SEED_WORDS):
-            chance *= p[at + i]
-        rare = chance < CHANCE
-        some = np.zeros(len(self.ids), bool)
-        some[self.doc[at[rare]]] = True
-        use = rare | ~some[self.doc[at]]
+        chance = np.prod([p[at + i] for i in range(SEED_WORDS)], axis=0) if len(at) else np.zeros(0)
+        use = chance < CHANCE
+        stretch = (at - self.first[self.doc[at]]) // STRETCH
+        order = np.lexsort((at, chance, stretch, self.doc[at]))
+        if len(at):
+            new = np.r_[True, (np.diff(stretch[order]) != 0) | (np.diff(self.doc[at][order]) != 0)]
+            use[order[new]] = True
         g, at = g[use], at[use]
         # Items of fewer words than a seed are sought whole.
         short = [i for i in range(len(self.ids)) if 0 < self.first[i + 1] - self.first[i] < SEED_WORDS]
@@ -73,8 +78,15 @@ class Items:
         self.filter[(self.seeds & np.uint64(0xFFFF)).astype(np.int64)] = True
 
 
-def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, int]:
-    """Best local alignment of item ``a`` in window ``b``: score, matches, item start, b start, b end (word numbers)."""
+def align(a: np.ndarray, b: np.ndarray, cells: int = CELLS) -> tuple[int, int, int, int, int]:
+    """Best local alignment of item ``a`` in window ``b``: score, matches, item start, b start, b end (word numbers).
+
+    Small alignments keep all rows and walk back; larger ones keep one row and carry the start and the matches along.  Both take the same path.
+    """
+    return _walked(a, b) if (len(a) + 1) * (len(b) + 1) <= cells else _carried(a, b)
+
+
+def _walked(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, int]:
     m, j = len(b), np.arange(len(b) + 1) * -GAP
     h = np.zeros((len(a) + 1, m + 1), np.int32)
     for i in range(len(a)):
@@ -95,6 +107,34 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, int]:
     return score, matches, int(i), int(k), end
 
 
+def _carried(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, int]:
+    m, place = len(b), np.arange(len(b) + 1)
+    j = place * -GAP
+    # Of each cell: score, matches, and where its path began.
+    h, matches, item, begin = np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64), place.copy()
+    best = (0, 0, 0, 0, 0)
+    for i in range(len(a)):
+        same = b == a[i]
+        diagonal, up = h[:-1] + np.where(same, MATCH, MISMATCH), h[1:] + GAP
+        across = diagonal >= up
+        row, row_matches, row_item, row_begin = np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64), np.full(m + 1, i + 1), place.copy()
+        row[1:] = np.maximum(np.maximum(diagonal, up), 0)
+        live = np.flatnonzero(row[1:] > 0)
+        source = np.where(across[live], live, live + 1)
+        row_matches[live + 1] = matches[source] + (same[live] & across[live])
+        row_item[live + 1], row_begin[live + 1] = item[source], begin[source]
+        run = np.maximum.accumulate(row + j)
+        left = np.maximum.accumulate(np.where(row + j >= run, place, 0))  # the cell that a gap along b comes from
+        h = run - j
+        zero = h == 0
+        matches = np.where(zero, 0, row_matches[left])
+        item, begin = np.where(zero, i + 1, row_item[left]), np.where(zero, place, row_begin[left])
+        k = int(h.argmax())
+        if h[k] > best[0]:
+            best = (int(h[k]), int(matches[k]), int(item[k]), int(begin[k]), k)
+    return best
+
+
 def _aligned(items: Items, least: float, least_matches: int, rows_too: bool = False):
     def found(w: Words, h: np.ndarray) -> Iterator[tuple]:
         g, at = windows(h, w.doc, SEED_WORDS)
