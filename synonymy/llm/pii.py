@@ -49,10 +49,15 @@ BEFORE = {
 NOT_BEFORE = r"(?:version|\bv|release|build|order|invoice|isbn|sku|serial|id|no|ref|page|section|chapter)\W*$"
 
 
+#: Matches that are appended one by one; a text with more goes in blocks, so that its cost stays near its length.
+BLOCK = 64
+
+
 def found(text: Column, pattern: str, kind: int, base: bool) -> Column:
     """Array of (start, kind, end, base, match, before) of the pattern's matches, in code points."""
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"))
-    empty = F.expr("named_struct('at', 0L, 'spans', cast(array() as array<struct<start:bigint,kind:int,end:bigint,base:boolean,match:string,before:string>>))")
+    none = F.expr("cast(array() as array<struct<start:bigint,kind:int,end:bigint,base:boolean,match:string,before:string>>)")
+    width = lambda x: (F.length(x["gap"]) + F.coalesce(F.length(x["match"]), F.lit(0))).cast("long")
 
     def step(acc, x):
         start = acc["at"] + F.length(x["gap"])
@@ -60,7 +65,16 @@ def found(text: Column, pattern: str, kind: int, base: bool) -> Column:
         span = F.struct(start.cast("long").alias("start"), F.lit(kind).alias("kind"), end.cast("long").alias("end"), F.lit(base).alias("base"), x["match"].alias("match"), F.lower(F.right(x["gap"], F.lit(32))).alias("before"))
         return F.when(x["match"].isNull(), acc).otherwise(F.struct(end.cast("long").alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans")))
 
-    return F.aggregate(parts, empty, step)["spans"]
+    def spans_from(at, some):
+        return F.aggregate(some, F.struct(at.cast("long").alias("at"), none.alias("spans")), step)["spans"]
+
+    def blocked(parts):
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / BLOCK).cast("int")), lambda b: F.slice(parts, b * BLOCK + 1, F.lit(BLOCK)))
+        sizes = F.transform(blocks, lambda blk: F.aggregate(blk, F.lit(0).cast("long"), lambda n, x: n + width(x)))
+        begins = F.aggregate(sizes, F.array(F.lit(0).cast("long")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+        return F.flatten(F.transform(F.arrays_zip(blocks.alias("blk"), F.slice(begins, 1, F.size(blocks)).alias("at")), lambda z: spans_from(z["at"], z["blk"])))
+
+    return F.when(F.size(parts) <= BLOCK, spans_from(F.lit(0), parts)).otherwise(blocked(parts))
 
 
 def _digits(s: Column) -> Column:
