@@ -8,8 +8,6 @@ byte of a multi-byte code point is a word byte), so no text is decoded.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from synonymy.sources.shared import new_folder, written
+
 CHUNK_BYTES = 1 << 21
 
 
@@ -25,22 +25,15 @@ CHUNK_BYTES = 1 << 21
 def scratch(spark: SparkSession) -> str:
     """A new folder below the shared folder that the cluster names.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests, one machine) a temporary
+    Only on one machine where ``spark.checkpoint.dir`` is unset (tests) a temporary
     folder is made and set.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="spark-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    return new_folder(spark, "llm")
 
 
 def cut(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here."""
-    spark = df.sparkSession
-    path = f"{folder}/{name}"
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, f"{folder}/{name}")
 
 
 def drop(spark: SparkSession, *paths: str) -> None:
