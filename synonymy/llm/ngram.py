@@ -1,19 +1,30 @@
-"""Language-model scores from an Elias-Fano n-gram trie.
-
-The trie is a set of shard files in the shared folder.  Level one: a shard's words as
-a monotone sequence of hashes, with exact counts; a word's id is its place over all
-shards.  Level two: the words with successors (monotone ids), monotone pointers to
-each one's successors, the successors as a monotone sequence of
-``parent * V + successor`` and their smoothed log probabilities in 16 bits.  All
-sequences are Elias-Fano coded and memory-mapped; a lookup is a successor search
-within the context's range.
+"""Language-model scores from an Elias-Fano n-gram trie of order three.
+
+The trie is a set of shard files in the shared folder, memory-mapped by the tasks
+that query it.
+
+* Level one: a shard's words as a monotone sequence of hashes, with exact counts; a
+  word's id is its place over all shards.
+* Level two: the words with successors, and for each a range of successors given by
+  monotone pointers.
+* Level three: for each node of level two the range of its successors, given by
+  monotone pointers; a trigram lies in the shard of its context.
+
+Within its range a successor's id is stored relative to the end of the range before,
+which makes a level's ids one monotone sequence.  All sequences are Elias-Fano coded.
+A lookup reads the context's two pointers and the value before its range, and
+searches the successor between them.
+
+Each node holds, in 16 bits each, the quantised logarithm of the probability that its
+own order adds and of the weight that the order below keeps:
+p1 = (c - D) / N with the mass D * V / N for all unknown words together,
+D = n1 / (n1 + 2 n2); p2(w|v) = c(v,w) / (c(v) + K) + K / (c(v) + K) * p1(w), and
+p3(w|u,v) = c(u,v,w) / (c(u,v) + K) + K / (c(u,v) + K) * p2(w|v).  A context that was
+never seen leaves the order below as it is.
 
 Counting is exact and distributed: tasks pre-aggregate their own n-grams, blobs of
 sorted keys go to their shard by hash (no word, however common, fills a shard),
 and one task merges a shard.  Nothing that grows with the corpus is broadcast.
-
-Smoothing: p1 = (c - D) / N with the mass D * V / N for all unknown words
-together, D = n1 / (n1 + 2 n2); p2(w|v) = (c(v,w) + K p1(w)) / (c(v) + K).
 """
 
 from __future__ import annotations
@@ -34,12 +45,18 @@ STRENGTH = 20.0
 STEP = 1 / 2048  # of quantised log10 probabilities
 END = np.uint64(hash_word("\x00end\x00"))
 MOST_PENDING = 1 << 23
+#: Bytes of text that are looked up at once; n-grams that stand in it more than once are sought once.
+LOOKUP_BYTES = 1 << 22
+MOST_SHARDS = 1 << 14
 _U = np.uint64
 
 
 # ---------------------------------------------------------------- Elias-Fano
+EVERY = 16  # so many ones, or zeros, from one sampled place to the next
+
+
 def ef_arrays(values: np.ndarray, universe: int) -> list[np.ndarray]:
-    """[n, low bits], packed low bits, bitmap of high bits (ones: elements, zeros: ends of buckets), place of every 64th zero."""
+    """[n, low bits, buckets], packed low bits, bitmap of high bits (ones: elements, zeros: ends of buckets), places of every 16th zero and of every 16th one."""
     n = len(values)
     low = max(0, (universe // max(n, 1)).bit_length() - 1)
     high = (values >> _U(low)).astype(np.int64)
@@ -52,41 +69,53 @@ def ef_arrays(values: np.ndarray, universe: int) -> list[np.ndarray]:
         np.bitwise_or.at(packed, word[over] + 1, part[over] >> (_U(64) - shift[over]))
     buckets = (universe >> low) + 1
     size = n + buckets
-    bits = np.zeros((size + 63) // 64 * 64, np.uint8)
-    bits[high + np.arange(n)] = 1
+    bits = np.zeros((size + 63) // 64 * 64 + 64, np.uint8)
+    ones = high + np.arange(n)
+    bits[ones] = 1
     bitmap = np.packbits(bits, bitorder="little").view(np.uint64)
-    zeros = np.flatnonzero(bits == 0)[::64]
-    return [np.array([n, low, buckets], np.int64), packed, bitmap, zeros.astype(np.uint64)]
-
-
-def _zero(bitmap: np.ndarray, sample: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Place of the k-th zero (from 0)."""
-    at = sample[k >> 6].astype(np.int64)
-    need = (k & 63).astype(np.int64) + 1  # zeros to find from `at` on
-    word = at >> 6
-    inverse = ~bitmap[word] & (~_U(0) << (at & 63).astype(np.uint64))
-    count = np.bitwise_count(inverse).astype(np.int64)
-    more = np.flatnonzero(count < need)
-    while len(more):
-        need[more] -= count[more]
-        word[more] += 1
-        inverse[more] = ~bitmap[word[more]]
-        count[more] = np.bitwise_count(inverse[more])
-        more = more[count[more] < need[more]]
-    place = np.zeros(len(k), np.int64)
-    for width in (32, 16, 8, 4, 2, 1):
-        half = inverse & _U((1 << width) - 1)
-        c = np.bitwise_count(half).astype(np.int64)
-        up = c < need
-        need -= np.where(up, c, 0)
-        inverse = np.where(up, inverse >> _U(width), half)
-        place += np.where(up, width, 0)
-    return (word << 6) + place
+    kind = np.uint32 if size < 1 << 32 else np.uint64
+    return [np.array([n, low, buckets], np.int64), packed, bitmap, np.flatnonzero(bits == 0)[::EVERY].astype(kind), ones[::EVERY].astype(kind)]
+
+
+_BYTE = np.zeros((256, 8), np.uint8)  # place of the r-th one of a byte
+for _b in range(256):
+    for _r, _p in enumerate(p for p in range(8) if _b >> p & 1):
+        _BYTE[_b, _r] = _p
+_BYTE = _BYTE.ravel()
+_ONES, _TOPS = _U(0x0101010101010101), _U(0x8080808080808080)
+
+
+def _bit(x: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Place of the r-th one (from 0) of each word, which has that many."""
+    s = x - ((x >> _U(1)) & _U(0x5555555555555555))
+    s = (s & _U(0x3333333333333333)) + ((s >> _U(2)) & _U(0x3333333333333333))
+    s = ((s + (s >> _U(4))) & _U(0x0F0F0F0F0F0F0F0F)) * _ONES  # ones up to each byte's end
+    r = r.astype(np.uint64)
+    # Bytes up to whose end there are at most r ones lie before the one sought.
+    before = ((((r * _ONES) | _TOPS) - s) & _TOPS) >> _U(7)
+    shift = ((before * _ONES) >> _U(56)) << _U(3)
+    rest = r - (((s << _U(8)) >> shift) & _U(0xFF))
+    return (shift + _BYTE[((((x >> shift) & _U(0xFF)) << _U(3)) + rest).astype(np.int64)]).astype(np.int64)
 
 
 class EliasFano:
     def __init__(self, arrays: list[np.ndarray]):
-        (self.n, self.low, self.buckets), self.packed, self.bitmap, self.sample = (int(x) for x in arrays[0]), *arrays[1:]
+        (self.n, self.low, self.buckets), self.packed, self.bitmap, self.zeros, self.ones = (int(x) for x in arrays[0]), *arrays[1:]
+
+    def _select(self, k: np.ndarray, sample: np.ndarray, flip: np.uint64) -> np.ndarray:
+        """Place of the k-th one (flip 0) or zero (flip all ones) of the bitmap."""
+        at, need = sample[k // EVERY].astype(np.int64), k % EVERY
+        word = at >> 6
+        x = (self.bitmap[word] ^ flip) & (~_U(0) << (at & 63).astype(np.uint64))
+        count = np.bitwise_count(x)
+        more = np.flatnonzero(count <= need)
+        while len(more):
+            need[more] -= count[more]
+            word[more] += 1
+            x[more] = self.bitmap[word[more]] ^ flip
+            count[more] = np.bitwise_count(x[more])
+            more = more[count[more] <= need[more]]
+        return (word << 6) + _bit(x, need)
 
     def _lows(self, i: np.ndarray) -> np.ndarray:
         if not self.low:
@@ -96,17 +125,32 @@ class EliasFano:
         upper = np.where(shift == 0, _U(0), self.packed[word + 1] << ((_U(64) - shift) & _U(63)))
         return ((self.packed[word] >> shift) | upper) & _U((1 << self.low) - 1)
 
-    def find(self, x: np.ndarray) -> np.ndarray:
-        """Place of each x in the sequence, -1 if it is not there."""
+    def get(self, i: np.ndarray) -> np.ndarray:
+        """Elements by place."""
+        return ((self._select(i, self.ones, _U(0)) - i).astype(np.uint64) << _U(self.low)) | self._lows(i)
+
+    def find(self, x: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
+        """Place of each x in the sequence, or in the places first:last of it; -1 if it is not there."""
         out = np.full(len(x), -1, np.int64)
         if not self.n or not len(x):
             return out
-        high, low = (x >> _U(self.low)).astype(np.int64), x & _U((1 << self.low) - 1)
+        high = (x >> _U(self.low)).astype(np.int64)
         ok = np.flatnonzero((high >= 0) & (high < self.buckets))
-        high, low = high[ok], low[ok]
-        b = np.where(high > 0, _zero(self.bitmap, self.sample, np.maximum(high - 1, 0)) - (high - 1), 0)
-        e = _zero(self.bitmap, self.sample, high) - high
-        # Successor search in the bucket.
+        high, low = high[ok], x[ok] & _U((1 << self.low) - 1)
+        # The bucket begins after the zero that ends the one before, and holds the ones up to the next zero.
+        begin = np.zeros(len(ok), np.int64)
+        some = np.flatnonzero(high)
+        begin[some] = self._select(high[some] - 1, self.zeros, ~_U(0)) + 1
+        word, shift = begin >> 6, (begin & 63).astype(np.uint64)
+        run = self.bitmap[word] >> shift
+        size = np.bitwise_count(run & ~(run + _U(1))).astype(np.int64)  # ones below the lowest zero
+        long = np.flatnonzero(size + (begin & 63) >= 64)
+        size[long] = self._select(high[long], self.zeros, ~_U(0)) - begin[long]
+        b = begin - high
+        e = b + size
+        if first is not None:
+            b, e = np.maximum(b, first[ok]), np.minimum(e, last[ok])
+        end = e.copy()
         live = np.flatnonzero(b < e)
         while len(live):
             mid = (b[live] + e[live]) >> 1
@@ -114,23 +158,40 @@ class EliasFano:
             b[live] = np.where(less, mid + 1, b[live])
             e[live] = np.where(less, e[live], mid)
             live = live[b[live] < e[live]]
-        end = _zero(self.bitmap, self.sample, high) - high
         inside = np.flatnonzero(b < end)
         same = inside[self._lows(b[inside]) == low[inside]]
         out[ok[same]] = b[same]
         return out
 
-    def get(self, i: np.ndarray) -> np.ndarray:
-        """Elements by place, by a search over bucket ends."""
-        lo, hi = np.zeros(len(i), np.int64), np.full(len(i), self.buckets - 1)
-        live = np.arange(len(i))
-        while len(live):
-            mid = (lo[live] + hi[live]) >> 1
-            past = _zero(self.bitmap, self.sample, mid) - mid > i[live]
-            hi[live] = np.where(past, mid, hi[live])
-            lo[live] = np.where(past, lo[live], mid + 1)
-            live = live[lo[live] < hi[live]]
-        return (lo.astype(np.uint64) << _U(self.low)) | self._lows(i)
+
+class Level:
+    """Successors by context: monotone pointers, and ids relative to the end of the range before."""
+
+    def __init__(self, arrays: list[np.ndarray]):
+        self.pointers, self.ids = EliasFano(arrays[:5]), EliasFano(arrays[5:10])
+
+    @staticmethod
+    def arrays(edges: np.ndarray, child: np.ndarray, vocabulary: int) -> list[np.ndarray]:
+        """``edges``: where each context's successors begin, and the end; ``child``: sorted within a context."""
+        size = np.diff(edges)
+        full = np.flatnonzero(size)
+        last = child[edges[1:][full] - 1].astype(np.uint64) + _U(1)
+        before = np.cumsum(last) - last  # the value that ends the range before, 0 for the first
+        value = np.repeat(before, size[full]) + child.astype(np.uint64) + _U(1)
+        universe = int(value[-1]) + 1 if len(value) else 1
+        return [*ef_arrays(edges.astype(np.uint64), len(child) + 1), *ef_arrays(value, universe)]
+
+    def find(self, context: np.ndarray, child: np.ndarray) -> np.ndarray:
+        """Place of each successor, -1 if the context has none such.  Equal contexts should stand together."""
+        if not len(context) or not self.ids.n:
+            return np.full(len(context), -1, np.int64)
+        new = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
+        one, repeat = context[new], np.diff(np.append(new, len(context)))
+        first, last = self.pointers.get(one).astype(np.int64), self.pointers.get(one + 1).astype(np.int64)
+        before = np.zeros(len(one), np.uint64)
+        some = np.flatnonzero(first)
+        before[some] = self.ids.get(first[some] - 1)
+        return self.ids.find(np.repeat(before, repeat) + child.astype(np.uint64) + _U(1), np.repeat(first, repeat), np.repeat(last, repeat))
 
 
 # ---------------------------------------------------------------- shard files
@@ -148,17 +209,17 @@ def write_arrays(path: str, arrays: list[np.ndarray]) -> None:
 
 
 def read_arrays(path: str) -> list[np.ndarray]:
-    """Memory-mapped; a store that is no file system is copied to a temporary file first, which goes when the mapping does."""
+    """Memory-mapped; a store that is no file system is copied to a temporary file first, a cache of the task that goes when the mapping does."""
     fs, inner = pafs.FileSystem.from_uri(path)
     if isinstance(fs, pafs.LocalFileSystem):
-        raw = np.memmap(inner, np.uint8, "r")
+        raw = np.asarray(np.memmap(inner, np.uint8, "r"))
     else:
         with tempfile.TemporaryFile() as f:
             with fs.open_input_stream(inner) as g:
                 while block := g.read(1 << 22):
                     f.write(block)
             f.flush()
-            raw = np.memmap(f, np.uint8, "r")
+            raw = np.asarray(np.memmap(f, np.uint8, "r"))
     n = int(raw[:8].view(np.int64)[0])
     head, at, out = raw[8 : 8 + 16 * n].view(np.int64), 8 + 16 * n, []
     for kind, length in head.reshape(-1, 2):
@@ -195,29 +256,34 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return k[first], np.add.reduceat(c, first) if len(k) else c
 
 
-def _blobs(parts: Iterator[np.ndarray], shards: int, shard_of) -> Iterator[pa.RecordBatch]:
-    """Pre-aggregated blobs (shard, blob) of a task's keys."""
+def _blobs(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Pre-aggregated blobs (shard, blob) of a task's (shard, key) pairs."""
+    pending: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    held = 0
 
-    def flush(keys, counts):
-        k, c = _merged(keys, counts)
-        s = shard_of(k)
-        order = np.argsort(s, kind="stable")
-        edges = np.searchsorted(s[order], np.arange(shards + 1))
-        rows = [(i, _squeezed(k[order[a:b]], c[order[a:b]])) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
+    def flush():
+        rows = [(s, _squeezed(*_merged(*map(list, zip(*pairs, strict=True))))) for s, pairs in sorted(pending.items())]
+        pending.clear()
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["shard", "blob"])
 
-    keys, counts, pending = [], [], 0
-    for part in parts:
-        k, c = np.unique(part, return_counts=True)
-        keys.append(k), counts.append(c)
-        pending += len(k)
-        if pending > MOST_PENDING:
-            k, c = _merged(keys, counts)
-            keys, counts, pending = [k], [c], len(k)
-            if pending > MOST_PENDING // 2:
-                yield flush(keys, counts)
-                keys, counts, pending = [], [], 0
-    yield flush(keys, counts)
+    for shard, keys in parts:
+        if not len(keys):
+            continue
+        order = np.argsort(shard.astype(np.uint16), kind="stable")
+        shard, keys = shard[order], keys[order]
+        edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
+        for a, b in zip(edges, np.append(edges[1:], len(shard)), strict=True):
+            k, c = np.unique(keys[a:b], return_counts=True)
+            pending.setdefault(int(shard[a]), []).append((k, c))
+            held += len(k)
+        if held > MOST_PENDING:
+            for s, pairs in pending.items():
+                pending[s] = [_merged(*map(list, zip(*pairs, strict=True)))]
+            held = sum(len(p[0][0]) for p in pending.values())
+            if held > MOST_PENDING // 2:
+                yield flush()
+                held = 0
+    yield flush()
 
 
 class Tokens:
@@ -228,11 +294,16 @@ class Tokens:
         n = np.diff(w.first)
         self.first = np.concatenate([[0], np.cumsum(n + 1)])
         self.hash = np.full(int(self.first[-1]), END)
-        last = self.first[1:] - 1
         body = np.ones(len(self.hash), bool)
-        body[last] = False
+        body[self.first[1:] - 1] = False
         self.hash[body] = w.hashes()
-        self.row = np.repeat(np.arange(len(n)), n + 1)
+
+    def before(self, x: np.ndarray, end) -> np.ndarray:
+        """x of the token before; a row's first token comes after an end."""
+        out = np.empty_like(x)
+        out[1:] = x[:-1]
+        out[self.first[:-1]] = end
+        return out
 
 
 def _word_shard(shards: int):
@@ -244,23 +315,40 @@ def _pair_shard(shards: int):
     return lambda k: (mix(k) & _U(shards - 1)).astype(np.int64)
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (b for whole in batches for b in chunks(whole, most=LOOKUP_BYTES) if b.num_rows)
+
+
 def _count_words(shards: int):
     def run(batches):
-        yield from _blobs((Tokens(b).hash for whole in batches for b in chunks(whole)), shards, _word_shard(shards))
+        shard = _word_shard(shards)
+        yield from _blobs((shard(h), h) for h in (Tokens(b).hash for b in _sliced(batches)))
 
     return run
 
 
+def _merged_blobs(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
+    return table["shard"][0].as_py(), *_merged(*map(list, zip(*(_loosened(b) for b in table["blob"].to_pylist()), strict=True)))
+
+
 def _build_words(folder: str):
     def run(table: pa.Table) -> pa.Table:
-        shard = table["shard"][0].as_py()
-        k, c = _merged(*map(list, zip(*(_loosened(b) for b in table["blob"].to_pylist()), strict=True)))
+        shard, k, c = _merged_blobs(table)
         write_arrays(f"{folder}/words-{shard}", [*ef_arrays(k, 1 << 64), c])
         return pa.table({"shard": pa.array([shard], pa.int32()), "words": pa.array([len(k)], pa.int64()), "tokens": pa.array([int(c.sum())], pa.int64()), "once": pa.array([int((c == 1).sum())], pa.int64()), "twice": pa.array([int((c == 2).sum())], pa.int64())})
 
     return run
 
 
+def _code(p: np.ndarray) -> np.ndarray:
+    """Probabilities as multiples of STEP of their negative log10."""
+    return np.clip(np.round(-np.log10(p) / STEP), 0, 65535).astype(np.uint16)
+
+
+def _share(code: np.ndarray) -> np.ndarray:
+    return np.power(10.0, code * -STEP)
+
+
 class Trie:
     """Where the shard files are, and totals over them (a number for each shard)."""
 
@@ -268,8 +356,11 @@ class Trie:
         self.folder, self.shards, self.tokens, self.strength = folder, shards, tokens, strength
         sizes = np.array([words.get(s, 0) for s in range(shards)], np.int64)
         self.base, self.vocabulary = np.cumsum(sizes) - sizes, int(sizes.sum())
+        if self.vocabulary >= 1 << 32:
+            raise ValueError("pairs of word ids need more than 64 bits")
         self.discount = once / (once + 2 * twice) if once and twice else 0.5
-        self._open: dict[str, list] = {}
+        self.pairs, self.triples = set(), set()  # shards with files of that level
+        self._open: dict[str, object] = {}
 
     def __getstate__(self):
         return self.__dict__ | {"_open": {}}
@@ -279,14 +370,18 @@ class Trie:
             self._open[name] = make(read_arrays(f"{self.folder}/{name}"))
         return self._open[name]
 
-    def words(self, s: int):
-        return self._file(f"words-{s}", lambda a: (EliasFano(a[:4]), a[4]))
+    def _words(self, s: int):
+        return self._file(f"words-{s}", lambda a: (EliasFano(a[:5]), a[5]))
+
+    def _pairs(self, s: int):
+        return self._file(f"pairs-{s}", lambda a: (EliasFano(a[:5]), Level(a[5:15]), a[15], a[16]))
 
-    def pairs(self, s: int):
-        return self._file(f"pairs-{s}", lambda a: (EliasFano(a[:4]), EliasFano(a[4:8]), EliasFano(a[8:12]), a[12]))
+    def _triples(self, s: int):
+        return self._file(f"triples-{s}", lambda a: (Level(a[:10]), a[10]))
 
     def _by_shard(self, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort(shard, kind="stable")
+        """(shard, which); each shard's in their order."""
+        order = np.argsort(shard.astype(np.uint16), kind="stable")
         edges = np.flatnonzero(np.r_[True, np.diff(shard[order]) != 0]) if len(order) else []
         for a, b in zip(edges, np.r_[edges[1:], len(order)] if len(order) else [], strict=True):
             yield int(shard[order[a]]), order[a:b]
@@ -299,7 +394,7 @@ class Trie:
             sizes = np.diff(np.append(self.base, self.vocabulary))
             for s, at in self._by_shard(_word_shard(self.shards)(u)):
                 if sizes[s]:
-                    ef, c = self.words(s)
+                    ef, c = self._words(s)
                     i = ef.find(u[at])
                     ids[at] = np.where(i >= 0, i + self.base[s], -1)
                     counts[at] = np.where(i >= 0, c[np.maximum(i, 0)], 0)
@@ -309,7 +404,7 @@ class Trie:
         """Counts of words by id."""
         out = np.zeros(len(ids), np.int64)
         for s, at in self._by_shard(np.searchsorted(self.base, ids, "right") - 1):
-            out[at] = self.words(s)[1][ids[at] - self.base[s]]
+            out[at] = self._words(s)[1][ids[at] - self.base[s]]
         return out
 
     def p1(self, counts: np.ndarray) -> np.ndarray:
@@ -317,95 +412,148 @@ class Trie:
             return np.ones(len(counts))
         return np.where(counts > 0, (counts - self.discount) / self.tokens, self.discount * self.vocabulary / self.tokens)
 
-    def log10(self, tokens: Tokens, ids: np.ndarray, counts: np.ndarray, present: set[int]) -> np.ndarray:
-        """Each token's log10 probability after the one before (the first one's: after an end)."""
-        before, before_n = np.empty_like(ids), np.empty_like(counts)
-        before[1:], before_n[1:] = ids[:-1], counts[:-1]
-        e, n = self.look(np.array([END]))
-        before[tokens.first[:-1]], before_n[tokens.first[:-1]] = e[0], n[0]
-        p = self.p1(counts)
-        out = np.log10(np.where(before >= 0, self.strength * p / (before_n + self.strength), p))
+    def end(self) -> tuple[int, int]:
+        ids, counts = self.look(np.array([END]))
+        return int(ids[0]), int(counts[0])
+
+    def second(self, before: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each token: which of the distinct pairs it ends (-1: none can be), and of each of these its shard, node (-1: unseen), and the codes of its own and the lower order's share."""
+        which = np.full(len(ids), -1, np.int64)
         both = np.flatnonzero((before >= 0) & (ids >= 0))
-        key = before[both].astype(np.uint64) * _U(self.vocabulary) + ids[both].astype(np.uint64)
-        for s, at in self._by_shard(_pair_shard(self.shards)(key)):
-            if s not in present:
-                continue
-            parents, pointers, children, code = self.pairs(s)
-            parent = parents.find(before[both[at]].astype(np.uint64))
-            some = np.flatnonzero(parent >= 0)
-            i = children.find(parent[some].astype(np.uint64) * _U(self.vocabulary) + ids[both[at[some]]].astype(np.uint64))
-            hit = some[i >= 0]
-            out[both[at[hit]]] = code[i[i >= 0]] * -STEP
-        return out
+        keys, inverse = np.unique(before[both].astype(np.uint64) * _U(self.vocabulary) + ids[both].astype(np.uint64), return_inverse=True)
+        which[both] = inverse
+        shard, node = _pair_shard(self.shards)(keys), np.full(len(keys), -1, np.int64)
+        own, lower = np.zeros(len(keys), np.uint16), np.zeros(len(keys), np.uint16)
+        context, child = keys // _U(max(self.vocabulary, 1)), keys % _U(max(self.vocabulary, 1))
+        for s, at in self._by_shard(shard):
+            if s in self.pairs:
+                parents, level, share, rest = self._pairs(s)
+                new = np.flatnonzero(np.r_[True, context[at][1:] != context[at][:-1]])
+                parent = np.repeat(parents.find(context[at][new]), np.diff(np.append(new, len(at))))
+                some = np.flatnonzero(parent >= 0)
+                i = level.find(parent[some], child[at[some]])
+                hit = at[some[i >= 0]]
+                node[hit], own[hit], lower[hit] = i[i >= 0], share[i[i >= 0]], rest[i[i >= 0]]
+        return which, shard, node, own, lower
+
+    def contexts(self, tokens: Tokens, which: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Of each token the pair before it that is a node of level two, -1 if there is none."""
+        out = tokens.before(which, -1)
+        return np.where((out >= 0) & (node[np.maximum(out, 0)] >= 0), out, -1) if len(node) else np.full(len(which), -1, np.int64)
+
+    def log10(self, tokens: Tokens, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Each token's log10 probability after the two before (the first one's: after an end)."""
+        e, n = self.end()
+        before, before_n = tokens.before(ids, e), tokens.before(counts, n)
+        which, shard, node, own, lower = self.second(before, ids)
+        p = self.p1(counts)
+        p = np.where(before >= 0, self.strength / (before_n + self.strength) * p, p)
+        seen = np.flatnonzero(which >= 0)
+        seen = seen[node[which[seen]] >= 0]
+        p[seen] += _share(own)[which[seen]]
+        context = self.contexts(tokens, which, node)
+        after = np.flatnonzero(context >= 0)
+        p[after] *= _share(lower)[context[after]]
+        after = after[ids[after] >= 0]
+        keys, inverse = np.unique(context[after].astype(np.uint64) * _U(self.vocabulary) + ids[after].astype(np.uint64), return_inverse=True)
+        pair, child = (keys // _U(max(self.vocabulary, 1))).astype(np.int64), keys % _U(max(self.vocabulary, 1))
+        adds = np.zeros(len(keys))
+        for s, at in self._by_shard(shard[pair]):
+            if s in self.triples:
+                level, share = self._triples(s)
+                i = level.find(node[pair[at]], child[at])
+                adds[at[i >= 0]] = _share(share[i[i >= 0]])
+        p[after] += adds[inverse]
+        return np.log10(p)
 
 
 def _count_pairs(trie: Trie):
     def pairs(batch: pa.RecordBatch) -> np.ndarray:
         t = Tokens(batch)
         ids, _ = trie.look(t.hash)
-        before = np.empty_like(ids)
-        before[1:] = ids[:-1]
-        before[t.first[:-1]] = trie.look(np.array([END]))[0][0]
-        return before.astype(np.uint64) * _U(trie.vocabulary) + ids.astype(np.uint64)
+        return t.before(ids, trie.end()[0]).astype(np.uint64) * _U(trie.vocabulary) + ids.astype(np.uint64)
 
     def run(batches):
-        yield from _blobs((pairs(b) for whole in batches for b in chunks(whole) if b.num_rows), trie.shards, _pair_shard(trie.shards))
+        shard = _pair_shard(trie.shards)
+        yield from _blobs((shard(k), k) for k in map(pairs, _sliced(batches)))
 
     return run
 
 
 def _build_pairs(trie: Trie):
     def run(table: pa.Table) -> pa.Table:
-        shard = table["shard"][0].as_py()
-        k, c = _merged(*map(list, zip(*(_loosened(b) for b in table["blob"].to_pylist()), strict=True)))
-        parent, child = (k // _U(trie.vocabulary)).astype(np.int64), (k % _U(trie.vocabulary)).astype(np.int64)
+        shard, k, c = _merged_blobs(table)
+        parent, child = k // _U(trie.vocabulary), k % _U(trie.vocabulary)
         edges = np.flatnonzero(np.r_[True, parent[1:] != parent[:-1]])
-        p1 = trie.p1(trie.count(child))
-        total = np.repeat(trie.count(parent[edges]), np.diff(np.append(edges, len(k))))
-        code = np.clip(np.round(-np.log10((c + trie.strength * p1) / (total + trie.strength)) / STEP), 0, 65535).astype(np.uint16)
-        local = np.repeat(np.arange(len(edges), dtype=np.uint64), np.diff(np.append(edges, len(k))))
-        v = trie.vocabulary
-        parts = [ef_arrays(parent[edges].astype(np.uint64), v), ef_arrays(np.append(edges, len(k)).astype(np.uint64), len(k) + 1), ef_arrays(local * _U(v) + child.astype(np.uint64), len(edges) * v)]
-        write_arrays(f"{trie.folder}/pairs-{shard}", [a for part in parts for a in part] + [code])
-        return pa.table({"shard": pa.array([shard], pa.int32()), "pairs": pa.array([len(k)], pa.int64())})
+        parents, edges = parent[edges], np.append(edges, len(k))
+        total = np.repeat(trie.count(parents.astype(np.int64)), np.diff(edges))
+        arrays = [*ef_arrays(parents, trie.vocabulary), *Level.arrays(edges, child, trie.vocabulary), _code(c / (total + trie.strength)), _code(trie.strength / (c + trie.strength)), c]
+        write_arrays(f"{trie.folder}/pairs-{shard}", arrays)
+        return pa.table({"shard": pa.array([shard], pa.int32()), "nodes": pa.array([len(k)], pa.int64())})
+
+    return run
+
+
+def _count_triples(trie: Trie):
+    def triples(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """The shard of the context, and its node there with the successor."""
+        t = Tokens(batch)
+        ids, _ = trie.look(t.hash)
+        which, shard, node, _, _ = trie.second(t.before(ids, trie.end()[0]), ids)
+        context = trie.contexts(t, which, node)
+        at = np.flatnonzero(context >= 0)
+        return shard[context[at]], node[context[at]].astype(np.uint64) * _U(trie.vocabulary) + ids[at].astype(np.uint64)
+
+    def run(batches):
+        yield from _blobs(map(triples, _sliced(batches)))
 
     return run
 
 
-def _scored(trie: Trie, present: set[int]):
+def _build_triples(trie: Trie):
+    def run(table: pa.Table) -> pa.Table:
+        shard, k, c = _merged_blobs(table)
+        total = read_arrays(f"{trie.folder}/pairs-{shard}")[17]
+        context, child = (k // _U(trie.vocabulary)).astype(np.int64), k % _U(trie.vocabulary)
+        edges = np.searchsorted(context, np.arange(len(total) + 1))
+        write_arrays(f"{trie.folder}/triples-{shard}", [*Level.arrays(edges, child, trie.vocabulary), _code(c / (total[context] + trie.strength))])
+        return pa.table({"shard": pa.array([shard], pa.int32()), "nodes": pa.array([len(k)], pa.int64())})
+
+    return run
+
+
+def _scored(trie: Trie):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in chunks(whole):
-                if not batch.num_rows:
-                    continue
-                t = Tokens(batch)
-                ids, counts = trie.look(t.hash)
-                at = t.first[:-1]
-                base = np.add.reduceat(np.log10((counts + 1) / (trie.tokens + 1.0 * (trie.vocabulary + 1))), at)
-                score = np.add.reduceat(trie.log10(t, ids, counts, present), at)
-                yield pa.RecordBatch.from_arrays(
-                    [column(batch, "doc_id"), pa.array(np.diff(t.first)), pa.array(np.add.reduceat((counts > 0).astype(np.int64), at)), pa.array(np.full(len(at), trie.tokens, np.int64)), pa.array(base), pa.array(score)],
-                    names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+        for batch in _sliced(batches):
+            t = Tokens(batch)
+            ids, counts = trie.look(t.hash)
+            at = t.first[:-1]
+            base = np.add.reduceat(np.log10((counts + 1) / (trie.tokens + 1.0 * (trie.vocabulary + 1))), at)
+            score = np.add.reduceat(trie.log10(t, ids, counts), at)
+            yield pa.RecordBatch.from_arrays(
+                [column(batch, "doc_id"), pa.array(np.diff(t.first)), pa.array(np.add.reduceat((counts > 0).astype(np.int64), at)), pa.array(np.full(len(at), trie.tokens, np.int64)), pa.array(base), pa.array(score)],
+                names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
 
     return run
 
 
-def train(docs: DataFrame, strength: float = STRENGTH, shards: int | None = None) -> tuple[Trie, set[int]]:
-    """The trie of ``docs`` (text), and which shards have a second level."""
-    spark = docs.sparkSession
-    folder = _uri(scratch(spark))
+def train(docs: DataFrame, strength: float = STRENGTH, shards: int | None = None) -> Trie:
+    """The trie of ``docs`` (text).  Without ``shards`` there are as many as input partitions, as a power of two, MOST_SHARDS at most (a task merges one shard)."""
+    folder = _uri(scratch(docs.sparkSession))
     docs = only(docs, "text")
-    shards = shards or 1 << min(12, max(3, (docs.rdd.getNumPartitions() - 1).bit_length()))
-    blobs = docs.mapInArrow(_count_words(shards), "shard int, blob binary")
-    sizes = cut(blobs.groupBy("shard").applyInArrow(_build_words(folder), "shard int, words long, tokens long, once long, twice long"), folder, "word-sizes")
-    rows = sizes.collect()  # a row for each shard, 4096 at most
+    shards = shards or min(MOST_SHARDS, 1 << max(3, (docs.rdd.getNumPartitions() - 1).bit_length()))
+
+    def built(count, build, schema: str, name: str) -> list:
+        blobs = docs.mapInArrow(count, "shard int, blob binary")
+        return cut(blobs.groupBy("shard").applyInArrow(build, schema), folder, name).collect()  # a row for each shard
+
+    rows = built(_count_words(shards), _build_words(folder), "shard int, words long, tokens long, once long, twice long", "word-sizes")
     trie = Trie(folder, shards, {r["shard"]: r["words"] for r in rows}, *(sum(r[c] for r in rows) for c in ("tokens", "once", "twice")), strength)
-    if not trie.tokens:
-        return trie, set()
-    blobs = docs.mapInArrow(_count_pairs(trie), "shard int, blob binary")
-    made = cut(blobs.groupBy("shard").applyInArrow(_build_pairs(trie), "shard int, pairs long"), folder, "pair-sizes")
-    return trie, {r["shard"] for r in made.collect()}
+    if trie.tokens:
+        trie.pairs = {r["shard"] for r in built(_count_pairs(trie), _build_pairs(trie), "shard int, nodes long", "pair-sizes")}
+        trie.triples = {r["shard"] for r in built(_count_triples(trie), _build_triples(trie), "shard int, nodes long", "triple-sizes")}
+    return trie
 
 
 def score(docs: DataFrame, strength: float = STRENGTH) -> DataFrame:
@@ -417,8 +565,8 @@ def score(docs: DataFrame, strength: float = STRENGTH) -> DataFrame:
     N = V = 0 and score is 0 for every token.  Columns other than doc_id and text are ignored.
     """
     docs = only(docs, "doc_id", "text")
-    trie, present = train(docs.where("crc32(cast(doc_id as string)) % 7 <> 2"), strength)
-    out = docs.mapInArrow(_scored(trie, present), "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    trie = train(docs.where("crc32(cast(doc_id as string)) % 7 <> 2"), strength)
+    out = docs.mapInArrow(_scored(trie), "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.select("doc_id", F.expr("crc32(cast(doc_id as string)) % 7 = 2").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
