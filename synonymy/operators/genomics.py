@@ -59,7 +59,7 @@ query("so02_set_operations", "SELECT (SELECT count(*) FROM (SELECT gene FROM ref
 query("so03_jaccard", "SELECT round(count(CASE WHEN a.gene IS NOT NULL AND b.gene IS NOT NULL THEN 1 END) / CAST(nullif(count(*), 0) AS DOUBLE), 6) AS jaccard FROM refset a FULL OUTER JOIN goi b ON a.gene = b.gene")
 query("dd01_keep_longest", "SELECT genome, cond, gene, length FROM (SELECT *, row_number() OVER (PARTITION BY genome, cond ORDER BY length DESC, gene) AS r FROM genes) x WHERE r = 1")
 query("sl02_top_pairs", "SELECT a, b, round(cps, 6) AS cps, side FROM (SELECT a, b, cps, 'top' AS side, row_number() OVER (ORDER BY round(cps, 9) DESC, a, b) AS r FROM cps UNION ALL SELECT a, b, cps, 'bottom' AS side, row_number() OVER (ORDER BY round(cps, 9), a, b) AS r FROM cps) x WHERE r <= 10")
-query("sl04_sample", "SELECT gene FROM (SELECT gene, row_number() OVER (ORDER BY md5(CAST(gene AS VARCHAR(20))), gene) AS r FROM genes) x WHERE r <= 200")
+query("sl04_sample", "SELECT gene FROM genes ORDER BY md5(CAST(gene AS VARCHAR(20))), gene LIMIT 200")
 query("sf01_02_sequences", "SELECT gene, md5(translate(seq, 'T', 'U')) AS rna, md5(reverse(translate(seq, 'ACGT', 'TGCA'))) AS revcomp FROM cds")
 # Wobble weights (Crick pairing; selective constraints as published by dos Reis and others, 2004).
 relation("wobble", "SELECT * FROM (VALUES ('U', 'A', 1e0), ('U', 'G', 0.561e0), ('C', 'G', 1e0), ('G', 'C', 1e0), ('G', 'U', 0.561e0), ('A', 'U', 0.9999e0), ('A', 'C', 0.72e0), ('A', 'A', 0.32e0)) AS t(anticodon_base, codon_base, weight)")

@@ -41,15 +41,15 @@ def chi_square_tail(x: str, df: str) -> str:
     """P(chi-square >= x) for df >= 2, in Spark SQL: the finite sum in logarithms, and erfc where df is odd."""
     h = f"(({x}) / 2)"
     first = f"(CASE WHEN {df} % 2 = 0 THEN -{h} ELSE 5e-1 * ln({h}) - {h} - ln(sqrt(pi()) / 2) END)"
-    step = f"a.l + ln({h} / (j + ({df} % 2) / 2e0))"
-    terms = f"aggregate(filter(sequence(1, CAST({df} DIV 2 AS INT)), j -> j < {df} DIV 2), named_struct('l', {first}, 's', exp({first})), (a, j) -> named_struct('l', {step}, 's', a.s + exp({step})), a -> a.s)"
+    step = f"a_.l + ln({h} / (j_ + ({df} % 2) / 2e0))"
+    terms = f"aggregate(filter(sequence(1, CAST({df} DIV 2 AS INT)), j_ -> j_ < {df} DIV 2), named_struct('l', {first}, 's', exp({first})), (a_, j_) -> named_struct('l', {step}, 's', a_.s + exp({step})), a_ -> a_.s)"
     return f"CASE WHEN {x} <= 0 THEN 1e0 ELSE least(1e0, {terms} + CASE WHEN {df} % 2 = 1 THEN {erfc(f'sqrt({h})')} ELSE 0e0 END) END"
 
 
 def chi_square_tail_reference(x: str, df: str) -> str:
     """The same tail for the reference SQL, by its log-gamma function."""
     h = f"(({x}) / 2)"
-    terms = f"coalesce(list_sum(list_transform(range(0, CAST({df} // 2 AS BIGINT)), lambda k: exp((k + ({df} % 2) / 2e0) * ln({h}) - {h} - lgamma(k + 1 + ({df} % 2) / 2e0)))), 0e0)"
+    terms = f"coalesce(list_sum(list_transform(range(0, CAST({df} // 2 AS BIGINT)), lambda j_: exp((j_ + ({df} % 2) / 2e0) * ln({h}) - {h} - lgamma(j_ + 1 + ({df} % 2) / 2e0)))), 0e0)"
     return f"CASE WHEN {x} <= 0 THEN 1e0 ELSE least(1e0, {terms} + CASE WHEN {df} % 2 = 1 THEN {erfc(f'sqrt({h})')} ELSE 0e0 END) END"
 
 
@@ -80,7 +80,8 @@ def draws(source: str, v: str) -> str:
   JOIN (SELECT b.bin, b.gene, b.{v} AS v, row_number() OVER (PARTITION BY b.bin ORDER BY b.gene) AS r FROM {source} b JOIN {source}_need g ON g.bin = b.bin WHERE b.is_goi = 0 AND g.need > g.pool) p ON p.bin = s.bin AND p.r = s.r"""
 
 
-relation("scores", "SELECT e.gene, e.sample_id, e.genome, e.cond, e.length, e.enc, g.gc3, g.gc12, c.cai, c.fop FROM enc e JOIN gc g ON g.gene = e.gene JOIN cai c ON c.gene = e.gene", kept=True)
+# Rounded, so that equal genes stay equal whatever the order of their sums.
+relation("scores", "SELECT e.gene, e.sample_id, e.genome, e.cond, e.length, round(e.enc, 9) AS enc, round(g.gc3, 9) AS gc3, round(g.gc12, 9) AS gc12, round(c.cai, 9) AS cai, round(c.fop, 9) AS fop FROM enc e JOIN gc g ON g.gene = e.gene JOIN cai c ON c.gene = e.gene", kept=True)
 relation("metric", """SELECT gene, sample_id, cond, 'ENC' AS metric, enc AS v FROM scores UNION ALL SELECT gene, sample_id, cond, 'GC3' AS metric, gc3 AS v FROM scores
   UNION ALL SELECT gene, sample_id, cond, 'CAI' AS metric, cai AS v FROM scores UNION ALL SELECT gene, sample_id, cond, 'Fop' AS metric, fop AS v FROM scores""")
 relation("sample_metric", "SELECT sample_id, cond, metric, round(avg(v), 9) AS v FROM metric GROUP BY sample_id, cond, metric", kept=True)
@@ -120,20 +121,38 @@ query("ag35_group_means", "SELECT cond, aa, round(avg(v), 6) AS mean_rscu, count
 query("ag39_grouping_sets", "SELECT genome, cond, CAST(sum(n) AS BIGINT) AS n FROM cl GROUP BY GROUPING SETS ((genome, cond), (cond), ())")
 
 # Expression tiers: percentiles 10 and 90; a floor shared by many keeps its first tenth as low.
+# Orders of all genes; on Spark they are cut into ranges (ranking).
+relation("cai_order", "SELECT *, row_number() OVER (ORDER BY cai, gene) AS r, count(*) OVER () AS n FROM scores", kept=True)
+relation("length_order", "SELECT gene, length, enc, row_number() OVER (ORDER BY length, gene) AS r, count(*) OVER () AS n FROM scores", kept=True)
+relation("enc_order", "SELECT gene, enc, row_number() OVER (ORDER BY enc DESC, gene) AS r, sum(enc) OVER (ORDER BY enc DESC, gene ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / sum(enc) OVER () AS share FROM scores")
+
+
+def quantile(v: str, q: float) -> str:
+    """The interpolated quantile of an order (v, r, n), which names two of its rows."""
+    at = f"((n - 1) * {q}e0 + 1)"
+    low, high = f"max(CASE WHEN r = floor({at}) THEN CAST({v} AS DOUBLE) END)", f"max(CASE WHEN r = ceil({at}) THEN CAST({v} AS DOUBLE) END)"
+    return f"{low} + ({high} - {low}) * max({at} - floor({at}))"
+
+
 relation("tier_cut", "SELECT percentile(cai, 0.1) AS lo, percentile(cai, 0.9) AS hi, min(cai) AS least_cai, count(*) AS n FROM scores")
+on_spark("tier_cut", f"SELECT {quantile('cai', 0.1)} AS lo, {quantile('cai', 0.9)} AS hi, min(cai) AS least_cai, count(*) AS n FROM cai_order")
 relation("tier0", "SELECT s.gene, s.sample_id, s.genome, s.cond, s.cai, s.fop, s.enc, s.gc3, s.length, t.lo, t.hi, t.least_cai, t.n, count(CASE WHEN s.cai = t.lo THEN 1 END) OVER () AS ties, row_number() OVER (PARTITION BY s.cai ORDER BY s.gene) AS nth FROM scores s CROSS JOIN tier_cut t")
+# Among the lowest values a gene's place is its rank in all.
+on_spark("tier0", "SELECT s.gene, s.sample_id, s.genome, s.cond, s.cai, s.fop, s.enc, s.gc3, s.length, t.lo, t.hi, t.least_cai, t.n, u.ties, s.r AS nth FROM cai_order s CROSS JOIN tier_cut t CROSS JOIN (SELECT count(*) AS ties FROM cai_order o JOIN tier_cut c ON o.cai = c.lo) u")
 relation("tier", """SELECT gene, sample_id, genome, cond, cai, fop, enc, gc3, length, CASE WHEN lo = hi THEN 'medium' WHEN ties > 0.1e0 * n AND lo = least_cai AND cai = lo AND nth > ceil(0.1e0 * n) THEN 'low_floor' WHEN cai <= lo THEN 'low' WHEN cai >= hi THEN 'high' ELSE 'medium' END AS tier FROM tier0""", kept=True)
 query("wn02_expression_tiers", "SELECT gene, tier, round(cai, 6) AS cai FROM tier")
 query("fg07_tier_summary", "SELECT genome, count(CASE WHEN tier = 'high' THEN 1 END) AS n_high, count(CASE WHEN tier = 'medium' THEN 1 END) AS n_medium, count(CASE WHEN tier = 'low' THEN 1 END) AS n_low FROM tier GROUP BY genome")
-query("wn04_quintiles", "SELECT q AS quintile, count(*) AS n, round(avg(fop), 6) AS mean_fop, round(stddev_pop(fop), 6) AS sd_fop FROM (SELECT fop, least(CAST(floor((row_number() OVER (ORDER BY cai, gene) - 1) / floor(count(*) OVER () / 5e0)) AS BIGINT), 4) + 1 AS q FROM scores) x GROUP BY q")
+query("wn04_quintiles", "SELECT q AS quintile, count(*) AS n, round(avg(fop), 6) AS mean_fop, round(stddev_pop(fop), 6) AS sd_fop FROM (SELECT fop, least(CAST(floor((r - 1) / floor(n / 5e0)) AS BIGINT), 4) + 1 AS q FROM cai_order) x GROUP BY q")
 query("wn07_position_bins", "SELECT genome, bin, round(avg(enc), 6) AS mean_enc FROM (SELECT genome, enc, CAST(floor((row_number() OVER (PARTITION BY genome ORDER BY gene) - 1) / 30) AS BIGINT) AS bin, count(*) OVER (PARTITION BY genome) AS n FROM scores) x WHERE (bin + 1) * 30 <= n GROUP BY genome, bin")
 query("wn08_sliding_mean", "SELECT gene, round(m, 6) AS mean_gc3 FROM (SELECT gene, genome, avg(gc3) OVER (PARTITION BY genome ORDER BY gene ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS m, count(*) OVER (PARTITION BY genome ORDER BY gene ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS k FROM scores) x WHERE k = 10")
 relation("split", "SELECT s.*, CASE WHEN g.gene IS NULL THEN 0 ELSE 1 END AS is_goi FROM scores s LEFT JOIN goi g ON g.gene = s.gene")
-query("wn09_percentile_rank", """SELECT gene, round(100 * (below + same / 2e0) / total, 6) AS pct FROM (SELECT gene, is_goi, count(CASE WHEN is_goi = 0 THEN 1 END) OVER () AS total, count(CASE WHEN is_goi = 0 THEN 1 END) OVER (PARTITION BY cai) AS same,
-  count(CASE WHEN is_goi = 0 THEN 1 END) OVER (ORDER BY cai RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - count(CASE WHEN is_goi = 0 THEN 1 END) OVER (PARTITION BY cai) AS below FROM split) x WHERE is_goi = 1""")
-query("wn11_quantile_bins", "SELECT bin, count(*) AS n, round(percentile(enc, 0.5), 6) AS med_enc FROM (SELECT enc, least(CAST(floor((row_number() OVER (ORDER BY length, gene) - 1) * 10e0 / count(*) OVER ()) AS BIGINT), 9) AS bin FROM scores) x GROUP BY bin")
-query("wn12_cumulative_share", "SELECT gene, r AS rank, round(share, 6) AS share FROM (SELECT gene, row_number() OVER (ORDER BY enc DESC, gene) AS r, sum(enc) OVER (ORDER BY enc DESC, gene ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / sum(enc) OVER () AS share FROM scores) x WHERE r IN (20, 100, 200)")
+relation("below_goi", """SELECT DISTINCT cai, count(CASE WHEN is_goi = 0 THEN 1 END) OVER (ORDER BY cai RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - count(CASE WHEN is_goi = 0 THEN 1 END) OVER (PARTITION BY cai) AS below,
+  count(CASE WHEN is_goi = 0 THEN 1 END) OVER (PARTITION BY cai) AS same, count(CASE WHEN is_goi = 0 THEN 1 END) OVER () AS total FROM split""")
+query("wn09_percentile_rank", "SELECT s.gene, round(100 * (b.below + b.same / 2e0) / b.total, 6) AS pct FROM split s JOIN below_goi b ON b.cai = s.cai WHERE s.is_goi = 1")
+query("wn11_quantile_bins", "SELECT bin, count(*) AS n, round(percentile(enc, 0.5), 6) AS med_enc FROM (SELECT enc, least(CAST(floor((r - 1) * 10e0 / n) AS BIGINT), 9) AS bin FROM length_order) x GROUP BY bin")
+query("wn12_cumulative_share", "SELECT gene, r AS rank, round(share, 6) AS share FROM enc_order WHERE r IN (20, 100, 200)")
 relation("quart", "SELECT percentile(CAST(length AS DOUBLE), 0.25) AS a, percentile(CAST(length AS DOUBLE), 0.5) AS b, percentile(CAST(length AS DOUBLE), 0.75) AS c FROM scores")
+on_spark("quart", f"SELECT {quantile('length', 0.25)} AS a, {quantile('length', 0.5)} AS b, {quantile('length', 0.75)} AS c FROM length_order")
 relation("binned", "SELECT s.gene, s.is_goi, s.cai, s.enc, CASE WHEN s.length < q.a THEN 0 WHEN s.length < q.b THEN 1 WHEN s.length < q.c THEN 2 ELSE 3 END AS bin FROM split s CROSS JOIN quart q")
 query("wn14_length_quartiles", "SELECT gene, CAST(bin AS BIGINT) AS bin FROM binned")
 # 999 draws of controls by length bin, in the order of md5; with replacement where a bin has too few.
@@ -161,9 +180,10 @@ on_spark("binned_need", need("binned"))
 on_spark("drawn", draws("binned", "cai"))
 on_spark("flagged_need", need("flagged"))
 on_spark("drawn_flags", draws("flagged", "flag"))
-query("st27_ks_two_sample", """SELECT metric, round(max(abs(f1 - f0)), 6) AS d FROM (SELECT metric, count(CASE WHEN is_goi = 1 THEN 1 END) OVER (PARTITION BY metric ORDER BY v RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / nullif(CAST(count(CASE WHEN is_goi = 1 THEN 1 END) OVER (PARTITION BY metric) AS DOUBLE), 0) AS f1,
+relation("cdf_steps", """SELECT metric, count(CASE WHEN is_goi = 1 THEN 1 END) OVER (PARTITION BY metric ORDER BY v RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / nullif(CAST(count(CASE WHEN is_goi = 1 THEN 1 END) OVER (PARTITION BY metric) AS DOUBLE), 0) AS f1,
   count(CASE WHEN is_goi = 0 THEN 1 END) OVER (PARTITION BY metric ORDER BY v RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / nullif(CAST(count(CASE WHEN is_goi = 0 THEN 1 END) OVER (PARTITION BY metric) AS DOUBLE), 0) AS f0
-  FROM (SELECT m.metric, round(m.v, 9) AS v, s.is_goi FROM metric m JOIN split s ON s.gene = m.gene) z) x GROUP BY metric""")
+  FROM (SELECT m.metric, round(m.v, 9) AS v, s.is_goi FROM metric m JOIN split s ON s.gene = m.gene) z""")
+query("st27_ks_two_sample", "SELECT metric, round(max(abs(f1 - f0)), 6) AS d FROM cdf_steps GROUP BY metric")
 
 # Spearman and least squares against log10 length.
 relation("len_rank", "SELECT metric, v, lg, rank() OVER (PARTITION BY metric ORDER BY v) + (count(*) OVER (PARTITION BY metric, v) - 1) / 2e0 AS rv, rank() OVER (PARTITION BY metric ORDER BY lg) + (count(*) OVER (PARTITION BY metric, lg) - 1) / 2e0 AS rl FROM (SELECT m.metric, round(m.v, 9) AS v, ln(g.length) / ln(10e0) AS lg FROM metric m JOIN genes g ON g.gene = m.gene) x")
@@ -206,8 +226,5 @@ relation("genome_gc", "SELECT genome, avg(gc3) AS g FROM gc GROUP BY genome")
 relation("dist2", "SELECT a.genome AS x, b.genome AS y, sqrt(sum(pow(a.f - b.f, 2))) AS d1, max(abs(ga.g - gb.g)) AS d2 FROM genome_vec a JOIN genome_vec b ON a.codon = b.codon AND a.genome < b.genome JOIN genome_gc ga ON ga.genome = a.genome JOIN genome_gc gb ON gb.genome = b.genome GROUP BY a.genome, b.genome")
 query("st33_mantel_statistic", "SELECT count(*) AS n_pairs, round(corr(d1, d2), 6) AS r FROM dist2")
 
-# Running-sum enrichment of gene sets along a ranking.
-relation("ranked", "SELECT gene, genome, abs(cai) AS w, row_number() OVER (ORDER BY cai DESC, gene) AS r, count(*) OVER () AS n FROM scores")
-relation("gsets", "SELECT genome AS gene_set, count(*) AS size, sum(w) AS sw FROM ranked GROUP BY genome HAVING count(*) BETWEEN 5 AND 500")
-relation("walk", "SELECT s.gene_set, s.size, r.r, r.gene, r.genome, sum(CASE WHEN r.genome = s.gene_set THEN r.w / s.sw ELSE -1e0 / (r.n - s.size) END) OVER (PARTITION BY s.gene_set ORDER BY r.r ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS es FROM gsets s CROSS JOIN ranked r")
-query("rs10_enrichment_score", "SELECT gene_set, CAST(max(size) AS BIGINT) AS size, round(CASE WHEN max(es) >= -min(es) THEN max(es) ELSE min(es) END, 6) AS es FROM walk GROUP BY gene_set")
+# A ranking of all genes; the walks of gene sets along it are in comparisons.
+relation("ranked", "SELECT gene, genome, abs(cai) AS w, row_number() OVER (ORDER BY cai DESC, gene) AS r, count(*) OVER () AS n FROM scores", kept=True)
