@@ -74,7 +74,9 @@ def found(text: Column, pattern: str, kind: int, base: bool) -> Column:
         begins = F.aggregate(sizes, F.array(F.lit(0).cast("long")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
         return F.flatten(F.transform(F.arrays_zip(blocks.alias("blk"), F.slice(begins, 1, F.size(blocks)).alias("at")), lambda z: spans_from(z["at"], z["blk"])))
 
-    return F.when(F.size(parts) <= BLOCK, spans_from(F.lit(0), parts)).otherwise(blocked(parts))
+    # A lambda's variable, so that the pattern is sought once.
+    either = F.transform(F.array(parts), lambda p: F.when(F.size(p) <= BLOCK, spans_from(F.lit(0), p)).otherwise(blocked(p)))
+    return F.get(either, F.lit(0))
 
 
 def _digits(s: Column) -> Column:
