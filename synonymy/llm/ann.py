@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, drop, only, scratch
+from .common import cut, drop, fetched, only, put, scratch, uri
 
 DEGREE, ROOM, BEAM, QUERY_BEAM, RELAX = 24, 40, 64, 96, 1.2
-SHARD_ROWS, QUERY_BLOCK, BATCH = 8192, 2048, 256
+SHARD_ROWS, QUERY_BLOCK, BATCH = 8192, 8192, 256
+#: Shards that one task searches, where there are enough shards to keep all cores busy.
+TASK_SHARDS = 16
 ENTRIES = 24
 
 
@@ -169,24 +171,34 @@ class Graph:
                 yield int(q_ids[b + i]), ids[top], s[top]
 
 
-def _built(norm: float):
+def _built(folder: str, norm: float):
+    """Writes a shard's graphs, one for each length of vectors."""
+
     def run(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         parts = [Graph(g.vec_id.to_numpy(np.int64), np.array(g.v.tolist(), float), norm) for _, g in pdf.groupby(pdf.v.map(len), sort=True)]
-        return pd.DataFrame({"shard": [key[0]], "graph": [pickle.dumps(parts, protocol=5)]})
+        put(f"{folder}/graph-{key[0]}", [pickle.dumps(parts, protocol=5)])
+        return pd.DataFrame({"shard": [key[0]]})
 
     return run
 
 
-def _searched(k: int):
-    def run(graphs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(graphs) and len(queries):
-            for graph in pickle.loads(graphs.graph.iloc[0]):
-                own = queries[queries.v.map(len) == graph.v.shape[1]]
+def _searched(folder: str, built: list[int], groups: int, k: int):
+    """Each query's k best of the shards of its group."""
+
+    def run(key: tuple[Any, ...], queries: pd.DataFrame) -> pd.DataFrame:
+        size, found = queries.v.map(len), []
+        for shard in built[key[0] :: groups]:
+            for graph in pickle.loads(fetched(f"{folder}/graph-{shard}")):
+                own = queries[size == graph.v.shape[1]]
                 if len(own):
                     for q, ids, s in graph.nearest(own.query_id.to_numpy(np.int64), np.array(own.v.tolist(), float), k):
-                        out.append(pd.DataFrame({"query_id": q, "vec_id": ids, "score": s}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+                        found.append((np.full(len(ids), q), ids, s))
+        q, ids, s = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        order = np.lexsort((ids, -s, q))
+        q, ids, s = q[order], ids[order], s[order]
+        first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else np.zeros(0, np.int64)
+        best = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q)))) < k
+        return pd.DataFrame({"query_id": q[best], "vec_id": ids[best], "score": s[best]})
 
     return run
 
@@ -205,16 +217,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int
     size = rows.agg(F.count("*").alias("n"), F.sqrt(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("norm")).first()
     shards = max(1, -(-size["n"] // shard_rows))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    graphs = cut(dealt.repartition(shards, "shard").groupBy("shard").applyInPandas(_built(float(size["norm"] or 0.0)), "shard int, graph binary"), folder, "graphs")
+    store = uri(f"{folder}/graphs")
+    made = dealt.repartition(shards, "shard").groupBy("shard").applyInPandas(_built(store, float(size["norm"] or 0.0)), "shard int")
+    built = sorted(r["shard"] for r in cut(made, folder, "built").collect())  # a number for each shard
     asked = one(usable(queries)).withColumnRenamed("vec_id", "query_id")
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    graphs = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = graphs.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(_searched(k), "query_id long, vec_id long, score double")
+    groups = max(1, -(-len(built) // TASK_SHARDS), min(len(built), -(-spark.sparkContext.defaultParallelism // blocks)))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    found = asked.repartition(groups * blocks, "group", "block").groupBy("group", "block").applyInPandas(_searched(store, built, groups, k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     out = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
     out = cut(out, folder, "nearest")
-    drop(spark, f"{folder}/graphs", f"{folder}/vectors")
+    drop(spark, f"{folder}/graphs", f"{folder}/vectors", f"{folder}/built")
     return out
 
 

@@ -8,11 +8,14 @@ byte of a multi-byte code point is a word byte), so no text is decoded.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +47,27 @@ def drop(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def uri(path: str) -> str:
+    return path if "://" in path or path.startswith("file:") else f"file://{path}"
+
+
+def put(path: str, parts: Iterable[bytes]) -> None:
+    """A file of the shared folder, renamed into place, so a task that runs twice does no harm."""
+    fs, inner = pafs.FileSystem.from_uri(path)
+    fs.create_dir(os.path.dirname(inner))
+    temporary = f"{inner}.{os.getpid()}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(temporary) as f:
+        for part in parts:
+            f.write(part)
+    fs.move(temporary, inner)
+
+
+def fetched(path: str) -> bytes:
+    fs, inner = pafs.FileSystem.from_uri(path)
+    with fs.open_input_stream(inner) as f:
+        return f.read()
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns by exact name, found by position: extra columns never reach the
     operator, not even ones whose names differ by case alone."""

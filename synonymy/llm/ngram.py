@@ -10,10 +10,9 @@ that query it.
 * Level three: for each node of level two the range of its successors, given by
   monotone pointers; a trigram lies in the shard of its context.
 
-Within its range a successor's id is stored relative to the end of the range before,
+A successor's id is stored relative to its context (context times vocabulary, plus id),
 which makes a level's ids one monotone sequence.  All sequences are Elias-Fano coded.
-A lookup reads the context's two pointers and the value before its range, and
-searches the successor between them.
+A lookup reads the context's two pointers and searches the successor between them.
 
 Each node holds, in 16 bits each, the quantised logarithm of the probability that its
 own order adds and of the weight that the order below keeps:
@@ -29,7 +28,6 @@ and one task merges a shard.  Nothing that grows with the corpus is broadcast.
 
 from __future__ import annotations
 
-import os
 import tempfile
 from collections.abc import Iterator
 
@@ -39,7 +37,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORDS, Words, chunks, column, cut, hash_word, mix, only, scratch
+from .common import SPACE_WORDS, Words, chunks, column, cut, hash_word, mix, only, put, scratch, uri
 
 STRENGTH = 20.0
 STEP = 1 / 2048  # of quantised log10 probabilities
@@ -129,83 +127,77 @@ class EliasFano:
         """Elements by place."""
         return ((self._select(i, self.ones, _U(0)) - i).astype(np.uint64) << _U(self.low)) | self._lows(i)
 
+    def get_two(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The elements at each place and at the one after it."""
+        at = self._select(i, self.ones, _U(0))
+        word, shift = at >> 6, (at & 63).astype(np.uint64)
+        rest = self.bitmap[word] & ((~_U(0) << shift) << _U(1))
+        after = (word << 6) + np.bitwise_count((rest & (~rest + _U(1))) - _U(1)).astype(np.int64)
+        far = np.flatnonzero(rest == 0)
+        after[far] = self._select(i[far] + 1, self.ones, _U(0))
+        low = _U(self.low)
+        return ((at - i).astype(np.uint64) << low) | self._lows(i), ((after - i - 1).astype(np.uint64) << low) | self._lows(i + 1)
+
     def find(self, x: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
         """Place of each x in the sequence, or in the places first:last of it; -1 if it is not there."""
-        out = np.full(len(x), -1, np.int64)
         if not self.n or not len(x):
-            return out
-        high = (x >> _U(self.low)).astype(np.int64)
-        ok = np.flatnonzero((high >= 0) & (high < self.buckets))
-        high, low = high[ok], x[ok] & _U((1 << self.low) - 1)
+            return np.full(len(x), -1, np.int64)
+        high, low = (x >> _U(self.low)).astype(np.int64), x & _U((1 << self.low) - 1)
+        known = (high >= 0) & (high < self.buckets)
+        high = np.where(known, high, 0)
         # The bucket begins after the zero that ends the one before, and holds the ones up to the next zero.
-        begin = np.zeros(len(ok), np.int64)
-        some = np.flatnonzero(high)
-        begin[some] = self._select(high[some] - 1, self.zeros, ~_U(0)) + 1
+        begin = np.where(high > 0, self._select(np.maximum(high - 1, 0), self.zeros, ~_U(0)) + 1, 0)
         word, shift = begin >> 6, (begin & 63).astype(np.uint64)
         run = self.bitmap[word] >> shift
         size = np.bitwise_count(run & ~(run + _U(1))).astype(np.int64)  # ones below the lowest zero
         long = np.flatnonzero(size + (begin & 63) >= 64)
         size[long] = self._select(high[long], self.zeros, ~_U(0)) - begin[long]
         b = begin - high
-        e = b + size
+        e = np.where(known, b + size, b)
         if first is not None:
-            b, e = np.maximum(b, first[ok]), np.minimum(e, last[ok])
-        end = e.copy()
-        live = np.flatnonzero(b < e)
+            b, e = np.maximum(b, first), np.minimum(e, last)
+        some = b < e
+        live = np.flatnonzero(e - b > 1)
         while len(live):
             mid = (b[live] + e[live]) >> 1
-            less = self._lows(mid) < low[live]
-            b[live] = np.where(less, mid + 1, b[live])
-            e[live] = np.where(less, e[live], mid)
-            live = live[b[live] < e[live]]
-        inside = np.flatnonzero(b < end)
-        same = inside[self._lows(b[inside]) == low[inside]]
-        out[ok[same]] = b[same]
-        return out
+            upto = self._lows(mid) <= low[live]
+            b[live[upto]] = mid[upto]
+            e[live[~upto]] = mid[~upto]
+            live = live[e[live] - b[live] > 1]
+        b = np.where(some, b, 0)
+        return np.where(some & (self._lows(b) == low), b, -1)
 
 
 class Level:
-    """Successors by context: monotone pointers, and ids relative to the end of the range before."""
+    """Successors by context: monotone pointers to each context's range, and in it ids relative to the context."""
 
-    def __init__(self, arrays: list[np.ndarray]):
-        self.pointers, self.ids = EliasFano(arrays[:5]), EliasFano(arrays[5:10])
+    def __init__(self, arrays: list[np.ndarray], vocabulary: int):
+        self.pointers, self.ids, self.vocabulary = EliasFano(arrays[:5]), EliasFano(arrays[5:10]), _U(vocabulary)
 
     @staticmethod
     def arrays(edges: np.ndarray, child: np.ndarray, vocabulary: int) -> list[np.ndarray]:
         """``edges``: where each context's successors begin, and the end; ``child``: sorted within a context."""
-        size = np.diff(edges)
-        full = np.flatnonzero(size)
-        last = child[edges[1:][full] - 1].astype(np.uint64) + _U(1)
-        before = np.cumsum(last) - last  # the value that ends the range before, 0 for the first
-        value = np.repeat(before, size[full]) + child.astype(np.uint64) + _U(1)
-        universe = int(value[-1]) + 1 if len(value) else 1
-        return [*ef_arrays(edges.astype(np.uint64), len(child) + 1), *ef_arrays(value, universe)]
+        contexts = len(edges) - 1
+        if contexts * vocabulary >= 1 << 63:
+            raise ValueError("a shard's contexts and the vocabulary need more than 63 bits: use more shards")
+        context = np.repeat(np.arange(contexts, dtype=np.uint64), np.diff(edges))
+        return [*ef_arrays(edges.astype(np.uint64), len(child) + 1), *ef_arrays(context * _U(vocabulary) + child.astype(np.uint64), contexts * vocabulary)]
 
     def find(self, context: np.ndarray, child: np.ndarray) -> np.ndarray:
         """Place of each successor, -1 if the context has none such.  Equal contexts should stand together."""
         if not len(context) or not self.ids.n:
             return np.full(len(context), -1, np.int64)
         new = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
-        one, repeat = context[new], np.diff(np.append(new, len(context)))
-        first, last = self.pointers.get(one).astype(np.int64), self.pointers.get(one + 1).astype(np.int64)
-        before = np.zeros(len(one), np.uint64)
-        some = np.flatnonzero(first)
-        before[some] = self.ids.get(first[some] - 1)
-        return self.ids.find(np.repeat(before, repeat) + child.astype(np.uint64) + _U(1), np.repeat(first, repeat), np.repeat(last, repeat))
+        repeat = np.diff(np.append(new, len(context)))
+        first, last = (np.repeat(x.astype(np.int64), repeat) for x in self.pointers.get_two(context[new]))
+        return self.ids.find(context.astype(np.uint64) * self.vocabulary + child.astype(np.uint64), first, last)
 
 
 # ---------------------------------------------------------------- shard files
 def write_arrays(path: str, arrays: list[np.ndarray]) -> None:
-    """One file: the arrays' kinds and lengths, then the arrays, each at a multiple of 8 bytes.  Renamed into place, so a task that runs twice does no harm."""
-    fs, inner = pafs.FileSystem.from_uri(path)
-    fs.create_dir(os.path.dirname(inner))
+    """One file: the arrays' kinds and lengths, then the arrays, each at a multiple of 8 bytes."""
     head = np.array([len(arrays), *[x for a in arrays for x in (a.dtype.itemsize + 16 * (a.dtype.kind == "i"), len(a))]], np.int64)
-    temporary = f"{inner}.{os.getpid()}.{np.random.default_rng().integers(1 << 62)}"
-    with fs.open_output_stream(temporary) as f:
-        for a in (head, *arrays):
-            raw = a.tobytes()
-            f.write(raw + b"\0" * (-len(raw) % 8))
-    fs.move(temporary, inner)
+    put(path, (raw + b"\0" * (-len(raw) % 8) for raw in (a.tobytes() for a in (head, *arrays))))
 
 
 def read_arrays(path: str) -> list[np.ndarray]:
@@ -229,10 +221,6 @@ def read_arrays(path: str) -> list[np.ndarray]:
     return out
 
 
-def _uri(path: str) -> str:
-    return path if "://" in path or path.startswith("file:") else f"file://{path}"
-
-
 # ---------------------------------------------------------------- counting
 def _squeezed(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """Sorted keys and counts as compressed planes of bytes."""
@@ -256,8 +244,8 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return k[first], np.add.reduceat(c, first) if len(k) else c
 
 
-def _blobs(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """Pre-aggregated blobs (shard, blob) of a task's (shard, key) pairs."""
+def _blobs(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Pre-aggregated blobs (shard, blob) of a task's parts (shards, keys, counts), each of distinct keys in order."""
     pending: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
     held = 0
 
@@ -266,16 +254,15 @@ def _blobs(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.Record
         pending.clear()
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["shard", "blob"])
 
-    for shard, keys in parts:
+    for shard, keys, counts in parts:
         if not len(keys):
             continue
         order = np.argsort(shard.astype(np.uint16), kind="stable")
-        shard, keys = shard[order], keys[order]
+        shard, keys, counts = shard[order], keys[order], counts[order]
         edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
         for a, b in zip(edges, np.append(edges[1:], len(shard)), strict=True):
-            k, c = np.unique(keys[a:b], return_counts=True)
-            pending.setdefault(int(shard[a]), []).append((k, c))
-            held += len(k)
+            pending.setdefault(int(shard[a]), []).append((keys[a:b], counts[a:b]))
+        held += len(keys)
         if held > MOST_PENDING:
             for s, pairs in pending.items():
                 pending[s] = [_merged(*map(list, zip(*pairs, strict=True)))]
@@ -322,7 +309,7 @@ def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _count_words(shards: int):
     def run(batches):
         shard = _word_shard(shards)
-        yield from _blobs((shard(h), h) for h in (Tokens(b).hash for b in _sliced(batches)))
+        yield from _blobs((shard(k), k, c) for k, c in (np.unique(Tokens(b).hash, return_counts=True) for b in _sliced(batches)))
 
     return run
 
@@ -345,8 +332,11 @@ def _code(p: np.ndarray) -> np.ndarray:
     return np.clip(np.round(-np.log10(p) / STEP), 0, 65535).astype(np.uint16)
 
 
+_SHARES = np.power(10.0, np.arange(65536) * -STEP)
+
+
 def _share(code: np.ndarray) -> np.ndarray:
-    return np.power(10.0, code * -STEP)
+    return _SHARES[code]
 
 
 class Trie:
@@ -359,7 +349,7 @@ class Trie:
         if self.vocabulary >= 1 << 32:
             raise ValueError("pairs of word ids need more than 64 bits")
         self.discount = once / (once + 2 * twice) if once and twice else 0.5
-        self.pairs, self.triples = set(), set()  # shards with files of that level
+        self.pairs, self.triples = {}, {}  # nodes of the shards that have files of that level
         self._open: dict[str, object] = {}
 
     def __getstate__(self):
@@ -374,10 +364,10 @@ class Trie:
         return self._file(f"words-{s}", lambda a: (EliasFano(a[:5]), a[5]))
 
     def _pairs(self, s: int):
-        return self._file(f"pairs-{s}", lambda a: (EliasFano(a[:5]), Level(a[5:15]), a[15], a[16]))
+        return self._file(f"pairs-{s}", lambda a: (EliasFano(a[:5]), Level(a[5:15], self.vocabulary), a[15], a[16]))
 
     def _triples(self, s: int):
-        return self._file(f"triples-{s}", lambda a: (Level(a[:10]), a[10]))
+        return self._file(f"triples-{s}", lambda a: (Level(a[:10], self.vocabulary), a[10]))
 
     def _by_shard(self, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(shard, which); each shard's in their order."""
@@ -475,7 +465,7 @@ def _count_pairs(trie: Trie):
 
     def run(batches):
         shard = _pair_shard(trie.shards)
-        yield from _blobs((shard(k), k) for k in map(pairs, _sliced(batches)))
+        yield from _blobs((shard(k), k, c) for k, c in (np.unique(pairs(b), return_counts=True) for b in _sliced(batches)))
 
     return run
 
@@ -487,7 +477,7 @@ def _build_pairs(trie: Trie):
         edges = np.flatnonzero(np.r_[True, parent[1:] != parent[:-1]])
         parents, edges = parent[edges], np.append(edges, len(k))
         total = np.repeat(trie.count(parents.astype(np.int64)), np.diff(edges))
-        arrays = [*ef_arrays(parents, trie.vocabulary), *Level.arrays(edges, child, trie.vocabulary), _code(c / (total + trie.strength)), _code(trie.strength / (c + trie.strength)), c]
+        arrays = [*ef_arrays(parents, trie.vocabulary), *Level.arrays(edges, child, trie.vocabulary), _code(c / (total + trie.strength)), _code(trie.strength / (c + trie.strength))]
         write_arrays(f"{trie.folder}/pairs-{shard}", arrays)
         return pa.table({"shard": pa.array([shard], pa.int32()), "nodes": pa.array([len(k)], pa.int64())})
 
@@ -495,14 +485,16 @@ def _build_pairs(trie: Trie):
 
 
 def _count_triples(trie: Trie):
-    def triples(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        """The shard of the context, and its node there with the successor."""
+    def triples(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The shards of the contexts, and their nodes there with the successors."""
         t = Tokens(batch)
         ids, _ = trie.look(t.hash)
         which, shard, node, _, _ = trie.second(t.before(ids, trie.end()[0]), ids)
         context = trie.contexts(t, which, node)
         at = np.flatnonzero(context >= 0)
-        return shard[context[at]], node[context[at]].astype(np.uint64) * _U(trie.vocabulary) + ids[at].astype(np.uint64)
+        keys, counts = np.unique(context[at].astype(np.uint64) * _U(trie.vocabulary) + ids[at].astype(np.uint64), return_counts=True)
+        pair = (keys // _U(trie.vocabulary)).astype(np.int64)
+        return shard[pair], node[pair].astype(np.uint64) * _U(trie.vocabulary) + keys % _U(trie.vocabulary), counts
 
     def run(batches):
         yield from _blobs(map(triples, _sliced(batches)))
@@ -513,9 +505,10 @@ def _count_triples(trie: Trie):
 def _build_triples(trie: Trie):
     def run(table: pa.Table) -> pa.Table:
         shard, k, c = _merged_blobs(table)
-        total = read_arrays(f"{trie.folder}/pairs-{shard}")[17]
         context, child = (k // _U(trie.vocabulary)).astype(np.int64), k % _U(trie.vocabulary)
-        edges = np.searchsorted(context, np.arange(len(total) + 1))
+        edges = np.searchsorted(context, np.arange(trie.pairs[shard] + 1))
+        # Each time a context stands in the text one successor follows it, so their counts add up to its own.
+        total = np.bincount(context, c, trie.pairs[shard])
         write_arrays(f"{trie.folder}/triples-{shard}", [*Level.arrays(edges, child, trie.vocabulary), _code(c / (total[context] + trie.strength))])
         return pa.table({"shard": pa.array([shard], pa.int32()), "nodes": pa.array([len(k)], pa.int64())})
 
@@ -540,7 +533,7 @@ def _scored(trie: Trie):
 
 def train(docs: DataFrame, strength: float = STRENGTH, shards: int | None = None) -> Trie:
     """The trie of ``docs`` (text).  Without ``shards`` there are as many as input partitions, as a power of two, MOST_SHARDS at most (a task merges one shard)."""
-    folder = _uri(scratch(docs.sparkSession))
+    folder = uri(scratch(docs.sparkSession))
     docs = only(docs, "text")
     shards = shards or min(MOST_SHARDS, 1 << max(3, (docs.rdd.getNumPartitions() - 1).bit_length()))
 
@@ -551,8 +544,8 @@ def train(docs: DataFrame, strength: float = STRENGTH, shards: int | None = None
     rows = built(_count_words(shards), _build_words(folder), "shard int, words long, tokens long, once long, twice long", "word-sizes")
     trie = Trie(folder, shards, {r["shard"]: r["words"] for r in rows}, *(sum(r[c] for r in rows) for c in ("tokens", "once", "twice")), strength)
     if trie.tokens:
-        trie.pairs = {r["shard"] for r in built(_count_pairs(trie), _build_pairs(trie), "shard int, nodes long", "pair-sizes")}
-        trie.triples = {r["shard"] for r in built(_count_triples(trie), _build_triples(trie), "shard int, nodes long", "triple-sizes")}
+        trie.pairs = {r["shard"]: r["nodes"] for r in built(_count_pairs(trie), _build_pairs(trie), "shard int, nodes long", "pair-sizes")}
+        trie.triples = {r["shard"]: r["nodes"] for r in built(_count_triples(trie), _build_triples(trie), "shard int, nodes long", "triple-sizes")}
     return trie
 
 

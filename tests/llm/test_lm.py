@@ -68,7 +68,7 @@ def test_level_searches_within_its_context():
     v = 1000
     ranges = [np.sort(rng.choice(v, n, replace=False)) for n in (3, 0, 1, 900, 0, 0, 40, 2)]
     edges = np.r_[0, np.cumsum([len(r) for r in ranges])]
-    level = ngram.Level(ngram.Level.arrays(edges, np.concatenate(ranges), v))
+    level = ngram.Level(ngram.Level.arrays(edges, np.concatenate(ranges), v), v)
     for i, r in enumerate(ranges):
         got = level.find(np.full(v, i), np.arange(v, dtype=np.uint64))
         want = np.full(v, -1)
@@ -76,6 +76,15 @@ def test_level_searches_within_its_context():
         assert (got == want).all()
 
 
+def test_neighbouring_elements():
+    rng = np.random.default_rng(5)
+    for n, u in ((2, 5), (3000, 40000), (500, 1 << 40)):
+        v = np.sort(rng.integers(0, u, n)).astype(np.uint64)
+        e = ngram.EliasFano(ngram.ef_arrays(v, u))
+        a, b = e.get_two(np.arange(n - 1))
+        assert (a == v[:-1]).all() and (b == v[1:]).all()
+
+
 def test_third_order_tells_repeated_texts_from_single_ones(spark):
     """Held-out likelihood gains from the third level, and a text seen twice scores above one seen once."""
     rng = np.random.default_rng(4)
