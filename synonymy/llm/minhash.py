@@ -255,12 +255,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     Links: 100 * |A & B| >= percent * |A | B| on sets of k-word shingles.  A null,
     empty or blank text has no shingles and is alone.  A null doc_id takes no part
     and has component_id null and kept true.  Rows that repeat a doc_id are one
-    document (its smallest representative counts); each of them is returned.  Ties do not arise: component_id is the
-    smallest id reachable.  Columns other than doc_id and text are ignored.
+    document, which links what any of its texts links; each of them is returned, with the
+    size of its own set.  Ties do not arise: component_id is the smallest id reachable.  Columns other than doc_id and text are ignored.
     """
     spark, folder = docs.sparkSession, scratch(docs.sparkSession)
     table = cut(signatures(docs, k), folder, "signatures")
     known = table.where("doc_id is not null")
+    if not known.groupBy("doc_id").agg(F.count_distinct(F.coalesce("set_key", F.lit(b""))).alias("n")).where("n > 1").isEmpty():
+        drop(spark, f"{folder}/signatures")
+        return _of_repeated_ids(docs, k, percent, folder)
     groups = cut(known.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), folder, "groups")
     reps = cut(known.join(groups, (known["doc_id"] == groups["rep"]) & (known["set_key"] == groups["set_key"])).select("rep", "bands", "sig").dropDuplicates(["rep"]), folder, "reps")
 
@@ -282,26 +285,42 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         roots = components(found, folder)
 
     filled = known.where("set_key is not null")
-    # An id that stands on rows with different texts ties their groups together.
-    single = known.groupBy("doc_id").agg(F.count_distinct(F.coalesce("set_key", F.lit(b""))).alias("n")).where("n > 1").isEmpty()
-    if single:
-        rooted = groups.join(roots, groups["rep"] == roots["node"], "left").select("set_key", "copies", F.coalesce("root", "rep").alias("root"))
-        ends = with_groups(filled.select("doc_id", "n_shingles", "set_key"), rooted, "set_key", known.count()).select("doc_id", "n_shingles", F.col("root").alias("component_id"))
-        out = ends.union(table.where("doc_id is null or set_key is null").select("doc_id", "n_shingles", "doc_id"))
-    else:
-        same = with_groups(filled.select("doc_id", "set_key"), groups, "set_key", known.count()).select("doc_id", "rep").where("doc_id <> rep").distinct()
-        comp = components(found.union(same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))), folder).select(F.col("node").alias("doc_id"), "root")
-        out = table.select("doc_id", "n_shingles").join(comp, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+    rooted = groups.join(roots, groups["rep"] == roots["node"], "left").select("set_key", "copies", F.coalesce("root", "rep").alias("root"))
+    ends = with_groups(filled.select("doc_id", "n_shingles", "set_key"), rooted, "set_key", known.count()).select("doc_id", "n_shingles", F.col("root").alias("component_id"))
+    out = ends.union(table.where("doc_id is null or set_key is null").select("doc_id", "n_shingles", "doc_id"))
     out = out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     out = cut(out, folder, "result")
     drop(spark, *[f"{folder}/{x}" for x in ("signatures", "groups", "reps", "members", "centers", "members-of-centers", "mixed-centers", "group", "group-sets", "thin", "links1", "crossed", "found")])
     return out
 
 
+def _of_repeated_ids(docs: DataFrame, k: int, percent: int, folder: str) -> DataFrame:
+    """``near_duplicates`` where an id stands on rows with different texts: rows are compared by numbers of their own, then rows of one id are tied."""
+    rows = cut(only(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id()), folder, "numbered")
+    known = rows.where("doc_id is not null")
+    found = near_duplicates(known.select(F.col("row").alias("doc_id"), "text"), k, percent).select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("near"))
+    first = known.groupBy("doc_id").agg(F.min("row").alias("first"))
+    tied = known.select("doc_id", "row").join(first, "doc_id")
+    roots = components(found.select(F.col("row").alias("a"), F.col("near").alias("b")).union(tied.select("row", "first")), folder)
+    linked = cut(known.select("doc_id", "row").join(found.select("row", "n_shingles"), "row").join(roots, F.col("row") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("root", "row").alias("root")), folder, "tied")
+    groups = linked.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("copies"))
+    out = with_groups(linked, groups, "root", linked.count()).select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    alone = signatures(rows.where("doc_id is null").select("doc_id", "text"), k).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return cut(out.union(alone), folder, "result")
+
+
 def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``near_duplicates`` keeps."""
-    gone = near_duplicates(docs, k, percent).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    """The rows of ``docs``, with all their columns, that ``near_duplicates`` keeps; of rows that repeat a doc_id one stays, the least by its columns. Rows without an id stay."""
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    key = F.col(f"c{names.index('doc_id')}")
+    gone = near_duplicates(docs, k, percent).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    kept = plain.join(gone, key == F.col("gone"), "left_anti")
+    again = plain.where(key.isNotNull()).groupBy(key.alias("again")).agg(F.count("*").alias("n")).where("n > 1").select("again")
+    if not again.isEmpty():
+        one = kept.join(again, key == F.col("again"), "left_semi").groupBy(key.alias("again")).agg(F.min(F.struct(*plain.columns)).alias("r")).select("r.*")
+        kept = kept.join(again, key == F.col("again"), "left_anti").union(one)
+    return kept.toDF(*names)
 
 
 def op9_minhash_near_dedup(spark, sf_dir):

@@ -100,6 +100,19 @@ def test_minhash_links_leftovers_of_a_group(spark):
     assert got == dict(enumerate(comp)) and len(set(comp)) > 1
 
 
+def test_minhash_of_repeated_ids(spark):
+    """One id on different texts links what any of them links; its rows leave one document."""
+    text = lambda i, n=40: " ".join(f"t{i}w{j}" for j in range(n))
+    rows = [(10, text(1)), (5, text(1)), (5, text(2)), (7, text(2)), (8, text(3)), (8, None), (9, text(4)), (9, text(4)), (None, text(1)), (3, "")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 3):
+        got = sorted((r.doc_id is None, r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(d.repartition(parts), 4).collect() if r.doc_id)
+        assert [x[1:] for x in got] == [(3, 0, 3, True), (5, 37, 5, True), (5, 37, 5, True), (7, 37, 5, False), (8, 0, 8, True), (8, 37, 8, True), (9, 37, 9, True), (9, 37, 9, True), (10, 37, 5, False)]
+        left = minhash.deduplicated(d.select("*", F.lit(1).alias("TEXT")).repartition(parts), 4)
+        assert left.columns == ["doc_id", "text", "TEXT"]
+        assert sorted((r[0] is None, r[0] or 0) for r in left.collect()) == [(False, 3), (False, 5), (False, 8), (False, 9), (True, 0)]
+
+
 def test_packing_round_trip(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer
