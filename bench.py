@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from synonymy.plans import registry
+from synonymy.plans import registry, relations
 
 
 def main() -> None:
@@ -23,6 +23,7 @@ def main() -> None:
         began = time.time()
         registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         took[name] = round(time.time() - began, 3)
+    relations.clear(spark)
     print(json.dumps({"metric": "all analysis queries", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": os.path.basename(sf_dir.rstrip("/"))}))
 
 

@@ -20,6 +20,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from synonymy.functions.codons import COLUMNS, codon_dim, codon_rows
+from synonymy.sources import shared
 from synonymy.sources.shared import new_folder, state, written
 from synonymy.sources.tables import TABLES, cds_from_documents, codon_positions, table
 
@@ -173,6 +174,12 @@ def run(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return Run(spark, sf_dir)(name)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete the kept relations and all other scratch of this process; results read before are gone."""
+    _WRITTEN.clear()
+    shared.clear(spark)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: partial(_run, name=name) for name in QUERIES}
 

@@ -23,8 +23,20 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_MADE: list[str] = []
+
+
 def new_folder(spark: SparkSession, kind: str) -> str:
-    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    _MADE.append(f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all that this process wrote to the shared folder. For the caller, once no result is read any more."""
+    conf = spark._jsc.hadoopConfiguration()
+    while _MADE:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        p.getFileSystem(conf).delete(p, True)
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
