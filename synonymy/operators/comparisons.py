@@ -202,6 +202,22 @@ adjusted("path_q", "path_terms", "metric, tier", "pathway")
 query("st08_tier_enrichment", "SELECT metric, tier, pathway, a AS k, c AS n, s AS n_test, n AS n_universe, round(least(100e0, a / (CAST(c AS DOUBLE) * s / n)), 5) AS fold, round(least(1e0, p), 6) AS p, round(q, 6) AS q, q <= 5e-2 AS significant FROM path_q")
 query("fg06_enrichment_dots", "SELECT metric, tier, pathway, round(CAST(a AS DOUBLE) / s, 6) AS gene_ratio, round(-ln(greatest(q, 1e-300)) / ln(10e0), 5) AS minus_log10_q FROM (SELECT *, row_number() OVER (PARTITION BY metric, tier ORDER BY q, p, pathway) AS nth FROM path_q) x WHERE nth <= 30")
 
+# In how many samples of each condition a pathway is enriched among genes of high adaptation.
+relation("sample_ko", "SELECT g.sample_id, g.cond, t.tier, k.ko, k.pathway FROM tier t JOIN genes g ON g.gene = t.gene JOIN gene_ko k ON k.gene = t.gene")
+relation("sample_slice", """SELECT p.sample_id, p.cond, p.pathway, p.a, p.c, u.s, u.n FROM (SELECT sample_id, cond, pathway, count(DISTINCT CASE WHEN tier = 'high' THEN ko END) AS a, count(DISTINCT ko) AS c FROM sample_ko GROUP BY sample_id, cond, pathway) p
+  JOIN (SELECT sample_id, count(DISTINCT CASE WHEN tier = 'high' THEN ko END) AS s, count(DISTINCT ko) AS n FROM sample_ko GROUP BY sample_id) u ON u.sample_id = p.sample_id WHERE u.s > 0""")
+both("sample_terms", lambda e: f"SELECT sample_id, cond, pathway, sum({e.hypergeometric('i', 'c', 's', 'n')}) AS p FROM ({e.every('greatest(h.a, h.c + h.s - h.n)', 'least(h.c, h.s)', 'h.sample_id, h.cond, h.pathway, h.a, h.c, h.s, h.n', 'sample_slice')}) h GROUP BY sample_id, cond, pathway, a, c, s, n")
+adjusted("sample_path", "sample_terms", "sample_id", "pathway")
+relation("cond_path", "SELECT pathway AS item, cond AS grp, count(CASE WHEN q <= 5e-2 THEN 1 END) AS a, count(*) AS c FROM sample_path GROUP BY pathway, cond")
+relation("cond_path_pair", "SELECT x.item, x.grp AS g1, y.grp AS g2, x.a, x.c, x.a + y.a AS s, x.c + y.c AS n FROM cond_path x JOIN cond_path y ON y.item = x.item AND x.grp < y.grp")
+fisher("cond_path_fisher", "cond_path_pair", "item, g1, g2")
+relation("cond_path_chi", """SELECT item, k, CASE WHEN s > 0 AND s < n THEN x END AS x FROM (SELECT item, count(*) AS k, max(s) AS s, max(n) AS n, sum(pow(a - c * (s / n), 2) / nullif(c * (s / n), 0) + pow((c - a) - c * (1 - s / n), 2) / nullif(c * (1 - s / n), 0)) AS x
+  FROM (SELECT item, grp, CAST(a AS DOUBLE) AS a, CAST(c AS DOUBLE) AS c, CAST(sum(a) OVER (PARTITION BY item) AS DOUBLE) AS s, CAST(sum(c) OVER (PARTITION BY item) AS DOUBLE) AS n FROM cond_path) z GROUP BY item) y WHERE k >= 3""")
+both("cond_path_omnibus", lambda e: f"SELECT item, x, CASE WHEN x IS NOT NULL THEN {e.tail('x', '(k - 1)')} END AS p FROM cond_path_chi")
+relation("cond_path_all", "SELECT 'chi_square' AS test, item, '' AS g1, '' AS g2, x AS statistic, p FROM cond_path_omnibus UNION ALL SELECT 'fisher' AS test, item, g1, g2, CAST(a AS DOUBLE) AS statistic, p FROM cond_path_fisher")
+adjusted("cond_path_q", "cond_path_all", "", "test, item, g1, g2")
+query("st20_pathways_between", "SELECT test, item AS pathway, g1, g2, round(statistic, 5) AS statistic, round(p, 6) AS p, round(q, 6) AS q FROM cond_path_q")
+
 # ---------------------------------------------------------------- resampling
 relation("seeds", "SELECT CAST(i AS BIGINT) AS i FROM range(0, 1000) AS t(i)")
 # Percentile intervals of the reference genes' mean adaptation, by 1000 resamples of each genome's.

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -448,6 +449,47 @@ on_spark("in_clusters", "SELECT g1 AS cluster, split_part(item, ' ', 2) AS featu
 on_spark("cluster_profile", "SELECT s.cluster, f.feature, round(avg(f.v), 6) AS mean_z, count(*) AS n_samples FROM sample_features f JOIN sample_clusters s ON s.sample_id = f.sample_id GROUP BY s.cluster, f.feature")
 
 
+# ---------------------------------------------------------------- clusters within the genes of interest
+LEAST_GENES, LEAST_MEMBERS, MOST_CLUSTERS = 6, 3, 8
+
+
+@needs("gene_clr", "set_clr", "goi")
+def goi_offsets(run: Run) -> DataFrame:
+    """gene, feature, v: log-ratio usage of the genes of interest less the genome's."""
+    return run.sql("SELECT g.gene, g.codon AS feature, g.x - s.x AS v FROM gene_clr g JOIN goi i ON i.gene = g.gene JOIN set_clr s ON s.codon = g.codon AND s.gene_set = 'all'")
+
+
+@needs("goi_offsets")
+def goi_clusters(run: Run) -> DataFrame:
+    """gene, cluster, silhouette: k-means of the genes of interest, k of 2 to 8 by the silhouette among those that leave three genes in each cluster; none for fewer than 6 genes."""
+    rows = written(_vectors(run("goi_offsets"), "gene").select(F.col("key").cast("long").alias("gene"), array_to_vector("xs").alias("features")), new_folder(run.spark, "goi"))
+    n, best = rows.count(), None
+    if n < LEAST_GENES:
+        return run.spark.createDataFrame([], "gene long, cluster int, silhouette double")
+    for k in range(2, min(MOST_CLUSTERS, n // LEAST_MEMBERS) + 1):
+        out = KMeans(k=k, seed=42).fit(rows).transform(rows)
+        sizes = [r["count"] for r in out.groupBy("prediction").count().collect()]  # k rows
+        if len(sizes) > 1 and (min(sizes) >= LEAST_MEMBERS or k == 2):
+            score = ClusteringEvaluator().evaluate(out)
+            if best is None or score > best[0]:
+                best = (score, out)
+    if best is None:
+        return rows.select("gene", F.lit(0).alias("cluster"), F.lit(None).cast("double").alias("silhouette"))
+    return best[1].select("gene", F.col("prediction").alias("cluster"), F.round(F.lit(float(best[0])), 6).alias("silhouette"))
+
+
+on_spark("goi_features", "SELECT gene, feature, v FROM goi_offsets UNION ALL SELECT m.gene, m.metric AS feature, m.v FROM metric m JOIN goi i ON i.gene = m.gene")
+on_spark("goi_two", "SELECT c.k || ' ' || f.feature AS item, CAST(c.k AS VARCHAR(20)) AS g1, 'rest' AS g2, CASE WHEN s.cluster = c.k THEN 1 ELSE 0 END AS first_one, round(f.v, 9) AS v FROM goi_features f JOIN goi_clusters s ON s.gene = f.gene CROSS JOIN (SELECT DISTINCT cluster AS k FROM goi_clusters) c")
+two_sample("goi_driver", "goi_two", 3)
+adjusted("goi_driver_q", "goi_driver")
+on_spark("goi_drivers", "SELECT g1 AS cluster, split_part(item, ' ', 2) AS feature, CAST(n1 AS BIGINT) AS n_in, CAST(n2 AS BIGINT) AS n_rest, round(delta, 6) AS delta, round(p, 6) AS p, round(q, 6) AS q, true AS post_selection_biased FROM goi_driver_q")
+for name, form in (("goi_offsets", goi_offsets), ("goi_clusters", goi_clusters)):
+    on_spark(name, form)
+KEPT.update({"goi_offsets", "goi_clusters"})
+spark_query("mv23_goi_clusters", "SELECT gene, cluster, silhouette FROM goi_clusters")
+spark_query("st31_goi_drivers", "SELECT cluster, feature, n_in, n_rest, delta, p, q, post_selection_biased FROM goi_drivers")
+
+
 # ---------------------------------------------------------------- stability of the reference's cluster
 REPLICATES, CORE = 100, 0.5
 #: How often a row is in a resample: the Poisson distribution of mean 1, by its steps.
@@ -458,7 +500,7 @@ def _replicated(rows: DataFrame, replicates: int) -> DataFrame:
     """Each row (gene, zs) as often as each resample has it, by a hash of both."""
     u = (F.conv(F.substring(F.md5(F.concat_ws("-", "grp", "gene")), 1, 13), 16, 10).cast("double") + 0.5) / float(16**13)
     times = sum((F.when(u > x, 1).otherwise(0) for x in _POISSON), F.lit(0))
-    every = rows.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).cast("string")).withColumn("times", times)
+    every = rows.withColumn("grp", F.explode(F.transform(F.sequence(F.lit(0), F.lit(replicates - 1)), lambda i: i.cast("string")))).withColumn("times", times)
     return every.where("times > 0").select("grp", "gene", "zs", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
 
 
@@ -537,9 +579,11 @@ def reference_mixtures(run: Run) -> DataFrame:
     n = rows.count()
     if n < 15:
         return run.spark.createDataFrame([], schema)
+    _, s, c = _apart(moments(rows.select(F.lit("").alias("grp"), vector_to_array("features").alias("xs"))).first()["m"])
+    spread = max(float(np.linalg.det(c / n - np.outer(s, s) / n / n)), 1e-300)
     out = []
     for k in range(1, 5):
-        fit = GaussianMixture(k=k, seed=1, maxIter=100).fit(rows).summary.logLikelihood
+        fit = GaussianMixture(k=k, seed=1, maxIter=100).fit(rows).summary.logLikelihood if k > 1 else -n / 2 * (2 * math.log(2 * math.pi) + math.log(spread) + 2)
         out.append((k, float(fit), float(-2 * fit + (k * 6 - 1) * math.log(n))))
     best = min(out, key=lambda x: x[2])[0]
     return run.spark.createDataFrame([(*x, x[0] == best) for x in out], schema)

@@ -19,10 +19,10 @@ ANALYSES = {
     "advanced": "mv01_coa_inertia mv01_coa_genes mv01_coa_codons mv03_rscu_distance mv04_enc_diff ag08_gc12_gc3 ag09_pr2 st10_delta_rscu sf06_trna_wobble st13_trna_by_class st09_fisher st11_length_bias",
     "pairs": "ag17_codon_pairs ag18_cps ag19_gene_cpb ag21_bridge_bias ag22_pair_summary st15_cpb_by_tier",
     "ecology": "mv05_foreign_genes be01_growth_rate rs09_growth_interval be02_optimal_codons wn04_quintiles wn05_positional_fop be03_mobile_elements be04_strand_adjusted rs08_operon_null be06_divergence_islands",
-    "cluster": "mv12_cluster_genes ag25_cluster_rscu mv15_membership_stability wn13_gap_boundary mv10_reference_mixtures",
+    "cluster": "mv12_cluster_genes ag25_cluster_rscu mv15_membership_stability wn13_gap_boundary mv10_reference_mixtures mv09_dense_core mv11_density_peaks mv14_dual_anchor mv13_selection_votes",
     "optimization": "co01_three_way_table co02_optimization_summary co03_top_line co04_recommendation ag31_three_way_cai co05_gene_gain",
-    "gene_set": "gs02_goi_summary gs03_partition st27_scalar_tests st27_ks_two_sample st28_codon_references rs05_aitchison_permutation rs06_matched_permutation st29_partition_enrichment rs07_membership_permutation st26_tier_breakdown wn09_percentile_rank",
-    "enrichment": "st08_tier_enrichment st07_hypergeometric rs11_preranked_gsea be16_inefficiency_report",
+    "gene_set": "gs02_goi_summary gs03_partition st27_scalar_tests st27_ks_two_sample st28_codon_references rs05_aitchison_permutation rs06_matched_permutation st29_partition_enrichment rs07_membership_permutation st26_tier_breakdown wn09_percentile_rank mv23_goi_clusters st31_goi_drivers",
+    "enrichment": "st08_tier_enrichment st07_hypergeometric rs11_preranked_gsea st20_pathways_between be16_inefficiency_report",
     "signatures": "sg01_gene_signature sg02_genome_signature",
     "corpus": "mv20_sample_clusters mv21_gene_clusters st30_cluster_drivers fg18_cluster_profiles st33_mantel_test st34_contingency mv27_similarity_network",
     "comparative": "cm01_sample_metrics cm02_sample_table ag33_within_condition ag34_rscu_dispersion st16_between_conditions st17_effect_summary st18_rscu_fold_change st25_permanova st19_class_rscu_between st21_strand_patterns st22_optimal_codons_between st23_foreign_burden st24_gc3_gc12",

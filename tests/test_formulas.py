@@ -370,3 +370,61 @@ def test_clusters_and_drivers(spark):
     assert len(got) == len({r.sample_id for r in got}) and 2 <= len({r.cluster for r in got}) <= 8
     axes = np.array([(r.pc1, r.pc2) for r in rows(spark, "mv24_sample_components")])
     assert np.abs(axes.mean(axis=0)).max() < 1e-5 and axes[:, 0].var() >= axes[:, 1].var() and abs(np.corrcoef(axes.T)[0, 1]) < 1e-4
+
+
+def test_density_and_its_peaks(spark):
+    from pyspark.sql import functions as F
+
+    from synonymy.operators.density import Density
+
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(0, 1, (600, 2)), rng.normal([9, 2], 1, (400, 2))])
+    rows = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "gene long, zs array<double>").select("gene", "zs", F.lit(True).alias("is_ref"))
+    field = Density(rows)
+    places = [p for p, _ in field.peaks()]
+    assert len(places) == 2 and np.abs(places[0]).max() < 0.6 and np.abs(places[1] - [9, 2]).max() < 0.7
+    at = {r.gene: r.density for r in field.of(rows, ["gene"]).collect()}
+    cov = np.cov(x.T) * len(x) ** (-1 / 3)
+    d = x[:20, None] - x[None]
+    want = np.exp(-0.5 * np.einsum("ijk,kl,ijl->ij", d, np.linalg.inv(cov), d)).sum(axis=1) / (2 * math.pi * math.sqrt(np.linalg.det(cov)) * len(x))
+    assert [at[i] for i in range(20)] == pytest.approx(want.tolist(), rel=0.1)
+
+
+def test_stability_votes_and_groups(spark):
+    got = rows(spark, "mv15_membership_stability")
+    assert got and all(0 <= r.frequency <= 1 and r.core == (r.frequency >= 0.5) for r in got) and 0 < got[0].jaccard <= 1
+    member = {r.gene: r.in_cluster for r in rows(spark, "mv12_cluster_genes")}
+    often = [r.frequency for r in got if member[r.gene]]
+    assert np.mean(often) > np.mean([r.frequency for r in got if not member[r.gene]])
+    assert {r.category for r in rows(spark, "mv14_dual_anchor")} <= {"both", "rp_only", "dens_only", "neither"}
+    votes = rows(spark, "mv13_selection_votes")
+    assert len({r.classification for r in votes}) == 1 and len(votes) == 3
+    mixtures = rows(spark, "mv10_reference_mixtures")
+    assert [r.k for r in mixtures] == [1, 2, 3, 4] and sum(r.chosen for r in mixtures) == 1 and min(mixtures, key=lambda r: r.bic).chosen
+    sizes = {}
+    for r in rows(spark, "mv23_goi_clusters"):
+        sizes[r.cluster] = sizes.get(r.cluster, 0) + 1
+    assert not sizes or len(sizes) >= 1
+
+
+def test_pathways_between_conditions(spark, monkeypatch):
+    cases = [(f"s{c}{k}", c, "p", 0.001 if c == "a" and k < 6 or c == "b" and k < 1 else 0.9) for c in "abc" for k in range(8)]
+    monkeypatch.delitem(relations.SPARK, "sample_terms")
+    patched(monkeypatch, "sample_terms", cases, "sample_id, cond, pathway, p")
+    got = {(r.test, r.g1, r.g2): r for r in rows(spark, "st20_pathways_between")}
+    fisher = sum(math.comb(8, x) * math.comb(8, 7 - x) for x in range(8) if math.comb(8, x) * math.comb(8, 7 - x) <= math.comb(8, 6) * math.comb(8, 1)) / math.comb(16, 7)
+    assert got["fisher", "a", "b"].p == pytest.approx(fisher, abs=1e-6)
+    x2 = sum((o - 7 / 3) ** 2 / (7 / 3) + ((8 - o) - 17 / 3) ** 2 / (17 / 3) for o in (6, 1, 0))
+    assert got["chi_square", "", ""].statistic == pytest.approx(x2, abs=1e-5) and got["chi_square", "", ""].p == pytest.approx(math.exp(-x2 / 2), abs=1e-6)
+
+
+def test_gap_boundary(spark, monkeypatch):
+    axes = sum(r.chosen for r in rows(spark, "mv01_coa_inertia"))
+    low, high = (math.sqrt(multivariate.chi_square_quantile(p, axes)) for p in (0.90, 0.99))
+    edge = (low + high) / 2
+    distances = [low * (k + 1) / 61 for k in range(60)] + [edge, edge + 2.5, edge + 2.6]
+    monkeypatch.delitem(relations.SPARK, "membership")
+    patched(monkeypatch, "membership", [(k, d, "true") for k, d in enumerate(distances)], "gene, distance, ref")
+    monkeypatch.setitem(relations.RELATIONS, "membership", relations.RELATIONS["membership"].replace("SELECT *", "SELECT gene, distance, ref = 'true' AS is_ref"))
+    got = rows(spark, "wn13_gap_boundary")[0]
+    assert got.n_ref == 63 and got.rule == "gap" and got.boundary == pytest.approx(edge + 1.25)
