@@ -21,9 +21,9 @@ D = n1 / (n1 + 2 n2); p2(w|v) = c(v,w) / (c(v) + K) + K / (c(v) + K) * p1(w), an
 p3(w|u,v) = c(u,v,w) / (c(u,v) + K) + K / (c(u,v) + K) * p2(w|v).  A context that was
 never seen leaves the order below as it is.
 
-Counting is exact and distributed: tasks pre-aggregate their own n-grams, blobs of
-sorted keys go to their shard by hash (no word, however common, fills a shard),
-and one task merges a shard.  Nothing that grows with the corpus is broadcast.
+Counting is exact and distributed, in one pass for words and one for pairs and
+trigrams: tasks pre-aggregate their own n-grams, blobs of sorted keys go to their shard by the hash of their context, or of the whole pair where
+the context is a frequent word (so no word fills a shard), and one task merges a shard.  Nothing that grows with the corpus is broadcast.
 """
 
 from __future__ import annotations
@@ -44,7 +44,9 @@ STEP = 1 / 2048  # of quantised log10 probabilities
 END = np.uint64(hash_word("\x00end\x00"))
 MOST_PENDING = 1 << 23
 #: Bytes of text that are looked up at once; n-grams that stand in it more than once are sought once.
-LOOKUP_BYTES = 1 << 22
+LOOKUP_BYTES = 1 << 23
+#: Of each shard so many of the most frequent words may be frequent ones, whose successors are spread over all shards.
+FREQUENT = 64
 MOST_SHARDS = 1 << 14
 _U = np.uint64
 
@@ -244,46 +246,84 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return k[first], np.add.reduceat(c, first) if len(k) else c
 
 
-def _blobs(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """Pre-aggregated blobs (shard, blob) of a task's parts (shards, keys, counts), each of distinct keys in order."""
-    pending: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+def _squeezed_triples(pairs: np.ndarray, words: np.ndarray, counts: np.ndarray) -> bytes:
+    planes = np.concatenate([np.diff(pairs, prepend=_U(0)).view(np.uint8).reshape(-1, 8), words.astype(np.uint32).view(np.uint8).reshape(-1, 4), counts.astype(np.uint32).view(np.uint8).reshape(-1, 4)], axis=1)
+    return len(pairs).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(planes.T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _loosened_triples(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int.from_bytes(blob[:8], "little")
+    planes = np.frombuffer(pa.decompress(blob[8:], decompressed_size=16 * n, codec="zstd", asbytes=True), np.uint8).reshape(16, n).T
+    part = lambda a, b, kind: np.ascontiguousarray(planes[:, a:b]).view(kind).ravel()
+    return np.cumsum(part(0, 8, np.uint64), dtype=np.uint64), part(8, 12, np.uint32), part(12, 16, np.uint32).astype(np.int64)
+
+
+def _merged_triples(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (pair, word) in order, with summed counts."""
+    p, w, c = (np.concatenate(x) for x in zip(*parts, strict=True))
+    if len(parts) == 1 or not len(p):
+        return p, w, c
+    order = np.lexsort((w, p))
+    p, w, c = p[order], w[order], c[order]
+    first = np.flatnonzero(np.r_[True, (p[1:] != p[:-1]) | (w[1:] != w[:-1])])
+    return p[first], w[first], np.add.reduceat(c, first)
+
+
+def _dealt(shard: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
+    """(shard, its rows of the columns), in their order."""
+    order = np.argsort(shard.astype(np.uint16), kind="stable")
+    shard, columns = shard[order], [c[order] for c in columns]
+    edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]) if len(shard) else np.zeros(0, np.int64)
+    for a, b in zip(edges, np.append(edges[1:], len(shard)) if len(shard) else edges, strict=True):
+        yield int(shard[a]), tuple(c[a:b] for c in columns)
+
+
+def _blobs(parts: Iterator[list[Iterator]], merges: list, squeezes: list) -> Iterator[pa.RecordBatch]:
+    """Pre-aggregated blobs of a task, a column for each kind of n-gram: ``parts`` has dealt rows of each kind, ``merges`` and ``squeezes`` sum up and pack them."""
+    pending: list[dict[int, list]] = [{} for _ in merges]
     held = 0
 
     def flush():
-        rows = [(s, _squeezed(*_merged(*map(list, zip(*pairs, strict=True))))) for s, pairs in sorted(pending.items())]
-        pending.clear()
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["shard", "blob"])
-
-    for shard, keys, counts in parts:
-        if not len(keys):
-            continue
-        order = np.argsort(shard.astype(np.uint16), kind="stable")
-        shard, keys, counts = shard[order], keys[order], counts[order]
-        edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
-        for a, b in zip(edges, np.append(edges[1:], len(shard)), strict=True):
-            pending.setdefault(int(shard[a]), []).append((keys[a:b], counts[a:b]))
-        held += len(keys)
+        shards = sorted(set().union(*pending))
+        rows = [[squeeze(*merge(kind[s])) if s in kind else None for s in shards] for kind, merge, squeeze in zip(pending, merges, squeezes, strict=True)]
+        for kind in pending:
+            kind.clear()
+        return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), *(pa.array(r, pa.binary()) for r in rows)], names=["shard", *(f"blob{i}" for i in range(len(rows)))])
+
+    for part in parts:
+        for kind, dealt in zip(pending, part, strict=True):
+            for s, columns in dealt:
+                kind.setdefault(s, []).append(columns)
+                held += len(columns[0])
         if held > MOST_PENDING:
-            for s, pairs in pending.items():
-                pending[s] = [_merged(*map(list, zip(*pairs, strict=True)))]
-            held = sum(len(p[0][0]) for p in pending.values())
+            held = 0
+            for kind, merge in zip(pending, merges, strict=True):
+                for s, rows in kind.items():
+                    kind[s] = [merge(rows)]
+                    held += len(kind[s][0][0])
             if held > MOST_PENDING // 2:
                 yield flush()
                 held = 0
     yield flush()
 
 
+def _merged_rows(rows: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return _merged(*map(list, zip(*rows, strict=True)))
+
+
 class Tokens:
     """A slice's words with an end after each row's."""
 
     def __init__(self, batch: pa.RecordBatch):
-        w = Words(column(batch, "text"), SPACE_WORDS)
-        n = np.diff(w.first)
-        self.first = np.concatenate([[0], np.cumsum(n + 1)])
+        counts, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for part in chunks(batch):
+            w = Words(column(part, "text"), SPACE_WORDS)
+            counts.append(np.diff(w.first)), hashes.append(w.hashes())
+        self.first = np.concatenate([[0], np.cumsum(np.concatenate(counts) + 1)])
         self.hash = np.full(int(self.first[-1]), END)
         body = np.ones(len(self.hash), bool)
         body[self.first[1:] - 1] = False
-        self.hash[body] = w.hashes()
+        self.hash[body] = np.concatenate(hashes)
 
     def before(self, x: np.ndarray, end) -> np.ndarray:
         """x of the token before; a row's first token comes after an end."""
@@ -298,10 +338,6 @@ def _word_shard(shards: int):
     return lambda h: (h >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
 
 
-def _pair_shard(shards: int):
-    return lambda k: (mix(k) & _U(shards - 1)).astype(np.int64)
-
-
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (b for whole in batches for b in chunks(whole, most=LOOKUP_BYTES) if b.num_rows)
 
@@ -309,20 +345,19 @@ def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _count_words(shards: int):
     def run(batches):
         shard = _word_shard(shards)
-        yield from _blobs((shard(k), k, c) for k, c in (np.unique(Tokens(b).hash, return_counts=True) for b in _sliced(batches)))
+        words = (np.unique(Tokens(b).hash, return_counts=True) for b in _sliced(batches))
+        yield from _blobs(([_dealt(shard(k), k, c)] for k, c in words), [_merged_rows], [_squeezed])
 
     return run
 
 
-def _merged_blobs(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
-    return table["shard"][0].as_py(), *_merged(*map(list, zip(*(_loosened(b) for b in table["blob"].to_pylist()), strict=True)))
-
-
 def _build_words(folder: str):
     def run(table: pa.Table) -> pa.Table:
-        shard, k, c = _merged_blobs(table)
+        shard, (k, c) = table["shard"][0].as_py(), _merged_rows([_loosened(b) for b in table["blob0"].to_pylist()])
         write_arrays(f"{folder}/words-{shard}", [*ef_arrays(k, 1 << 64), c])
-        return pa.table({"shard": pa.array([shard], pa.int32()), "words": pa.array([len(k)], pa.int64()), "tokens": pa.array([int(c.sum())], pa.int64()), "once": pa.array([int((c == 1).sum())], pa.int64()), "twice": pa.array([int((c == 2).sum())], pa.int64())})
+        top = np.sort(np.argsort(-c, kind="stable")[:FREQUENT])
+        one = lambda x, t: pa.array([x], t)
+        return pa.table({"shard": one(shard, pa.int32()), "words": one(len(k), pa.int64()), "tokens": one(int(c.sum()), pa.int64()), "once": one(int((c == 1).sum()), pa.int64()), "twice": one(int((c == 2).sum()), pa.int64()), "top": one(top, pa.list_(pa.int64())), "counts": one(c[top], pa.list_(pa.int64()))})
 
     return run
 
@@ -342,16 +377,28 @@ def _share(code: np.ndarray) -> np.ndarray:
 class Trie:
     """Where the shard files are, and totals over them (a number for each shard)."""
 
-    def __init__(self, folder: str, shards: int, words: dict[int, int], tokens: int, once: int, twice: int, strength: float):
-        self.folder, self.shards, self.tokens, self.strength = folder, shards, tokens, strength
-        sizes = np.array([words.get(s, 0) for s in range(shards)], np.int64)
+    def __init__(self, folder: str, shards: int, rows: list, strength: float):
+        """``rows``: what _build_words says of each shard."""
+        self.folder, self.shards, self.strength = folder, shards, strength
+        self.tokens, once, twice = (sum(r[c] for r in rows) for c in ("tokens", "once", "twice"))
+        sizes = np.zeros(shards, np.int64)
+        for r in rows:
+            sizes[r["shard"]] = r["words"]
         self.base, self.vocabulary = np.cumsum(sizes) - sizes, int(sizes.sum())
         if self.vocabulary >= 1 << 32:
             raise ValueError("pairs of word ids need more than 64 bits")
+        often = [self.base[r["shard"]] + i for r in rows for i, c in zip(r["top"], r["counts"], strict=True) if c * shards * 16 > self.tokens]
+        self.frequent = np.sort(np.array([*often, np.iinfo(np.int64).max], np.int64)).astype(np.uint64)
         self.discount = once / (once + 2 * twice) if once and twice else 0.5
         self.pairs, self.triples = {}, {}  # nodes of the shards that have files of that level
         self._open: dict[str, object] = {}
 
+    def shard_of(self, pairs: np.ndarray) -> np.ndarray:
+        """Shards of pairs: by the first word, by both where it is frequent."""
+        context = pairs // _U(max(self.vocabulary, 1))
+        often = self.frequent[np.searchsorted(self.frequent, context)] == context
+        return (mix(np.where(often, pairs, context + _U(1))) & _U(self.shards - 1)).astype(np.int64)
+
     def __getstate__(self):
         return self.__dict__ | {"_open": {}}
 
@@ -364,7 +411,7 @@ class Trie:
         return self._file(f"words-{s}", lambda a: (EliasFano(a[:5]), a[5]))
 
     def _pairs(self, s: int):
-        return self._file(f"pairs-{s}", lambda a: (EliasFano(a[:5]), Level(a[5:15], self.vocabulary), a[15], a[16]))
+        return self._file(f"pairs-{s}", lambda a: (EliasFano(a[:5]), Level(a[5:15], self.vocabulary), a[15]))
 
     def _triples(self, s: int):
         return self._file(f"triples-{s}", lambda a: (Level(a[:10], self.vocabulary), a[10]))
@@ -406,25 +453,32 @@ class Trie:
         ids, counts = self.look(np.array([END]))
         return int(ids[0]), int(counts[0])
 
-    def second(self, before: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of each token: which of the distinct pairs it ends (-1: none can be), and of each of these its shard, node (-1: unseen), and the codes of its own and the lower order's share."""
+    def pairs_of(self, before: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs of known words in order, and which of them each token ends (-1: none)."""
         which = np.full(len(ids), -1, np.int64)
         both = np.flatnonzero((before >= 0) & (ids >= 0))
-        keys, inverse = np.unique(before[both].astype(np.uint64) * _U(self.vocabulary) + ids[both].astype(np.uint64), return_inverse=True)
-        which[both] = inverse
-        shard, node = _pair_shard(self.shards)(keys), np.full(len(keys), -1, np.int64)
-        own, lower = np.zeros(len(keys), np.uint16), np.zeros(len(keys), np.uint16)
-        context, child = keys // _U(max(self.vocabulary, 1)), keys % _U(max(self.vocabulary, 1))
+        keys, which[both] = np.unique(before[both].astype(np.uint64) * _U(self.vocabulary) + ids[both].astype(np.uint64), return_inverse=True)
+        return keys, which
+
+    def second(self, before: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each token: which of the distinct pairs it ends, and of each of these its shard, node (-1: unseen), and codes (own share high, lower order's low)."""
+        keys, which = self.pairs_of(before, ids)
+        shard, node = self.shard_of(keys), np.full(len(keys), -1, np.int64)
+        codes = np.zeros(len(keys), np.uint32)
+        context = keys // _U(max(self.vocabulary, 1))
+        child = keys - context * _U(max(self.vocabulary, 1))
         for s, at in self._by_shard(shard):
             if s in self.pairs:
-                parents, level, share, rest = self._pairs(s)
-                new = np.flatnonzero(np.r_[True, context[at][1:] != context[at][:-1]])
-                parent = np.repeat(parents.find(context[at][new]), np.diff(np.append(new, len(at))))
+                parents, level, code = self._pairs(s)
+                own = context[at]
+                new = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                parent = np.repeat(parents.find(own[new]), np.diff(np.append(new, len(at))))
                 some = np.flatnonzero(parent >= 0)
                 i = level.find(parent[some], child[at[some]])
-                hit = at[some[i >= 0]]
-                node[hit], own[hit], lower[hit] = i[i >= 0], share[i[i >= 0]], rest[i[i >= 0]]
-        return which, shard, node, own, lower
+                hit = i >= 0
+                node[at[some[hit]]] = i[hit]
+                codes[at[some[hit]]] = code[i[hit]]
+        return which, shard, node, codes
 
     def contexts(self, tokens: Tokens, which: np.ndarray, node: np.ndarray) -> np.ndarray:
         """Of each token the pair before it that is a node of level two, -1 if there is none."""
@@ -435,82 +489,72 @@ class Trie:
         """Each token's log10 probability after the two before (the first one's: after an end)."""
         e, n = self.end()
         before, before_n = tokens.before(ids, e), tokens.before(counts, n)
-        which, shard, node, own, lower = self.second(before, ids)
+        which, shard, node, codes = self.second(before, ids)
         p = self.p1(counts)
         p = np.where(before >= 0, self.strength / (before_n + self.strength) * p, p)
+        del before, before_n
+        own = _share(codes >> np.uint32(16)) * (node >= 0)
         seen = np.flatnonzero(which >= 0)
-        seen = seen[node[which[seen]] >= 0]
-        p[seen] += _share(own)[which[seen]]
+        p[seen] += own[which[seen]]
         context = self.contexts(tokens, which, node)
         after = np.flatnonzero(context >= 0)
-        p[after] *= _share(lower)[context[after]]
+        p[after] *= _share(codes & np.uint32(0xFFFF))[context[after]]
         after = after[ids[after] >= 0]
         keys, inverse = np.unique(context[after].astype(np.uint64) * _U(self.vocabulary) + ids[after].astype(np.uint64), return_inverse=True)
-        pair, child = (keys // _U(max(self.vocabulary, 1))).astype(np.int64), keys % _U(max(self.vocabulary, 1))
+        pair = keys // _U(max(self.vocabulary, 1))
+        child, pair = keys - pair * _U(max(self.vocabulary, 1)), pair.astype(np.int64)
         adds = np.zeros(len(keys))
         for s, at in self._by_shard(shard[pair]):
             if s in self.triples:
                 level, share = self._triples(s)
                 i = level.find(node[pair[at]], child[at])
-                adds[at[i >= 0]] = _share(share[i[i >= 0]])
+                hit = i >= 0
+                adds[at[hit]] = _share(share[i[hit]])
         p[after] += adds[inverse]
         return np.log10(p)
 
 
-def _count_pairs(trie: Trie):
-    def pairs(batch: pa.RecordBatch) -> np.ndarray:
+def _count_grams(trie: Trie):
+    """Pairs, and trigrams as a pair and the word after it."""
+
+    def grams(batch: pa.RecordBatch) -> list[Iterator]:
         t = Tokens(batch)
         ids, _ = trie.look(t.hash)
-        return t.before(ids, trie.end()[0]).astype(np.uint64) * _U(trie.vocabulary) + ids.astype(np.uint64)
+        keys, which = trie.pairs_of(t.before(ids, trie.end()[0]), ids)
+        context = t.before(which, -1)
+        at = np.flatnonzero(context >= 0)
+        triples, counts = np.unique(context[at].astype(np.uint64) * _U(trie.vocabulary) + ids[at].astype(np.uint64), return_counts=True)
+        pair = triples // _U(trie.vocabulary)
+        shard = trie.shard_of(keys)
+        own = pair.astype(np.int64)
+        return [_dealt(shard, keys, np.bincount(which, minlength=len(keys))), _dealt(shard[own], keys[own], (triples - pair * _U(trie.vocabulary)).astype(np.uint32), counts)]
 
     def run(batches):
-        shard = _pair_shard(trie.shards)
-        yield from _blobs((shard(k), k, c) for k, c in (np.unique(pairs(b), return_counts=True) for b in _sliced(batches)))
+        yield from _blobs(map(grams, _sliced(batches)), [_merged_rows, _merged_triples], [_squeezed, _squeezed_triples])
 
     return run
 
 
-def _build_pairs(trie: Trie):
+def _build_grams(trie: Trie):
+    """Levels two and three of a shard; a trigram's context is the place of its pair."""
+
     def run(table: pa.Table) -> pa.Table:
-        shard, k, c = _merged_blobs(table)
-        parent, child = k // _U(trie.vocabulary), k % _U(trie.vocabulary)
+        shard, v = table["shard"][0].as_py(), trie.vocabulary
+        k, c = _merged_rows([_loosened(b) for b in table["blob0"].to_pylist() if b])
+        parent, child = k // _U(v), k % _U(v)
         edges = np.flatnonzero(np.r_[True, parent[1:] != parent[:-1]])
         parents, edges = parent[edges], np.append(edges, len(k))
         total = np.repeat(trie.count(parents.astype(np.int64)), np.diff(edges))
-        arrays = [*ef_arrays(parents, trie.vocabulary), *Level.arrays(edges, child, trie.vocabulary), _code(c / (total + trie.strength)), _code(trie.strength / (c + trie.strength))]
-        write_arrays(f"{trie.folder}/pairs-{shard}", arrays)
-        return pa.table({"shard": pa.array([shard], pa.int32()), "nodes": pa.array([len(k)], pa.int64())})
-
-    return run
-
-
-def _count_triples(trie: Trie):
-    def triples(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The shards of the contexts, and their nodes there with the successors."""
-        t = Tokens(batch)
-        ids, _ = trie.look(t.hash)
-        which, shard, node, _, _ = trie.second(t.before(ids, trie.end()[0]), ids)
-        context = trie.contexts(t, which, node)
-        at = np.flatnonzero(context >= 0)
-        keys, counts = np.unique(context[at].astype(np.uint64) * _U(trie.vocabulary) + ids[at].astype(np.uint64), return_counts=True)
-        pair = (keys // _U(trie.vocabulary)).astype(np.int64)
-        return shard[pair], node[pair].astype(np.uint64) * _U(trie.vocabulary) + keys % _U(trie.vocabulary), counts
-
-    def run(batches):
-        yield from _blobs(map(triples, _sliced(batches)))
-
-    return run
-
-
-def _build_triples(trie: Trie):
-    def run(table: pa.Table) -> pa.Table:
-        shard, k, c = _merged_blobs(table)
-        context, child = (k // _U(trie.vocabulary)).astype(np.int64), k % _U(trie.vocabulary)
-        edges = np.searchsorted(context, np.arange(trie.pairs[shard] + 1))
-        # Each time a context stands in the text one successor follows it, so their counts add up to its own.
-        total = np.bincount(context, c, trie.pairs[shard])
-        write_arrays(f"{trie.folder}/triples-{shard}", [*Level.arrays(edges, child, trie.vocabulary), _code(c / (total[context] + trie.strength))])
-        return pa.table({"shard": pa.array([shard], pa.int32()), "nodes": pa.array([len(k)], pa.int64())})
+        codes = _code(c / (total + trie.strength)).astype(np.uint32) << np.uint32(16) | _code(trie.strength / (c + trie.strength))
+        write_arrays(f"{trie.folder}/pairs-{shard}", [*ef_arrays(parents, v), *Level.arrays(edges, child, v), codes])
+        blobs = [_loosened_triples(b) for b in table["blob1"].to_pylist() if b]
+        if blobs:
+            pair, word, n = _merged_triples(blobs)
+            context = np.searchsorted(k, pair)
+            # Each time a context stands in the text one successor follows it, so their counts add up to its own.
+            total = np.bincount(context, n, len(k))
+            write_arrays(f"{trie.folder}/triples-{shard}", [*Level.arrays(np.searchsorted(context, np.arange(len(k) + 1)), word, v), _code(n / (total[context] + trie.strength))])
+        return pa.table({"shard": pa.array([shard], pa.int32()), "pairs": pa.array([len(k)], pa.int64()), "triples": pa.array([len(word) if blobs else 0], pa.int64())})
 
     return run
 
@@ -537,15 +581,16 @@ def train(docs: DataFrame, strength: float = STRENGTH, shards: int | None = None
     docs = only(docs, "text")
     shards = shards or min(MOST_SHARDS, 1 << max(3, (docs.rdd.getNumPartitions() - 1).bit_length()))
 
-    def built(count, build, schema: str, name: str) -> list:
-        blobs = docs.mapInArrow(count, "shard int, blob binary")
+    def built(count, kinds: int, build, schema: str, name: str) -> list:
+        blobs = docs.mapInArrow(count, "shard int" + "".join(f", blob{i} binary" for i in range(kinds)))
         return cut(blobs.groupBy("shard").applyInArrow(build, schema), folder, name).collect()  # a row for each shard
 
-    rows = built(_count_words(shards), _build_words(folder), "shard int, words long, tokens long, once long, twice long", "word-sizes")
-    trie = Trie(folder, shards, {r["shard"]: r["words"] for r in rows}, *(sum(r[c] for r in rows) for c in ("tokens", "once", "twice")), strength)
+    trie = Trie(folder, shards, built(_count_words(shards), 1, _build_words(folder), "shard int, words long, tokens long, once long, twice long, top array<long>, counts array<long>", "word-sizes"), strength)
     if trie.tokens:
-        trie.pairs = {r["shard"]: r["nodes"] for r in built(_count_pairs(trie), _build_pairs(trie), "shard int, nodes long", "pair-sizes")}
-        trie.triples = {r["shard"]: r["nodes"] for r in built(_count_triples(trie), _build_triples(trie), "shard int, nodes long", "triple-sizes")}
+        for r in built(_count_grams(trie), 2, _build_grams(trie), "shard int, pairs long, triples long", "gram-sizes"):
+            trie.pairs[r["shard"]] = r["pairs"]
+            if r["triples"]:
+                trie.triples[r["shard"]] = r["triples"]
     return trie
 
 
