@@ -218,13 +218,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int
     shards = max(1, -(-size["n"] // shard_rows))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
     store = uri(f"{folder}/graphs")
-    made = dealt.repartition(shards, "shard").groupBy("shard").applyInPandas(_built(store, float(size["norm"] or 0.0)), "shard int")
+    made = dealt.repartitionByRange(shards, "shard").groupBy("shard").applyInPandas(_built(store, float(size["norm"] or 0.0)), "shard int")
     built = sorted(r["shard"] for r in cut(made, folder, "built").collect())  # a number for each shard
     asked = one(usable(queries)).withColumnRenamed("vec_id", "query_id")
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     groups = max(1, -(-len(built) // TASK_SHARDS), min(len(built), -(-spark.sparkContext.defaultParallelism // blocks)))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    found = asked.repartition(groups * blocks, "group", "block").groupBy("group", "block").applyInPandas(_searched(store, built, groups, k), "query_id long, vec_id long, score double")
+    found = asked.repartitionByRange(groups * blocks, "group", "block").groupBy("group", "block").applyInPandas(_searched(store, built, groups, k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     out = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
     out = cut(out, folder, "nearest")

@@ -308,3 +308,57 @@ def test_chat_numbers_a_hot_conversation(spark):
     for _, g in got.groupby("conv_id"):
         g = g.sort_values("seq")
         assert list(g.seq) == list(range(len(g))) and g.turn.is_monotonic_increasing
+
+
+# ---------------------------------------------------------------- packing, neighbours, odd tables
+def test_packing_of_odd_strings(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from synonymy.llm import packing
+
+    odd = ["<|endoftext|>", "a<|endoftext|>b", "  x　y", "é́̀", "👩‍👩‍👧 ‍", "\x00\x01\x7f", "\r\n\r\n  \t x", "ﬁ ℌ Ⅷ", "'s 'S 'll I'LL", "1234567890 12 3", " " * 50, "مرحبا שלום", "x" * 5000, "the" * 700, None, ""]
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = {}
+    for r in sorted(packing.pack(table(spark, odd, 0)).collect(), key=lambda r: (r.doc_id, r.start)):
+        got.setdefault(r.doc_id, []).extend(np.frombuffer(bytes(r.ids), "<u4").tolist())
+    assert got == {i: [*t.encode(x or "", add_special_tokens=False).ids, 0] for i, x in enumerate(odd)}
+
+
+def test_nearest_of_odd_tables(spark):
+    from synonymy.llm import ann
+
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(300, 8))
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)] + [(5, [9.0] * 8), (None, [1.0] * 8), (400, [1.0, None] * 4), (401, [float("inf")] * 8), (402, []), (403, None), (404, [1.0, 2.0, 3.0]), (405, [3.0, 2.0, 1.0])]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>").select("*", F.lit("x").alias("VEC_ID"), F.lit(1).alias("shard"), F.lit(2).alias("rank"))
+    got = ann.nearest(d, d.where("embedding is not null").where(F.col("shard") == 1).where("`rank` = 2"), 20, shard_rows=64).toPandas()
+    assert set(got[got.query_id == 404].vec_id) == {405} and 400 not in set(got.query_id) and 401 not in set(got.vec_id)
+    best = x.copy()
+    best[5] = min(tuple(x[5]), (9.0,) * 8)
+    hits = 0
+    for q in range(300):
+        s = best @ best[q]
+        o = [i for i in np.lexsort((np.arange(300), -s)) if i != q][:20]
+        mine = got[got.query_id == q].sort_values("rank")
+        hits += len(set(o) & set(mine.vec_id))
+        assert list(mine["rank"]) == list(range(1, 21)) and np.allclose(mine.score, s[mine.vec_id]) and (np.diff(mine.score) <= 0).all()
+    assert hits / 6000 >= 0.95
+
+
+def test_toxicity_without_labels(spark):
+    d = table(spark, ["a", None, "b c"], 0)
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert [r.predicted for r in toxicity.score(d, none).collect()] == [0, 0, 0]
+    assert toxicity.tolerated(d, none).count() == 3
+
+
+def test_pii_of_many_spans(spark):
+    """A long text of thousands of addresses costs about what its length costs."""
+    import time
+
+    text = " ".join(f"u{i}@h.example.org" for i in range(8000))
+    d = table(spark, [text], 0)
+    began = time.time()
+    r = pii.find(d).first()
+    assert r.n_email == 8000 and r.base_sha256 == digest(pii_base(text)) and time.time() - began < 60
