@@ -138,7 +138,7 @@ two_sample("cpb_test", "tier_cpb")
 query("st15_cpb_by_tier", "SELECT CAST(n1 AS BIGINT) AS n_high, CAST(n2 AS BIGINT) AS n_low, round(m1, 6) AS mean_high, round(m2, 6) AS mean_low, round(u, 4) AS u, round(delta, 6) AS delta, round(p, 6) AS p FROM cpb_test")
 
 # Tiers of three metrics, each by its own percentiles.
-relation("score_long", "SELECT gene, 'CAI' AS metric, cai AS v FROM scores UNION ALL SELECT gene, 'Fop' AS metric, fop AS v FROM scores UNION ALL SELECT gene, 'MELP' AS metric, melp AS v FROM melp WHERE melp IS NOT NULL")
+relation("score_long", "SELECT gene, 'CAI' AS metric, cai AS v FROM scores UNION ALL SELECT gene, 'Fop' AS metric, fop AS v FROM scores UNION ALL SELECT gene, 'MELP' AS metric, round(melp, 9) AS v FROM melp WHERE melp IS NOT NULL")
 relation("score_cut", "SELECT metric, percentile(v, 0.1) AS lo, percentile(v, 0.9) AS hi, min(v) AS least, count(*) AS n FROM score_long GROUP BY metric")
 relation("score_floor", "SELECT s.metric, count(*) AS ties FROM score_long s JOIN score_cut c ON c.metric = s.metric AND s.v = c.lo AND c.lo = c.least GROUP BY s.metric")
 relation("floor_kept", """SELECT metric, gene FROM (SELECT s.metric, s.gene, c.n, f.ties, row_number() OVER (PARTITION BY s.metric ORDER BY s.gene) AS nth FROM score_long s JOIN score_cut c ON c.metric = s.metric AND s.v = c.lo JOIN score_floor f ON f.metric = s.metric) x WHERE ties > 0.1e0 * n AND nth > ceil(0.1e0 * n)""")
