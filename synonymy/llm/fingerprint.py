@@ -94,7 +94,7 @@ def as_text(packed: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal shingles (0 to 1) that two packed fingerprints show, without chance agreements; two blank texts are alike, one is like no other."""
+    """Share of equal shingles (0 to 1) that two packed fingerprints show, without chance agreements; two blank texts are alike, one is like no other.  Null if either is."""
     lanes = sum(1 << (BITS * k) for k in range(PER_WORD))
 
     def differing(x, y):
@@ -106,7 +106,7 @@ def likeness(a: Column, b: Column) -> Column:
     apart = F.aggregate(F.zip_with(a, b, differing), F.lit(0).cast("long"), lambda s, x: s + x)
     chance = 2.0**-BITS
     some = F.greatest((1 - apart / BINS - chance) / (1 - chance), F.lit(0.0))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(some)
+    return F.when(a.isNull() | b.isNull(), None).when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(some)
 
 
 def with_next(rows: DataFrame, *columns: str) -> DataFrame:

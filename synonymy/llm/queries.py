@@ -8,6 +8,8 @@ from .decontaminate import op6_decontamination
 from .filter_audit import SQL as FILTER_AUDIT
 from .filter_audit import op11_filter_audit
 from .fingerprint import op13_fingerprints
+from .lexical import SQL as LEXICAL
+from .lexical import op12_lexical_search
 from .licenses import op1_license_scan
 from .minhash import op9_minhash_near_dedup
 from .ngram import op5_lm_scoring
@@ -20,12 +22,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_pii, op3_toxicity, op4_ann_search, op5_lm_scoring, op6_decontamination, op7_packing, op8_chat_formatting, op9_minhash_near_dedup, op10_secret_scan,
-        op11_filter_audit, op13_fingerprints,
+        op11_filter_audit, op12_lexical_search, op13_fingerprints,
     )
 }
 
 SQL = {
     "op11_filter_audit": FILTER_AUDIT,
+    "op12_lexical_search": LEXICAL,
     "op9_minhash_near_dedup": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
