@@ -1,6 +1,6 @@
 """Document fingerprints by one-permutation MinHash, with DataFrame functions only.
 
-Each shingle of five words is hashed once; the seven highest bits choose its bin, the
+Each shingle of five words is hashed once; the eight highest bits choose its bin, the
 others are its value, and a bin keeps its least value.  An empty bin borrows from another
 by optimal densification: a pseudo-random order of all bins, its own, names the first that
 is not empty.  Of each bin eight low-order bits are stored, eight bins in a word of 64
@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 
 from .common import only
 
-SHINGLE, BIN_BITS, BITS = 5, 7, 8
+SHINGLE, BIN_BITS, BITS = 5, 8, 8
 BINS, VALUE, PER_WORD = 1 << BIN_BITS, 64 - BIN_BITS, 64 // BITS
 LAST = (1 << VALUE) - 1
 SPACE = r"[\x20\x09-\x0D]+"

@@ -180,23 +180,23 @@ def printed(text):
     """(bins' stored bytes, fingerprint)."""
     least = {}
     for h in shingles(text):
-        b, v = ((h >> 57) + 64) % 128, h & ((1 << 57) - 1)
+        b, v = ((h >> 56) + 128) % 256, h & ((1 << 56) - 1)
         least[b] = min(v, least.get(b, v))
     if not least:
         return [], ""
     out = []
-    for i in range(128):
+    for i in range(256):
         v = least.get(i)
         if v is None:
             digits = xxhash_int(i)
-            for t in range(9):
-                v = least.get((digits >> (7 * t)) & 127)
+            for t in range(8):
+                v = least.get((digits >> (8 * t)) & 255)
                 if v is not None:
                     break
             else:
                 signed = digits - (1 << 64) if digits >> 63 else digits
-                odd = (signed >> 57) | 1
-                _, v = min((((b - 64 + (digits & 127)) * odd) & 127, v) for b, v in least.items())
+                odd = (signed >> 56) | 1
+                _, v = min((((b - 128 + (digits & 255)) * odd) & 255, v) for b, v in least.items())
             v = hash_long_int(v, i)
         out.append(v & 255)
     return out, "".join(f"{x:02x}" for x in out)
@@ -254,6 +254,6 @@ def test_likeness_is_near_the_share_of_equal_shingles(spark, docs):
     got = fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "near_next").collect()
     sets = {d: set(shingles(t)) for d, t in rows}
     off = [r.near_next - len(sets[r.doc_id] & sets[(r.doc_id - 1) % 100]) / len(sets[r.doc_id] | sets[(r.doc_id - 1) % 100]) for r in got]
-    assert abs(np.mean(off)) < 0.02 and np.std(off) < 0.05
+    assert abs(np.mean(off)) < 0.02 and np.std(off) < 0.04
     short = spark.createDataFrame([(i, f"word{i} only") for i in range(300)], "doc_id long, text string")
     assert fingerprint.fingerprints(short).agg(F.max("near_next")).first()[0] < 0.1
