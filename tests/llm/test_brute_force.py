@@ -362,3 +362,42 @@ def test_pii_of_many_spans(spark):
     began = time.time()
     r = pii.find(d).first()
     assert r.n_email == 8000 and r.base_sha256 == digest(pii_base(text)) and time.time() - began < 60
+
+
+def test_chat_takes_text_for_json_once(spark):
+    """A text that goes on after its object is plain content to all steps."""
+    call = json.dumps({"tool_calls": [{"id": "a", "name": "fetch", "arguments": {"url": "u"}}]})
+    result = json.dumps({"tool_call_id": "a", "content": 1})
+    d = spark.createDataFrame([(1, 0, "assistant", call + " trailing"), (1, 1, "tool", result), (2, 0, "assistant", call), (2, 1, "tool", result + "}"), (3, 0, "assistant", "  " + call + "\n"), (3, 1, "tool", result)], "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.n_calls, r.n_linked, r.status) for r in chat.link(d).collect()}
+    assert got == {(1, 0): (0, 0, "plain"), (1, 1): (0, 0, "unlinked"), (2, 0): (1, 0, "unlinked"), (2, 1): (0, 0, "plain"), (3, 0): (1, 1, "linked"), (3, 1): (0, 1, "linked")}
+    assert json.loads(chat.link(d).where("conv_id = 1 and turn = 0").first().json)["content"] == call + " trailing"
+
+
+@pytest.mark.parametrize("task_edges", [chat.TASK_EDGES, 1])
+def test_chat_orders_calls_of_one_message(spark, task_edges):
+    """y waits for z's result; p and q wait for each other; an id may be a number."""
+    fetch = lambda i, ref=None: {"id": i, "name": "fetch", "arguments": {"url": {"$ref": ref} if ref else "u"}}
+    rows = [
+        (1, 0, "assistant", json.dumps({"tool_calls": [fetch("y", "z"), fetch("z")]})), (1, 1, "tool", json.dumps({"tool_call_id": "y"})), (1, 2, "tool", json.dumps({"tool_call_id": "z"})),
+        (2, 0, "assistant", json.dumps({"tool_calls": [fetch("p", "q"), fetch("q", "p"), fetch("r")]})), (2, 1, "tool", json.dumps({"tool_call_id": "p"})), (2, 2, "tool", json.dumps({"tool_call_id": "q"})), (2, 3, "tool", json.dumps({"tool_call_id": "r"})),
+        (3, 5, "assistant", json.dumps({"tool_calls": [fetch(7)]})), (3, 1, "tool", json.dumps({"tool_call_id": 7})),
+    ]
+    d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.seq, r.n_calls, r.n_linked, r.status) for r in chat.link(d, task_edges=task_edges).collect()}
+    assert got[1, 0] == (0, 2, 2, "linked") and got[1, 2] == (1, 0, 1, "linked") and got[1, 1] == (2, 0, 1, "linked")
+    assert [got[2, t][3] for t in range(4)] == ["cycle", "cycle", "cycle", "linked"]
+    assert got[3, 5] == (0, 1, 1, "linked") and got[3, 1] == (1, 0, 1, "linked")
+
+
+def test_chat_links_a_planted_table(spark):
+    """30,000 calls in chains of three, a third of them in one conversation."""
+    n = 10_000
+    rows = spark.range(n).selectExpr("if(id % 3 = 0, 0, id) AS conv_id", "id * 6 AS turn", "explode(sequence(0, 2)) AS k")
+    name = "concat(turn, '-', k)"
+    calls = rows.selectExpr("conv_id", "turn + 5 - 2 * k AS turn", "'assistant' AS role", f"""concat('{{"tool_calls":[{{"id":"', {name}, '","name":"fetch","arguments":{{"url":', if(k = 0, '"u"', concat('{{"$ref":"', turn, '-', k - 1, '"}}')), '}}}}]}}') AS text""")
+    results = rows.selectExpr("conv_id", "turn + 4 - 2 * k AS turn", "'tool' AS role", f"""concat('{{"tool_call_id":"', {name}, '","content":1}}') AS text""")
+    got = chat.link(calls.union(results), task_edges=20_000)
+    assert got.groupBy("role", "status", "n_linked", "valid").count().count() == 2 and got.where("status = 'linked'").count() == 6 * n
+    order = [json.loads(r.json) for r in got.where("conv_id = 7").orderBy("seq").collect()]
+    assert [m.get("tool_call_id") or m["tool_calls"][0]["id"] for m in order] == [f"42-{k}" for k in (0, 0, 1, 1, 2, 2)]
