@@ -14,7 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from synonymy.operators.multivariate import COVERED, Ordination, _apart, _distances, _trimmed, moments
+from synonymy.operators.moments import apart, moments
+from synonymy.operators.multivariate import COVERED, Ordination, _distances, _robust
 from synonymy.plans.relations import KEPT, Run, needs, on_spark, spark_query
 
 GRID, SEEDS, LEVEL = 200, 0.30, 0.5
@@ -23,13 +24,35 @@ CORE_LEAST = 8
 COSINE, ONLY, APART = (0.90, 0.97), (0.05, 0.01), (0.5, 0.15)
 
 
+def smoothed(counts: np.ndarray, covariance: np.ndarray, step: np.ndarray, n: float) -> np.ndarray:
+    """The counts of a grid, convolved with the Gaussian kernel of that covariance."""
+    at = np.arange(-GRID + 1, GRID)
+    d = np.stack(np.meshgrid(at * step[0], at * step[1], indexing="ij"), axis=-1)
+    inverse = np.linalg.pinv(covariance)
+    kernel = np.exp(-0.5 * np.einsum("ijk,kl,ijl->ij", d, inverse, d)) / (2 * math.pi * math.sqrt(max(np.linalg.det(covariance), 1e-300)) * n)
+    size = 3 * GRID
+    full = np.fft.irfft2(np.fft.rfft2(counts, (size, size)) * np.fft.rfft2(kernel, (size, size)), (size, size))
+    return np.maximum(full[GRID - 1 : 2 * GRID - 1, GRID - 1 : 2 * GRID - 1], 0)
+
+
+def densities(x: np.ndarray) -> np.ndarray:
+    """``Density`` of the rows of an array at these rows."""
+    n, plane = len(x), x[:, :2]
+    low, high = plane.min(axis=0), plane.max(axis=0)
+    pad = np.maximum((high - low) * 0.05, 1e-9)
+    low, step = low - pad, (high - low + 2 * pad) / (GRID - 1)
+    at = np.clip(np.rint((plane - low) / step).astype(int), 0, GRID - 1)
+    counts = np.bincount(at[:, 0] * GRID + at[:, 1], minlength=GRID * GRID).reshape(GRID, GRID).astype(float)
+    return smoothed(counts, np.cov(plane.T) * n ** (-1 / 3), step, n)[at[:, 0], at[:, 1]]
+
+
 class Density:
     """A Gaussian kernel density (Scott's bandwidth) of rows (zs) on a grid over their range."""
 
     def __init__(self, rows: DataFrame):
         plane = rows.select(F.lit("").alias("grp"), F.slice("zs", 1, 2).alias("xs"))
         got = moments(plane).collect()  # one row
-        self.n, s, c = _apart(got[0]["m"]) if got else (0.0, np.zeros(2), np.zeros((2, 2)))
+        self.n, s, c = apart(got[0]["m"]) if got else (0.0, np.zeros(2), np.zeros((2, 2)))
         if self.n < 3:
             return
         covariance = (c - np.outer(s, s) / self.n) / (self.n - 1) * self.n ** (-1 / 3)
@@ -41,13 +64,7 @@ class Density:
         counts = np.zeros((GRID, GRID))
         for r in cells:
             counts[r["c0"], r["c1"]] += r["n"]
-        at = np.arange(-GRID + 1, GRID)
-        d = np.stack(np.meshgrid(at * self.step[0], at * self.step[1], indexing="ij"), axis=-1)
-        inverse = np.linalg.pinv(covariance)
-        kernel = np.exp(-0.5 * np.einsum("ijk,kl,ijl->ij", d, inverse, d)) / (2 * math.pi * math.sqrt(max(np.linalg.det(covariance), 1e-300)) * self.n)
-        size = 3 * GRID
-        full = np.fft.irfft2(np.fft.rfft2(counts, (size, size)) * np.fft.rfft2(kernel, (size, size)), (size, size))
-        self.values = np.maximum(full[GRID - 1 : 2 * GRID - 1, GRID - 1 : 2 * GRID - 1], 0)
+        self.values = smoothed(counts, covariance, self.step, self.n)
 
     def cell(self, x, k: int):
         """The grid line nearest to a column."""
@@ -140,12 +157,12 @@ def dual_anchor(run: Run) -> DataFrame:
         return run.spark.createDataFrame([], schema)
     near, radius = _near(rows, field.peaks()[0][0])
     axes = o.chosen()
-    fitted, reference = _trimmed(near.where(F.col("off") <= radius), axes), _trimmed(rows.where("is_ref"), axes)
+    fitted, reference = _robust(near.where(F.col("off") <= radius), axes), _robust(rows.where("is_ref"), axes)
     if fitted is None or reference is None:
         return run.spark.createDataFrame([], schema)
     apart = float(np.linalg.norm(fitted[0] - reference[0]))
     middle = moments(rows.select(F.lit("").alias("grp"), F.col("zs").alias("xs"))).collect()  # one row
-    n, s, _ = _apart(middle[0]["m"])
+    n, s, _ = apart(middle[0]["m"])
     spread = F.sqrt(F.aggregate(F.zip_with("zs", F.array(*[F.lit(float(x)) for x in s / n]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x))
     keep = "gene long, off double, spread double"
     far = near.withColumn("spread", spread).mapInPandas(_distances(*fitted, keep), f"{keep}, distance double")

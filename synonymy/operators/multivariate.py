@@ -19,7 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from synonymy.operators.comparisons import adjusted, kruskal, two_sample
+from synonymy.operators.moments import apart as _apart
+from synonymy.operators.moments import chi_square_quantile, chi_square_upper, moments
 from synonymy.operators.ranking import ordered
+from synonymy.operators.robust import robust
 from synonymy.plans.relations import KEPT, Run, needs, on_spark, spark_query
 from synonymy.sources.shared import new_folder, written
 
@@ -30,52 +33,6 @@ FLAG = 0.01
 BIN, SIGMA, PROMINENCE = 30, 1.0, 0.08
 
 
-def moments(rows: DataFrame, weighted: bool = False) -> DataFrame:
-    """grp, m: of vectors (grp, xs[, w]) the number, the sums and the sums of products w * x * x', in one array of 1 + p + p * p."""
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict = {}
-        for batch in batches:
-            for grp, part in batch.groupby("grp"):
-                x = np.stack(part["xs"].to_numpy())
-                w = part.w.to_numpy()[:, None] if weighted else 1.0
-                sums[grp] = sums.get(grp, 0.0) + np.concatenate([[len(x)], x.sum(axis=0), ((x * w).T @ x).ravel()])
-            if len(sums) > 2000:
-                yield pd.DataFrame({"grp": list(sums), "m": [v.tolist() for v in sums.values()]})
-                sums = {}
-        yield pd.DataFrame({"grp": list(sums), "m": [v.tolist() for v in sums.values()]})
-
-    columns = ["grp", "xs", "w"] if weighted else ["grp", "xs"]
-    parts = rows.select(*columns).mapInPandas(partial, "grp string, m array<double>")
-    summed = parts.select("grp", F.posexplode("m").alias("k", "v")).groupBy("grp", "k").agg(F.sum("v").alias("v"))
-    return summed.groupBy("grp").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "v"))), lambda e: e["v"]).alias("m"))  # 1 + p + p * p numbers a group
-
-
-def _apart(m: list[float]) -> tuple[float, np.ndarray, np.ndarray]:
-    m = np.asarray(m)
-    p = int(round((math.sqrt(4 * len(m) - 3) - 1) / 2))
-    return float(m[0]), m[1 : p + 1], m[p + 1 :].reshape(p, p)
-
-
-def chi_square_upper(x: np.ndarray, df: int) -> np.ndarray:
-    """P(chi-square >= x): the finite sum, and erfc for odd df."""
-    h = np.maximum(np.asarray(x, float), 0.0) / 2
-    odd = df % 2
-    total = np.array([math.erfc(math.sqrt(v)) for v in h]) if odd else np.zeros(len(h))
-    with np.errstate(divide="ignore"):
-        for k in range(df // 2):
-            total = total + np.where(h > 0, np.exp((k + odd / 2) * np.log(h) - h - math.lgamma(k + 1 + odd / 2)), float(k == 0 and not odd))
-    return np.clip(total, 0.0, 1.0)
-
-
-def chi_square_quantile(p: float, df: int) -> float:
-    lo, hi = 0.0, 10.0 * df + 100
-    for _ in range(200):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if chi_square_upper(np.array([mid]), df)[0] > 1 - p else (lo, mid)
-    return (lo + hi) / 2
-
-
 def _signed(v: np.ndarray) -> np.ndarray:
     """Columns turned so that each one's largest loading is positive."""
     return v * np.sign(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])])
@@ -165,22 +122,10 @@ def coa_codons(run: Run) -> DataFrame:
 
 
 # ---------------------------------------------------------------- the reference's cluster
-def _trimmed(rows: DataFrame, axes: int) -> tuple[np.ndarray, np.ndarray] | None:
-    """Centre and covariance of (zs), again without what lies beyond the 97.5 % bound of the first."""
-
-    def fit(some: DataFrame):
-        got = moments(some.select(F.lit("").alias("grp"), F.col("zs").alias("xs"))).collect()  # one row
-        if not got or got[0]["m"][0] < axes + 2:
-            return None
-        n, s, c = _apart(got[0]["m"])
-        return n, s / n, (c - np.outer(s, s) / n) / (n - 1)
-
-    first = fit(rows)
-    if first is None or first[0] < max(10, 2 * axes + 3):
-        return first and first[1:]
-    bound = math.sqrt(chi_square_quantile(0.975, axes))
-    again = fit(rows.mapInPandas(_distances(first[1], first[2], "zs array<double>"), "zs array<double>, distance double").where(F.col("distance") <= bound))
-    return again[1:] if again and again[0] >= max(10, 2 * axes + 3) else first[1:]
+def _robust(rows: DataFrame, axes: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Robust centre and covariance of (zs), or None for fewer than axes + 2 rows."""
+    got = robust(rows.select(F.lit("").alias("grp"), "zs")).get("")
+    return (got.centre, got.covariance) if got and got.n >= axes + 2 else None
 
 
 def _distances(centre: np.ndarray, covariance: np.ndarray, keep: str):
@@ -210,7 +155,7 @@ def membership(run: Run) -> DataFrame:
         return run.spark.createDataFrame([], MEMBER)
     axes = o.chosen()
     rows = o.coordinates(run, axes).join(run("refset").withColumn("is_ref", F.lit(True)), "gene", "left").withColumn("is_ref", F.coalesce("is_ref", F.lit(False)))
-    fitted = _trimmed(rows.where("is_ref"), axes)
+    fitted = _robust(rows.where("is_ref"), axes)
     if fitted is None:
         return run.spark.createDataFrame([], MEMBER)
     keep = "gene long, sample_id string, genome string, cond string, is_ref boolean"
@@ -490,68 +435,7 @@ spark_query("mv23_goi_clusters", "SELECT gene, cluster, silhouette FROM goi_clus
 spark_query("st31_goi_drivers", "SELECT cluster, feature, n_in, n_rest, delta, p, q, post_selection_biased FROM goi_drivers")
 
 
-# ---------------------------------------------------------------- stability of the reference's cluster
-REPLICATES, CORE = 100, 0.5
-#: How often a row is in a resample: the Poisson distribution of mean 1, by its steps.
-_POISSON = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(8)]
-
-
-def _replicated(rows: DataFrame, replicates: int) -> DataFrame:
-    """Each row (gene, zs) as often as each resample has it, by a hash of both."""
-    u = (F.conv(F.substring(F.md5(F.concat_ws("-", "grp", "gene")), 1, 13), 16, 10).cast("double") + 0.5) / float(16**13)
-    times = sum((F.when(u > x, 1).otherwise(0) for x in _POISSON), F.lit(0))
-    every = rows.withColumn("grp", F.explode(F.transform(F.sequence(F.lit(0), F.lit(replicates - 1)), lambda i: i.cast("string")))).withColumn("times", times)
-    return every.where("times > 0").select("grp", "gene", "zs", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
-
-
-@needs("gene_codons", "refset")
-def stability(run: Run) -> DataFrame:
-    """gene, frequency, core, jaccard: in how many of 100 resamples of the reference a gene is a member, and the resamples' mean overlap.
-
-    A resample refits centre, covariance and threshold. None without 10 genes or enough reference genes.
-    """
-    schema = "gene long, frequency double, core boolean, is_ref boolean, jaccard double"
-    o = Ordination(run)
-    if not o.axes:
-        return run.spark.createDataFrame([], schema)
-    axes = o.chosen()
-    rows = o.coordinates(run, axes).select("gene", "zs").join(run("refset").withColumn("is_ref", F.lit(True)), "gene", "left").withColumn("is_ref", F.coalesce("is_ref", F.lit(False)))
-    drawn = _replicated(rows.where("is_ref").select("gene", "zs"), REPLICATES)
-    fits = {}
-    for r in moments(drawn.select("grp", F.col("zs").alias("xs"))).collect():  # a row for each resample
-        n, s, c = _apart(r["m"])
-        if n >= axes + 2:
-            fits[r["grp"]] = (s / n, np.linalg.pinv((c - np.outer(s, s) / n) / (n - 1), rcond=1e-10))
-    if not fits:
-        return run.spark.createDataFrame([], schema)
-
-    def in_bag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for grp, part in b.groupby("grp"):
-                if grp in fits:
-                    d = np.stack(part.zs.to_numpy()) - fits[grp][0]
-                    yield pd.DataFrame({"grp": grp, "distance": np.sqrt(np.maximum(np.einsum("ij,jk,ik->i", d, fits[grp][1], d), 0))})
-
-    cuts = {r["grp"]: r["cut"] for r in drawn.select("grp", "zs").mapInPandas(in_bag, "grp string, distance double").groupBy("grp").agg(F.percentile("distance", F.lit(COVERED)).alias("cut")).collect()}  # a row for each resample
-    order = sorted(cuts)
-
-    def member(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
-                z = np.stack(b.zs.to_numpy())
-                inside = np.stack([np.einsum("ij,jk,ik->i", z - fits[g][0], fits[g][1], z - fits[g][0]) <= cuts[g] ** 2 for g in order], axis=1)
-                yield pd.DataFrame({"gene": b.gene, "is_ref": b.is_ref, "xs": inside.astype(float).tolist()})
-
-    inside = rows.mapInPandas(member, "gene long, is_ref boolean, xs array<double>")
-    got = moments(inside.select(F.lit("").alias("grp"), "xs")).collect()  # one row: sizes and overlaps of the resamples' members
-    _, size, both = _apart(got[0]["m"])
-    union = size[:, None] + size[None, :] - both
-    pairs = np.triu_indices(len(size), 1)
-    overlap = float(np.mean(both[pairs] / np.maximum(union[pairs], 1))) if len(pairs[0]) else None
-    share = F.aggregate("xs", F.lit(0.0), lambda a, x: a + x) / len(order)
-    return inside.select("gene", F.round(share, 6).alias("frequency"), (share >= CORE).alias("core"), "is_ref", F.round(F.lit(overlap).cast("double"), 6).alias("jaccard"))
-
-
+# ---------------------------------------------------------------- boundary and mixtures of the reference
 @needs("membership", "refset")
 def gap_boundary(run: Run) -> DataFrame:
     """n_ref, boundary, rule: where the reference's sorted distances part: the largest gap that begins between the 90 % and 99.9 % bounds of chi-square, or is three times the median gap below the 99.999 % bound."""
@@ -595,6 +479,6 @@ KEPT.update({"gene_codons", "membership", "sample_features", "sample_clusters"})
 for name, form in (
     ("mv01_coa_inertia", coa_inertia), ("mv01_coa_genes", coa_genes), ("mv01_coa_codons", coa_codons), ("mv05_foreign_genes", foreign_genes), ("mv12_cluster_genes", cluster_genes), ("ag25_cluster_rscu", cluster_rscu),
     ("be06_divergence_islands", islands), ("mv20_sample_clusters", sample_clusters), ("mv21_gene_clusters", gene_clusters), ("mv24_sample_components", sample_components), ("st23_foreign_burden", burden),
-    ("st30_cluster_drivers", "SELECT * FROM in_clusters"), ("fg18_cluster_profiles", "SELECT * FROM cluster_profile"), ("mv15_membership_stability", stability), ("wn13_gap_boundary", gap_boundary), ("mv10_reference_mixtures", reference_mixtures),
+    ("st30_cluster_drivers", "SELECT * FROM in_clusters"), ("fg18_cluster_profiles", "SELECT * FROM cluster_profile"), ("wn13_gap_boundary", gap_boundary), ("mv10_reference_mixtures", reference_mixtures),
 ):
     spark_query(name, form)
