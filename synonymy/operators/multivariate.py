@@ -473,12 +473,12 @@ def reference_mixtures(run: Run) -> DataFrame:
     return run.spark.createDataFrame([(*x, x[0] == best) for x in out], schema)
 
 
-for name, form in (("gene_codons", gene_codons), ("membership", membership), ("sample_features", sample_features), ("sample_clusters", sample_clusters)):
+for name, form in (("gene_codons", gene_codons), ("membership", membership), ("gap_boundary", gap_boundary), ("sample_features", sample_features), ("sample_clusters", sample_clusters)):
     on_spark(name, form)
 KEPT.update({"gene_codons", "membership", "sample_features", "sample_clusters"})
 for name, form in (
     ("mv01_coa_inertia", coa_inertia), ("mv01_coa_genes", coa_genes), ("mv01_coa_codons", coa_codons), ("mv05_foreign_genes", foreign_genes), ("mv12_cluster_genes", cluster_genes), ("ag25_cluster_rscu", cluster_rscu),
     ("be06_divergence_islands", islands), ("mv20_sample_clusters", sample_clusters), ("mv21_gene_clusters", gene_clusters), ("mv24_sample_components", sample_components), ("st23_foreign_burden", burden),
-    ("st30_cluster_drivers", "SELECT * FROM in_clusters"), ("fg18_cluster_profiles", "SELECT * FROM cluster_profile"), ("wn13_gap_boundary", gap_boundary), ("mv10_reference_mixtures", reference_mixtures),
+    ("st30_cluster_drivers", "SELECT * FROM in_clusters"), ("fg18_cluster_profiles", "SELECT * FROM cluster_profile"), ("wn13_gap_boundary", "SELECT * FROM gap_boundary"), ("mv10_reference_mixtures", reference_mixtures),
 ):
     spark_query(name, form)

@@ -27,7 +27,7 @@ from synonymy.sources.shared import new_folder, written
 
 #: Rows of a group that one task fits; beyond, by passes.
 TASK_ROWS = 50_000
-STARTS, CANDIDATES, SUBSET, SUBSETS, STEPS = 300, 10, 300, 5, 50
+STARTS, CANDIDATES, SUBSET, SUBSETS, STEPS = 150, 10, 300, 5, 50
 #: Share of chi-square beyond which rows are outliers, and rows below which the plain covariance is used.
 OUTLIER, LEAST = 0.025, 10
 #: Error of the quantile sketch: one in so many rows.

@@ -392,7 +392,11 @@ def test_density_and_its_peaks(spark):
 
 def test_stability_votes_and_groups(spark):
     got = rows(spark, "mv15_membership_stability")
-    assert got and all(0 <= r.frequency <= 1 and r.core == (r.frequency >= 0.5) for r in got) and 0 < got[0].jaccard <= 1
+    assert got and all(0 <= r.frequency <= 1 and r.core == (r.frequency >= 0.5) for r in got) and not any(r.rescued and (r.core or not r.is_ref) for r in got)
+    whole = rows(spark, "mv15_stability_metrics")[0]
+    assert whole.n_core_genes == sum(r.core or r.rescued for r in got) and whole.n_rescued == sum(r.rescued for r in got) and whole.n_replicates == 100
+    assert whole.ref_coverage == pytest.approx(np.mean([r.core for r in got if r.is_ref]), abs=1e-6) and whole.cluster_frac == pytest.approx(np.mean([r.frequency for r in got]), abs=1e-5)
+    assert whole.composite_score == pytest.approx(0.4 * whole.mean_jaccard + 0.3 * whole.mean_core_freq + 0.3 * whole.cosine_sim, abs=1e-5) and 0 < whole.mean_oob_recovery <= 1
     member = {r.gene: r.in_cluster for r in rows(spark, "mv12_cluster_genes")}
     often = [r.frequency for r in got if member[r.gene]]
     assert np.mean(often) > np.mean([r.frequency for r in got if not member[r.gene]])
