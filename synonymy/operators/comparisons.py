@@ -321,7 +321,6 @@ query("co05_gene_gain", "SELECT gene, round(r, 5) AS cbi_ref, round(h, 5) AS cbi
 relation("pair_cosine", "SELECT a.genome AS x, b.genome AS y, sum(a.f * b.f) / sqrt(max(na.s) * max(nb.s)) AS cosine FROM genome_vec a JOIN genome_vec b ON b.codon = a.codon AND a.genome < b.genome JOIN genome_norm na ON na.genome = a.genome JOIN genome_norm nb ON nb.genome = b.genome GROUP BY a.genome, b.genome")
 relation("genome_norm", "SELECT genome, sum(f * f) AS s FROM genome_vec GROUP BY genome")
 query("mv27_similarity_network", "SELECT x, y, round(cosine, 6) AS cosine FROM pair_cosine WHERE round(cosine, 9) >= 0.92e0")
-query("jn05_score_matrix", "SELECT n.genome AS gene_set, round(avg(CASE WHEN n.cond = 'de' THEN n.enc END), 6) AS de, round(avg(CASE WHEN n.cond = 'en' THEN n.enc END), 6) AS en, round(avg(CASE WHEN n.cond = 'es' THEN n.enc END), 6) AS es, round(avg(CASE WHEN n.cond = 'fr' THEN n.enc END), 6) AS fr FROM scores n GROUP BY n.genome")
 query("jn06_sample_metadata", "SELECT m.sample_id, m.metric, round(m.v, 6) AS v, c.n_samples, c.n_genes FROM sample_metric m LEFT JOIN (SELECT cond, count(DISTINCT sample_id) AS n_samples, count(*) AS n_genes FROM genes GROUP BY cond) c ON c.cond = m.cond")
 query("jn07_annotated_genes", "SELECT s.gene, round(s.cai, 6) AS cai, coalesce(k.ko, '') AS ko, coalesce(k.pathway, '') AS pathway FROM scores s LEFT JOIN gene_ko k ON k.gene = s.gene")
 query("be16_inefficiency_report", """SELECT gene, ko, cai, ratio, row_number() OVER (ORDER BY cai, gene) AS rank FROM (SELECT s.gene, coalesce(k.ko, '') AS ko, round(s.cai, 6) AS cai, round(s.enc / 61e0, 6) AS ratio FROM scores s LEFT JOIN gene_ko k ON k.gene = s.gene LEFT JOIN refset r ON r.gene = s.gene WHERE r.gene IS NULL) x""")

@@ -51,7 +51,6 @@ query("co04_recommendation", """SELECT aa, family, ref_codon AS recommended, CAS
 query("gs03_partition", "SELECT s.gene, CASE WHEN r.gene IS NOT NULL THEN 'cluster' WHEN f.flag THEN 'outlier' ELSE 'bulk' END AS part FROM scores s LEFT JOIN refset r ON r.gene = s.gene LEFT JOIN foreign_gene f ON f.gene = s.gene")
 query("gs02_goi_summary", "SELECT s.gene, round(s.enc, 6) AS enc, round(s.cai, 6) AS cai, s.is_goi = 1 AS is_goi, coalesce(f.flag, false) AS foreign_flag FROM split s LEFT JOIN foreign_gene f ON f.gene = s.gene WHERE s.is_goi = 1")
 query("jn03_outer_join", "SELECT coalesce(a.gene, b.gene) AS gene, a.gene IS NOT NULL AS in_reference, b.gene IS NOT NULL AS in_interest FROM refset a FULL OUTER JOIN goi b ON a.gene = b.gene")
-query("jn04_condition_pivot", "SELECT codon, round(coalesce(avg(CASE WHEN cond = 'en' THEN v END), 0e0), 6) AS en, round(coalesce(avg(CASE WHEN cond = 'de' THEN v END), 0e0), 6) AS de, round(coalesce(avg(CASE WHEN cond = 'fr' THEN v END), 0e0), 6) AS fr, round(coalesce(avg(CASE WHEN cond = 'es' THEN v END), 0e0), 6) AS es FROM sample_codon GROUP BY codon")
 query("jn09_semi_anti", "SELECT 'in' AS side, count(*) AS n FROM genes WHERE gene IN (SELECT gene FROM refset) UNION ALL SELECT 'out' AS side, count(*) AS n FROM genes g WHERE NOT EXISTS (SELECT 1 FROM refset r WHERE r.gene = g.gene)")
 query("jn10_bridge_join", "SELECT k.pathway, count(DISTINCT k.ko) AS n_ko, round(sum(m.v), 2) AS total FROM ko k JOIN ko_metric m ON m.ko = k.ko GROUP BY k.pathway")
 query("so01_union", "SELECT gene, 'reference' AS origin FROM refset UNION ALL SELECT gene, 'interest' AS origin FROM goi")

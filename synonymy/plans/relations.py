@@ -54,6 +54,29 @@ def spark_query(name: str, form: str | Callable) -> None:
     SPARK[name] = form
 
 
+def variant(name: str, new: str, swap: dict[str, str]) -> None:
+    """A query that only Spark runs: another one's text, with some relations in place of others all the way down."""
+
+    def copied(relation_: str) -> str:
+        if relation_ in swap:
+            return swap[relation_]
+        text = SPARK.get(relation_) or RELATIONS.get(relation_)
+        return relation_ if not isinstance(text, str) else placed(relation_, text, f"{relation_}_for_{new}")
+
+    def placed(old: str, text: str, name_: str) -> str:
+        other = _NAMED.sub(lambda m: f"{m[1]}{m[2]}{copied(m[3])}" + ("" if _aliased(text, m.end()) or copied(m[3]) == m[3] else f" AS {m[3]}"), text)
+        if other == text:
+            return old
+        SPARK[name_] = other
+        if old in KEPT:
+            KEPT.add(name_)
+        return name_
+
+    text = SPARK.get(name) or QUERIES[name]
+    placed(name, text, new)
+    spark_query(new, SPARK[new])
+
+
 def _values() -> str:
     show = lambda x: f"'{x}'" if isinstance(x, str) else str(x).upper() if isinstance(x, bool) else str(x)
     return ", ".join("(" + ", ".join(map(show, r)) + ")" for r in codon_rows())
