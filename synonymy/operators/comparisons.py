@@ -60,13 +60,13 @@ def both(name: str, text: Callable) -> None:
 
 
 def two_sample(name: str, source: str, least: int = 5) -> None:
-    """item, g1, g2, n1, n2, u, m1, m2, delta, p: Mann-Whitney tests with tie correction, and Cliff's delta, of (item, g1, g2, first_one, v)."""
+    """item, g1, g2, n1, n2, u, m1, m2, delta, p: Mann-Whitney tests (exact for up to 8 values on both sides without ties, else by the normal law with tie correction), and Cliff's delta, of (item, g1, g2, first_one, v)."""
     relation(f"{name}_v", f"SELECT item, g1, g2, v, CAST(sum(first_one) AS DOUBLE) AS a, CAST(count(*) - sum(first_one) AS DOUBLE) AS b FROM {source} WHERE v IS NOT NULL GROUP BY item, g1, g2, v")
     relation(f"{name}_c", f"SELECT item, g1, g2, v, a, b, sum(b) OVER (PARTITION BY item, g1, g2 ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - b / 2 AS below FROM {name}_v")
     relation(f"{name}_u", f"SELECT item, g1, g2, sum(a) AS n1, sum(b) AS n2, sum(a * below) AS u, sum((a + b) * ((a + b) * (a + b) - 1)) AS tie, sum(a * v) / nullif(sum(a), 0) AS m1, sum(b * v) / nullif(sum(b), 0) AS m2 FROM {name}_c GROUP BY item, g1, g2")
     z = "greatest(abs(u - n1 * n2 / 2) - 5e-1, 0e0) / sqrt(2 * var)"
-    relation(name, f"""SELECT item, g1, g2, n1, n2, u, m1, m2, 2 * u / (n1 * n2) - 1 AS delta, CASE WHEN var > 0 THEN least(1e0, {erfc(z)}) END AS p
-  FROM (SELECT *, n1 * n2 / 12 * ((n1 + n2 + 1) - tie / ((n1 + n2) * (n1 + n2 - 1))) AS var FROM {name}_u WHERE n1 >= {least} AND n2 >= {least}) x""")
+    relation(name, f"""SELECT item, g1, g2, n1, n2, u, m1, m2, 2 * u / (n1 * n2) - 1 AS delta, coalesce(e.p, CASE WHEN var > 0 THEN least(1e0, {erfc(z)}) END) AS p
+  FROM (SELECT *, n1 * n2 / 12 * ((n1 + n2 + 1) - tie / ((n1 + n2) * (n1 + n2 - 1))) AS var FROM {name}_u WHERE n1 >= {least} AND n2 >= {least}) x LEFT JOIN u_exact e ON e.small = least(x.n1, x.n2) AND e.large = greatest(x.n1, x.n2) AND e.far = greatest(x.u, x.n1 * x.n2 - x.u) AND x.tie = 0""")
 
 
 def kruskal(name: str, source: str, least: int = 5, groups: int = 3) -> None:

@@ -1,6 +1,6 @@
 """Ranks, tests, resampling and gene-set statistics over the usage relations."""
 
-from synonymy.plans.relations import on_spark, query, relation
+from synonymy.plans.relations import KEPT, on_spark, query, relation
 
 ERFC = "({t} * (0.254829592e0 + {t} * (-0.284496736e0 + {t} * (1.421413741e0 + {t} * (-1.453152027e0 + {t} * 1.061405429e0)))) * exp(-{x} * {x}))"
 
@@ -62,6 +62,37 @@ def hypergeometric_reference(x: str, c: str, s: str, n: str) -> str:
     return f"exp({log_choose(c, x)} + {log_choose(f'({n} - {c})', f'({s} - {x})')} - {log_choose(n, s)})"
 
 
+def u_counts(m: int, n: int) -> list[int]:
+    """In how many orders of m and n values the statistic U is 0, 1, ... m * n."""
+    counts = [1]
+    for k in range(1, m + 1):  # one value more of the first: times (1 - x^(n + k)) / (1 - x^k)
+        wide = counts + [0] * n
+        for i in range(len(wide) - 1, n + k - 1, -1):
+            wide[i] -= wide[i - n - k]
+        for i in range(k, len(wide)):
+            wide[i] += wide[i - k]
+        counts = wide
+    return counts
+
+
+#: Up to so many values on both sides, none equal, the distribution of U is counted.
+EXACT = 8
+
+
+def exact_u() -> str:
+    """small, large, far, p: two-sided tails of U at least as far from the middle."""
+    rows = []
+    for m in range(2, EXACT + 1):
+        for n in range(m, EXACT + 1):
+            counts = u_counts(m, n)
+            total, tail = sum(counts), 0
+            for u in range(m * n, -1, -1):
+                tail += counts[u]
+                if 2 * u >= m * n:
+                    rows.append(f"({m}e0, {n}e0, {u}e0, {min(1.0, 2 * tail / total):.16e})")
+    return f"SELECT * FROM (VALUES {', '.join(rows)}) AS t(small, large, far, p)"
+
+
 def need(source: str) -> str:
     """bin, need, pool, bound: genes of interest and others of each bin. The need lowest of pool md5 words lie below bound; that they do is checked where it is used."""
     reach = "need + 10 * sqrt(need) + 100"
@@ -95,8 +126,11 @@ relation("two", """SELECT s.codon AS item, s.aa AS grp, p.g1, p.g2, CASE WHEN s.
 relation("two_rank", "SELECT *, rank() OVER (PARTITION BY item, g1, g2 ORDER BY v) + (count(*) OVER (PARTITION BY item, g1, g2, v) - 1) / 2e0 AS rk, count(*) OVER (PARTITION BY item, g1, g2, v) AS ties FROM two")
 relation("mwu0", """SELECT item, grp, g1, g2, CAST(sum(first_one) AS DOUBLE) AS n1, CAST(count(*) - sum(first_one) AS DOUBLE) AS n2, sum(CASE WHEN first_one = 1 THEN rk ELSE 0e0 END) AS r1,
   sum(CAST(ties AS DOUBLE) * ties - 1e0) AS tie, avg(CASE WHEN first_one = 1 THEN v END) AS m1, avg(CASE WHEN first_one = 0 THEN v END) AS m2 FROM two_rank GROUP BY item, grp, g1, g2""")
+relation("u_exact", exact_u())
+KEPT.add("u_exact")
 relation("mwu1", "SELECT *, r1 - n1 * (n1 + 1) / 2 AS u, n1 * n2 / 12 * ((n1 + n2 + 1) - tie / ((n1 + n2) * (n1 + n2 - 1))) AS var FROM mwu0 WHERE n1 >= 5 AND n2 >= 5")
-relation("mwu", f"SELECT *, 2 * u / (n1 * n2) - 1 AS delta, CASE WHEN var > 0 THEN {erfc('greatest(abs(u - n1 * n2 / 2) - 5e-1, 0e0) / sqrt(2 * var)')} END AS p FROM mwu1")
+relation("mwu", f"""SELECT x.*, 2 * u / (n1 * n2) - 1 AS delta, coalesce(e.p, CASE WHEN var > 0 THEN {erfc('greatest(abs(u - n1 * n2 / 2) - 5e-1, 0e0) / sqrt(2 * var)')} END) AS p
+  FROM mwu1 x LEFT JOIN u_exact e ON e.small = least(x.n1, x.n2) AND e.large = greatest(x.n1, x.n2) AND e.far = greatest(x.u, x.n1 * x.n2 - x.u) AND x.tie = 0""")
 relation("mwu_r", "SELECT *, row_number() OVER (ORDER BY p, item, g1, g2) AS r, count(*) OVER () AS m, row_number() OVER (PARTITION BY grp ORDER BY p, item, g1, g2) AS rf, count(*) OVER (PARTITION BY grp) AS mf FROM mwu WHERE p IS NOT NULL")
 
 query("st01_benjamini_hochberg", f"SELECT item, g1, g2, round(p, 6) AS p, round({bh('p')}, 6) AS q FROM mwu_r")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from synonymy.functions.codons import codon_dim, reverse_complement
+from synonymy.operators.ranking import ordered
 from synonymy.sources.tables import read_fasta, read_ids, table  # noqa: F401
 
 #: Attributes that may hold a gene's id, by priority, and prefixes that files put before ids.
@@ -62,10 +63,20 @@ def label(gene: Column, definition: Column, most: int = 55) -> Column:
 
 
 # ---------------------------------------------------------------- positions
+def _lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(file, line_no, line of text files, whatever parts they are read in; file, begin: the line where its sequences begin).
+
+    ``line_no`` orders a file's lines: the start of the part that a line is in, and its place there.
+    """
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("place")).alias("line_no"), F.col("value").alias("line"))
+    return rows, rows.where(F.startswith("line", F.lit("##FASTA"))).groupBy("file").agg(F.min("line_no").alias("begin"))
+
+
 def _features(spark: SparkSession, path: str) -> DataFrame:
     """file, line_no, line, p: lines of GFF files in their order, up to the sequences."""
-    rows = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.split(F.substring_index("value", "##FASTA", 1), "\n").alias("lines"))
-    return rows.select("file", F.posexplode("lines").alias("line_no", "line")).withColumn("p", F.split("line", "\t"))
+    rows, sequences = _lines(spark, path)
+    above = rows.join(sequences, "file", "left").where(F.col("begin").isNull() | (F.col("line_no") < F.col("begin")))
+    return above.select("file", "line_no", "line", F.split("line", "\t").alias("p"))
 
 
 def _ids(attributes: Column) -> Column:
@@ -102,9 +113,12 @@ def contig_sequences(spark: SparkSession, gff: str, fasta: str | None = None) ->
     """seqid, seq: of the FASTA file, or of the GFF file's own sequences without one."""
     if fasta is not None:
         return read_fasta(spark, fasta).select(F.col("gene").alias("seqid"), F.upper("seq").alias("seq"))
-    tail = spark.read.text(gff, wholetext=True).where(F.contains("value", F.lit("##FASTA"))).select(F.explode(F.split(F.substring_index("value", "##FASTA", -1), ">")).alias("r"))
-    head = F.regexp_extract("r", r"^(\S+)", 1)
-    return tail.where(head != "").select(head.alias("seqid"), F.upper(F.regexp_replace(F.regexp_replace("r", r"^[^\n]*", ""), r"\s", "")).alias("seq"))
+    rows, sequences = _lines(spark, gff)
+    below = rows.join(sequences, "file").where(F.col("line_no") > F.col("begin")).withColumn("head", F.startswith("line", F.lit(">")).cast("int"))
+    records = ordered(below, F.col("file"), F.col("line_no"), sums={"record": "head"}).where("record > 0")
+    whole = records.groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("line_no", "head", "line"))).alias("es"))  # one sequence
+    seqid = F.regexp_extract(F.element_at("es", 1)["line"], r"^>\s*(\S+)", 1)
+    return whole.select(seqid.alias("seqid"), F.upper(F.regexp_replace(F.array_join(F.transform(F.filter("es", lambda e: e["head"] == 0), lambda e: e["line"]), ""), r"\s", "")).alias("seq")).where("seqid <> ''")
 
 
 # ---------------------------------------------------------------- tRNA genes
@@ -245,9 +259,9 @@ def annotated_gff(spark: SparkSession, path: str, classes: DataFrame, islands: D
     extra = marks.select("file", "line_no", F.lit(1).alias("sub"), F.concat_ws("\t", p[0], F.lit("synonymy"), F.lit("codon_usage"), p[3], p[4], F.lit("."), p[6], F.lit("."), text).alias("value"))
     out = rows.select("file", "line_no", F.lit(0).alias("sub"), F.col("line").alias("value")).union(extra)
     if islands is not None:
-        first = rows.where(~F.startswith("line", F.lit("#"))).groupBy("file").agg((F.min("line_no") - 1).alias("line_no"))
+        first = rows.where(~F.startswith("line", F.lit("#"))).groupBy("file").agg(F.min("line_no").alias("line_no"))
         at = F.concat_ws("\t", "seqid", F.lit("synonymy"), F.lit("genomic_island"), F.col("start").cast("string"), F.col("end").cast("string"), F.lit("."), F.lit("."), F.lit("."), F.concat(F.lit("ID="), "island"))
-        out = out.union(first.crossJoin(F.broadcast(islands.select(at.alias("value")))).select("file", "line_no", F.lit(2).alias("sub"), "value"))  # a few regions a genome
+        out = out.union(first.crossJoin(F.broadcast(islands.select(at.alias("value")))).select("file", "line_no", F.lit(-1).alias("sub"), "value"))  # a few regions a genome
     return out.where("value <> ''").orderBy("file", "line_no", "sub", "value").select("file", "value")
 
 
