@@ -47,7 +47,6 @@ MOST_PENDING = 1 << 23
 LOOKUP_BYTES = 1 << 23
 #: Of each shard so many of the most frequent words may be frequent ones, whose successors are spread over all shards.
 FREQUENT = 64
-MOST_SHARDS = 1 << 14
 _U = np.uint64
 
 
@@ -576,10 +575,10 @@ def _scored(trie: Trie):
 
 
 def train(docs: DataFrame, strength: float = STRENGTH, shards: int | None = None) -> Trie:
-    """The trie of ``docs`` (text).  Without ``shards`` there are as many as input partitions, as a power of two, MOST_SHARDS at most (a task merges one shard)."""
+    """The trie of ``docs`` (text).  Without ``shards`` there are as many as input partitions, as a power of two (a task merges one shard)."""
     folder = uri(scratch(docs.sparkSession))
     docs = only(docs, "text")
-    shards = shards or min(MOST_SHARDS, 1 << max(3, (docs.rdd.getNumPartitions() - 1).bit_length()))
+    shards = shards or 1 << max(3, (docs.rdd.getNumPartitions() - 1).bit_length())
 
     def built(count, kinds: int, build, schema: str, name: str) -> list:
         blobs = docs.mapInArrow(count, "shard int" + "".join(f", blob{i} binary" for i in range(kinds)))

@@ -32,7 +32,7 @@ BASE = {
 }
 #: Candidates that no base rule covers: spelled-out addresses, 13-digit card numbers, phone numbers without a country code.
 MORE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:\[at\]|\(at\))\x20?[A-Za-z0-9-]{1,64}\x20?(?:\.|\[dot\]|\(dot\))\x20?[A-Za-z]{2,12}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?(?:\[at\]|\(at\))\x20?[A-Za-z0-9-]++\x20?(?:\.|\[dot\]|\(dot\))\x20?[A-Za-z]{2,}+",
     "card": r"(?<![0-9][\x20-]?)(?<![0-9])[0-9](?:[\x20-]?[0-9]){12}(?![\x20-]?[0-9])",
     "phone": r"(?<!\+[0-9]{1,3}[\x20.-]?)(?<![0-9(])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
 }

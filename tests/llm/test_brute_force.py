@@ -401,3 +401,11 @@ def test_chat_links_a_planted_table(spark):
     assert got.groupBy("role", "status", "n_linked", "valid").count().count() == 2 and got.where("status = 'linked'").count() == 6 * n
     order = [json.loads(r.json) for r in got.where("conv_id = 7").orderBy("seq").collect()]
     assert [m.get("tool_call_id") or m["tool_calls"][0]["id"] for m in order] == [f"42-{k}" for k in (0, 0, 1, 1, 2, 2)]
+
+
+def test_pii_spelled_out_addresses_of_any_length(spark):
+    long = "a" * 90
+    d = table(spark, [f"write to {long} [at] {'b' * 80} [dot] {'c' * 20} now", "mail joe [at] site [dot] org", "x [at] y"])
+    found = d.select("doc_id", pii.candidates(F.col("text")).alias("c")).collect()
+    got = {r.doc_id: [(s["start"], s["end"]) for s in (r.c["spans"] if "spans" in r.c else r.c)] for r in found}
+    assert got[1] == [(9, 9 + 90 + 6 + 80 + 7 + 20)] and got[2] == [(5, 28)] and got[3] == []
