@@ -144,8 +144,11 @@ relation("score_floor", "SELECT s.metric, count(*) AS ties FROM score_long s JOI
 relation("floor_kept", """SELECT metric, gene FROM (SELECT s.metric, s.gene, c.n, f.ties, row_number() OVER (PARTITION BY s.metric ORDER BY s.gene) AS nth FROM score_long s JOIN score_cut c ON c.metric = s.metric AND s.v = c.lo JOIN score_floor f ON f.metric = s.metric) x WHERE ties > 0.1e0 * n AND nth > ceil(0.1e0 * n)""")
 relation("tiers", """SELECT s.gene, s.metric, s.v, CASE WHEN c.lo = c.hi THEN 'medium' WHEN k.gene IS NOT NULL THEN 'low_floor' WHEN s.v <= c.lo THEN 'low' WHEN s.v >= c.hi THEN 'high' ELSE 'medium' END AS tier
   FROM score_long s JOIN score_cut c ON c.metric = s.metric LEFT JOIN floor_kept k ON k.metric = s.metric AND k.gene = s.gene""")
-query("ag23_expression_table", """SELECT gene, round(max(CASE WHEN metric = 'CAI' THEN v END), 6) AS cai, max(CASE WHEN metric = 'CAI' THEN tier END) AS cai_class, round(max(CASE WHEN metric = 'Fop' THEN v END), 6) AS fop, max(CASE WHEN metric = 'Fop' THEN tier END) AS fop_class,
-  round(max(CASE WHEN metric = 'MELP' THEN v END), 6) AS melp, max(CASE WHEN metric = 'MELP' THEN tier END) AS melp_class FROM tiers GROUP BY gene""")
+# The metric whose tiers count: the first of MELP, CAI and Fop that has a high and a low one; MELP if none has.
+relation("tier_choice", """SELECT CASE WHEN count(DISTINCT CASE WHEN metric = 'MELP' THEN tier END) = 2 THEN 'MELP' WHEN count(DISTINCT CASE WHEN metric = 'CAI' THEN tier END) = 2 THEN 'CAI' WHEN count(DISTINCT CASE WHEN metric = 'Fop' THEN tier END) = 2 THEN 'Fop' ELSE 'MELP' END AS metric
+  FROM tiers WHERE tier IN ('high', 'low')""")
+query("ag23_expression_table", """SELECT gene, round(max(CASE WHEN t.metric = 'CAI' THEN v END), 6) AS cai, max(CASE WHEN t.metric = 'CAI' THEN tier END) AS cai_class, round(max(CASE WHEN t.metric = 'Fop' THEN v END), 6) AS fop, max(CASE WHEN t.metric = 'Fop' THEN tier END) AS fop_class,
+  round(max(CASE WHEN t.metric = 'MELP' THEN v END), 6) AS melp, max(CASE WHEN t.metric = 'MELP' THEN tier END) AS melp_class, coalesce(max(CASE WHEN t.metric = c.metric THEN tier END), 'unknown') AS expression_class FROM tiers t CROSS JOIN tier_choice c GROUP BY gene""")
 relation("tier_goi", """SELECT t.metric, k.tier, count(CASE WHEN t.tier = k.tier AND g.gene IS NOT NULL THEN 1 END) AS a, count(CASE WHEN t.tier = k.tier THEN 1 END) AS c, count(g.gene) AS s, count(*) AS n
   FROM tiers t CROSS JOIN (SELECT 'high' AS tier UNION ALL SELECT 'medium' AS tier UNION ALL SELECT 'low' AS tier) k LEFT JOIN goi g ON g.gene = t.gene GROUP BY t.metric, k.tier""")
 relation("tier_goi_known", "SELECT * FROM tier_goi WHERE s >= 5 AND n - s >= 30")

@@ -67,5 +67,7 @@ relation("trna_codon", "SELECT d.codon, d.aa, sum(t.copies * w.weight) AS effect
 query("sf06_trna_wobble", "SELECT codon, aa, round(effective, 6) AS effective_trna FROM trna_codon")
 query("st13_trna_correlation", "SELECT count(*) AS n_codons, round(corr(a, b), 6) AS rho FROM (SELECT rank() OVER (ORDER BY e) + (count(*) OVER (PARTITION BY e) - 1) / 2e0 AS a, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2e0 AS b FROM (SELECT round(coalesce(t.effective, 0e0), 9) AS e, round(s.rscu, 9) AS v FROM set_rscu s LEFT JOIN trna_codon t ON t.codon = s.codon WHERE s.gene_set = 'all' AND s.sense) z) x")
 query("cm01_sample_metrics", "SELECT s.sample_id, s.cond, round(max(CASE WHEN metric = 'ENC' THEN v END), 6) AS mean_enc, round(max(CASE WHEN metric = 'GC3' THEN v END), 6) AS mean_gc3, round(max(CASE WHEN metric = 'CAI' THEN v END), 6) AS mean_cai FROM sample_metric s GROUP BY s.sample_id, s.cond")
+query("cm03_sample_medians", """SELECT sample_id, cond, median_enc, median_encprime, round(median_enc - median_encprime, 6) AS median_enc_diff FROM (SELECT e.sample_id, e.cond, round(percentile(round(e.enc, 9), 0.5), 6) AS median_enc, round(percentile(round(p.encprime, 9), 0.5), 6) AS median_encprime
+  FROM enc e JOIN encprime p ON p.gene = e.gene GROUP BY e.sample_id, e.cond) x""")
 query("fg01_family_shares", "SELECT aa, codon, round(CAST(n AS DOUBLE) / nullif(sum(n) OVER (PARTITION BY aa), 0), 6) AS share FROM set_rscu WHERE gene_set = 'all' AND sense")
 query("fg15_genome_pairs", "SELECT x, y, round(d1, 6) AS distance, round(d2, 6) AS gc3_difference FROM dist2")

@@ -188,10 +188,10 @@ def ribosomal(genes: DataFrame, name: str = "description") -> DataFrame:
 
 
 def read_delimited(spark: SparkSession, path: str) -> DataFrame:
-    """A table with a header, by tabs, commas or semicolons: whichever its first line has most of."""
+    """A table with a header, by tabs, commas, semicolons or bars: whichever its first line has most of."""
     head = spark.read.text(path).limit(1).collect()  # one line
     line = head[0]["value"] if head else ""
-    return spark.read.option("header", True).option("inferSchema", True).option("sep", max("\t,;", key=line.count)).csv(path)
+    return spark.read.option("header", True).option("inferSchema", True).option("sep", max("\t,;|", key=line.count)).csv(path)
 
 
 def read_signatures(spark: SparkSession, folder: str) -> DataFrame:

@@ -37,6 +37,20 @@ def read_fasta(spark: SparkSession, path: str, min_length: int = 0) -> DataFrame
     return out.where(F.length("seq") >= min_length)
 
 
+def checked_genome(spark: SparkSession, files: dict[str, str]) -> int:
+    """Sequences in a genome's protein file; raises where ``files`` (by kind) lacks faa or ffn, or one of them is missing or empty."""
+    for kind in ("faa", "ffn"):
+        if kind not in files:
+            raise ValueError(f"a genome's files must include {kind}; there are {sorted(files)}")
+        p = spark._jvm.org.apache.hadoop.fs.Path(files[kind])
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(p) or not fs.getFileStatus(p).isFile():
+            raise FileNotFoundError(files[kind])
+        if fs.getFileStatus(p).getLen() == 0:
+            raise ValueError(f"{files[kind]} is empty")
+    return spark.read.text(files["faa"]).where(F.startswith("value", F.lit(">"))).count()
+
+
 def read_gff(spark: SparkSession, path: str) -> DataFrame:
     """seqid, type, start, end, strand, attrs of GFF3 feature lines."""
     p = F.split("value", "\t")
@@ -50,9 +64,11 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where(~F.startswith(F.ltrim("value"), F.lit("#"))).select(word.alias("gene")).where("gene <> ''").distinct()
 
 
-def read_manifest(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
-    """A table of samples, all strings; sample_id defaults to the stem of genome_path, which must be there."""
-    rows = spark.read.option("header", True).option("sep", sep).csv(path)
+def read_manifest(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
+    """A table of samples, all strings, by the separator given or else the one of tab, comma, semicolon and bar that its first line has most of; sample_id defaults to the stem of genome_path, which must be there."""
+    head = spark.read.text(path).limit(1).collect()  # one line
+    found = max("\t,;|", key=head[0]["value"].count) if sep is None and head else sep or "\t"
+    rows = spark.read.option("header", True).option("sep", found).csv(path)
     if "genome_path" not in rows.columns:
         raise ValueError("the manifest has no column genome_path")
     stem = F.regexp_extract("genome_path", r"([^/]+?)(\.[^./]*)?$", 1)

@@ -71,3 +71,41 @@ def test_exact_tails_count_all_orders(spark, monkeypatch):
     assert got["s"].u == u and got["s"].p == pytest.approx(want)
     assert got["tied"].p != pytest.approx(want) and 0 < got["tied"].p <= 1
     assert "u_exact" in registry.SQL["st16_between_conditions"]
+
+
+def test_manifests_by_their_own_separator_and_checked_files(spark, tmp_path):
+    from synonymy.sources import tables
+
+    for sep in "\t,;|":
+        path = tmp_path / f"m{ord(sep)}.txt"
+        path.write_text(sep.join(("genome_path", "cond")) + "\n" + sep.join(("/x/one.fna", "a")) + "\n")
+        assert [tuple(r) for r in tables.read_manifest(spark, str(path)).select("sample_id", "cond").collect()] == [("one", "a")]
+    faa, ffn, none = tmp_path / "a.faa", tmp_path / "a.ffn", tmp_path / "b.ffn"
+    faa.write_text(">p1\nMK\n>p2\nMA\n")
+    ffn.write_text(">p1\nATG\n")
+    none.write_text("")
+    assert tables.checked_genome(spark, {"faa": str(faa), "ffn": str(ffn)}) == 2
+    for files, error in (({"faa": str(faa)}, ValueError), ({"faa": str(faa), "ffn": str(tmp_path / "no")}, FileNotFoundError), ({"faa": str(faa), "ffn": str(none)}, ValueError)):
+        with pytest.raises(error):
+            tables.checked_genome(spark, files)
+
+
+def test_options_set_parameters(monkeypatch):
+    from synonymy.operators import stability
+    from synonymy.plans import analyses
+
+    o = analyses.options(["cluster", "--tables", "t", "--out", "o", "--resamples", "7", "--core-threshold", "0.8"])
+    assert o.resamples == 7 and o.core_threshold == 0.8 and o.bagged_resamples == stability.BAGGED
+    assert all(q in registry.QUERIES for queries in analyses.ANALYSES.values() for q in queries)
+
+
+def test_the_class_falls_back_to_metrics_that_have_tiers(spark, monkeypatch):
+    def of(flat):
+        values = [(g, m, float(g), "medium" if m in flat else "high" if g > 8 else "low" if g < 2 else "medium") for g in range(10) for m in ("MELP", "CAI", "Fop")]
+        monkeypatch.setitem(relations.SPARK, "tiers", relations.needs()(lambda run: spark.createDataFrame(values, "gene long, metric string, v double, tier string")))
+        monkeypatch.setattr(relations, "KEPT", relations.KEPT - {"tiers"})
+        return {r.gene: r.expression_class for r in registry.QUERIES["ag23_expression_table"](spark, "/root/testdata/sf0.001").collect()}, {r[0]: r[3] for r in values if r[1] == next((m for m in ("MELP", "CAI", "Fop") if m not in flat), "MELP")}
+
+    for flat in ((), ("MELP",), ("MELP", "CAI"), ("MELP", "CAI", "Fop")):
+        got, want = of(flat)
+        assert got == want
