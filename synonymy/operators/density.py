@@ -14,7 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from synonymy.operators.moments import apart, moments
+from synonymy.operators.moments import apart as _apart
+from synonymy.operators.moments import moments
 from synonymy.operators.multivariate import COVERED, Ordination, _distances, _robust
 from synonymy.plans.relations import KEPT, Run, needs, on_spark, spark_query
 
@@ -52,7 +53,7 @@ class Density:
     def __init__(self, rows: DataFrame):
         plane = rows.select(F.lit("").alias("grp"), F.slice("zs", 1, 2).alias("xs"))
         got = moments(plane).collect()  # one row
-        self.n, s, c = apart(got[0]["m"]) if got else (0.0, np.zeros(2), np.zeros((2, 2)))
+        self.n, s, c = _apart(got[0]["m"]) if got else (0.0, np.zeros(2), np.zeros((2, 2)))
         if self.n < 3:
             return
         covariance = (c - np.outer(s, s) / self.n) / (self.n - 1) * self.n ** (-1 / 3)
@@ -162,7 +163,7 @@ def dual_anchor(run: Run) -> DataFrame:
         return run.spark.createDataFrame([], schema)
     apart = float(np.linalg.norm(fitted[0] - reference[0]))
     middle = moments(rows.select(F.lit("").alias("grp"), F.col("zs").alias("xs"))).collect()  # one row
-    n, s, _ = apart(middle[0]["m"])
+    n, s, _ = _apart(middle[0]["m"])
     spread = F.sqrt(F.aggregate(F.zip_with("zs", F.array(*[F.lit(float(x)) for x in s / n]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x))
     keep = "gene long, off double, spread double"
     far = near.withColumn("spread", spread).mapInPandas(_distances(*fitted, keep), f"{keep}, distance double")
