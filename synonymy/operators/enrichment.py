@@ -52,10 +52,10 @@ query("st32_nes_between_conditions", "SELECT test, item AS gene_set, g1, g2, rou
 @needs("sample_burdens")
 def sample_ranked(run: Run) -> DataFrame:
     rows = ordered(run("sample_burdens"), F.col("sample_id"), F.col("w").desc(), F.col("gene")).drop("n")
-    return _within(rows, ["sample_id"], "r", "n")
+    return within(rows, ["sample_id"], "r", "n")
 
 
-def _within(rows: DataFrame, by: list[str], place: str, size: str | None = None) -> DataFrame:
+def within(rows: DataFrame, by: list[str], place: str, size: str | None = None) -> DataFrame:
     """Global places (r) made places within groups that lie together in the order; and the groups' sizes."""
     first = rows.groupBy(*by).agg((F.min("r") - 1).alias("first_"), F.count("*").alias("size_"))
     out = rows.join(first, by).withColumn("place_", F.col("r") - F.col("first_")).drop("r", "first_").withColumnRenamed("place_", place)
@@ -66,7 +66,7 @@ def _within(rows: DataFrame, by: list[str], place: str, size: str | None = None)
 def sample_shuffled(run: Run) -> DataFrame:
     word = F.md5(F.concat(F.col("i").cast("string"), F.lit("-"), F.col("gene").cast("string")))
     rows = run("sample_ranked").select("sample_id", "gene", F.col("r").alias("rank_"), "w", "n").withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ORDERS - 1).cast("long")))).withColumn("word_", word)
-    placed = _within(ordered(rows.withColumnRenamed("n", "n_sample"), F.col("sample_id"), F.col("i"), F.col("word_"), F.col("gene")).drop("n"), ["sample_id", "i"], "k")
+    placed = within(ordered(rows.withColumnRenamed("n", "n_sample"), F.col("sample_id"), F.col("i"), F.col("word_"), F.col("gene")).drop("n"), ["sample_id", "i"], "k")
     return placed.select("sample_id", "i", F.col("rank_").alias("r"), "w", F.col("n_sample").alias("n"), "k")
 
 
