@@ -39,6 +39,8 @@ relation("sample_nes_p", """SELECT s.sample_id, s.source, s.gene_set, round((1e0
 relation("sample_nes_q0", "SELECT s.sample_id, s.source, s.gene_set, s.size, s.es, s.nes, p.p FROM sample_nes s JOIN sample_nes_p p ON p.sample_id = s.sample_id AND p.source = s.source AND p.gene_set = s.gene_set")
 adjusted("sample_nes_q", "sample_nes_q0", "sample_id, source", "gene_set")
 query("be14_sample_gsea", "SELECT sample_id, source, gene_set, CAST(size AS BIGINT) AS size, round(es, 6) AS es, nes, p, round(q, 6) AS q FROM sample_nes_q")
+# p has six digits, so q often lies halfway between two of them: rounded as the reference rounds, by the product.
+on_spark("be14_sample_gsea", "SELECT sample_id, source, gene_set, CAST(size AS BIGINT) AS size, round(es, 6) AS es, nes, p, round(q * 1e6) / 1e6 AS q FROM sample_nes_q")
 
 relation("nes_by", "SELECT s.source || ' ' || s.gene_set AS item, c.cond AS grp, s.nes AS v FROM sample_nes s JOIN (SELECT DISTINCT sample_id, cond FROM genes) c ON c.sample_id = s.sample_id WHERE s.nes IS NOT NULL")
 relation("nes_two", "SELECT b.item, p.g1, p.g2, CASE WHEN b.grp = p.g1 THEN 1 ELSE 0 END AS first_one, b.v FROM nes_by b JOIN pair_of_conds p ON b.grp = p.g1 OR b.grp = p.g2")

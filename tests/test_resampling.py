@@ -43,3 +43,10 @@ def test_draws_are_those_of_the_sql(spark, monkeypatch, name, keys, values):
     assert "md5" not in got._jdf.queryExecution().toString()  # no row for each draw
     monkeypatch.delitem(relations.SPARK, name)
     same(got, run._fresh(name), keys, values)
+
+
+def test_rounding_of_adjusted_values(spark, monkeypatch):
+    """A q halfway between two numbers of six digits, as a p of six digits makes it."""
+    row = spark.sql("SELECT 's' AS sample_id, 'letter' AS source, 'L' AS gene_set, 2L AS size, 5e-1 AS es, 1e0 AS nes, 0.094527e0 AS p, 0.094527e0 * 3 / 2 AS q")
+    monkeypatch.setitem(relations.SPARK, "sample_nes_q", relations.needs()(lambda run: row))
+    assert relations.Run(spark, SF)("be14_sample_gsea").first().q == 0.141791
