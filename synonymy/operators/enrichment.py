@@ -64,16 +64,7 @@ def within(rows: DataFrame, by: list[str], place: str, size: str | None = None)
     return out.withColumnRenamed("size_", size) if size else out.drop("size_")
 
 
-@needs("sample_ranked", "sample_orders")
-def sample_shuffled(run: Run) -> DataFrame:
-    word = F.md5(F.concat(F.col("i").cast("string"), F.lit("-"), F.col("gene").cast("string")))
-    rows = run("sample_ranked").select("sample_id", "gene", F.col("r").alias("rank_"), "w", "n").withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ORDERS - 1).cast("long")))).withColumn("word_", word)
-    placed = within(ordered(rows.withColumnRenamed("n", "n_sample"), F.col("sample_id"), F.col("i"), F.col("word_"), F.col("gene")).drop("n"), ["sample_id", "i"], "k")
-    return placed.select("sample_id", "i", F.col("rank_").alias("r"), "w", F.col("n_sample").alias("n"), "k")
-
-
 on_spark("sample_ranked", sample_ranked)
-on_spark("sample_shuffled", sample_shuffled)
 KEPT.update({"sample_ranked", "sample_set_es", "sample_null_es", "sample_nes"})
 
 # ---------------------------------------------------------------- pivots

@@ -142,5 +142,5 @@ def sample_null_es(run: Run) -> DataFrame:
     return genes.groupBy("sample_id", "block").cogroup(sizes.groupBy("sample_id", "block")).applyInPandas(draw, "sample_id string, i long, drawn long, size long, es double")
 
 
-for form in (null_es, goi_values, goi_boot_test, ref_means):
+for form in (null_es, goi_values, goi_boot_test, ref_means, sample_null_es):
     on_spark(form.__name__, form)

@@ -35,7 +35,7 @@ def same(got, want, keys, values):
 
 @pytest.mark.parametrize(
     ("name", "keys", "values"),
-    [("null_es", ["perm", "gene_set", "size"], ["es"]), ("goi_boot_test", ["item", "g1", "g2"], ["n1", "n2", "u", "delta"]), ("ref_means", ["i", "genome"], ["m"])],
+    [("null_es", ["perm", "gene_set", "size"], ["es"]), ("goi_boot_test", ["item", "g1", "g2"], ["n1", "n2", "u", "delta"]), ("ref_means", ["i", "genome"], ["m"]), ("sample_null_es", ["sample_id", "i", "drawn", "size"], ["es"])],
 )
 def test_draws_are_those_of_the_sql(spark, monkeypatch, name, keys, values):
     run = relations.Run(spark, SF)
