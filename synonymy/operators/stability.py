@@ -195,7 +195,8 @@ def robust_reference(run: Run) -> DataFrame:
 def bagged(refs: DataFrame, n: int, count: int = BAGGED) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """(mean centre, mean covariance, all centres) of robust fits of resamples of (gene, zs)."""
     drawn = resampled(refs, count, n, "zs").select("grp", "zs", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
-    fits = [f for _, f in sorted(robust(drawn).items(), key=lambda x: int(x[0]))]
+    # About RESAMPLE rows each, as often more as fewer: all are fitted in a task.
+    fits = [f for _, f in sorted(robust(drawn, task_rows=2 * RESAMPLE).items(), key=lambda x: int(x[0]))]
     if not fits:
         return None
     centres = np.stack([f.centre for f in fits])

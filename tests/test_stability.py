@@ -118,3 +118,17 @@ def test_bagged_estimate_is_the_mean_of_resamples(spark):
     centre, covariance, every = stability.bagged(refs, 50, 6)
     fits = [robust.two_passes(np.repeat(x, [drawn(i, g) for g in range(50)], axis=0)) for i in range(6)]
     assert centre == pytest.approx(np.mean([f.centre for f in fits], axis=0)) and covariance == pytest.approx(np.mean([f.covariance for f in fits], axis=0)) and len(every) == 6
+
+
+def test_bagged_resamples_are_each_fitted_in_a_task(spark, monkeypatch):
+    """A resample holds a little more than RESAMPLE rows as often as a little less, and is not fitted by passes then."""
+    limits = []
+
+    def fitted(rows, task_rows=robust.TASK_ROWS):
+        limits.append(task_rows)
+        return robust.robust(rows, task_rows=task_rows)
+
+    monkeypatch.setattr(stability, "robust", fitted)
+    refs = spark.createDataFrame([(g, [float(g % 7), float(g % 11)]) for g in range(60)], "gene long, zs array<double>")
+    assert len(stability.bagged(refs, 60, 3)[2]) == 3
+    assert limits[0] > stability.RESAMPLE + 20 * math.sqrt(stability.RESAMPLE)
