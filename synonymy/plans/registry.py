@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from synonymy.operators import clusters, comparisons, density, enrichment, genomics, multivariate, ranking, resampling, stability, statistics, trees, usage  # noqa: F401  they define the queries
+from synonymy.operators import clusters, comparisons, density, enrichment, genomics, multivariate, pairs, ranking, resampling, stability, statistics, trees, usage  # noqa: F401  they define the queries
 from synonymy.plans import relations
 
 QUERIES = relations.queries()
