@@ -3,9 +3,10 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from synonymy.functions.digests import md5_numbers, md5_words
+from synonymy.functions.digests import md5_numbers, md5_words, words_below
 from synonymy.operators.resampling import first_different
 from synonymy.plans import registry, relations  # noqa: F401  the registry defines all relations
 
@@ -50,3 +51,16 @@ def test_rounding_of_adjusted_values(spark, monkeypatch):
     row = spark.sql("SELECT 's' AS sample_id, 'letter' AS source, 'L' AS gene_set, 2L AS size, 5e-1 AS es, 1e0 AS nes, 0.094527e0 AS p, 0.094527e0 * 3 / 2 AS q")
     monkeypatch.setitem(relations.SPARK, "sample_nes_q", relations.needs()(lambda run: row))
     assert relations.Run(spark, SF)("be14_sample_gsea").first().q == 0.141791
+
+
+def test_words_below_a_bound():
+    genes, bounds = list(range(40)), ["4" + "0" * 14, "g"] * 20
+    got = words_below(pa.array(genes), pa.array(bounds)).to_pylist()
+    for gene, bound, words in zip(genes, bounds, got, strict=True):
+        want = {i: w for i in range(999) if (w := hashlib.md5(f"{i}-{gene}".encode()).hexdigest()) < bound}
+        assert {x["i"]: f"{x['first'] + 2**63:016x}{x['last'] + 2**63:016x}" for x in words} == want
+
+
+def test_draws_take_no_row_for_each_word(spark):
+    plan = relations.Run(spark, SF)._fresh("drawn")._jdf.queryExecution().toString()
+    assert "words_below" in plan
