@@ -1,7 +1,9 @@
 """Genome order, foreign genes, selection, optimisation, joins and set operations."""
 
-from synonymy.plans.relations import query, relation
+from synonymy.functions.codons import codon_rows
 from synonymy.operators.statistics import erfc
+from synonymy.operators.usage import CODON
+from synonymy.plans.relations import on_spark, query, relation
 
 relation("placed", """SELECT gene, genome, length, CASE WHEN gene % 2 = 0 THEN '+' ELSE '-' END AS strand, 1 + sum(length) OVER (PARTITION BY genome ORDER BY gene ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length AS start_bp FROM genes""")
 relation("adjacent", """SELECT * FROM (SELECT genome, strand, gene AS gene1, lead(gene) OVER (PARTITION BY genome, strand ORDER BY start_bp, gene) AS gene2, greatest(0, lead(start_bp) OVER (PARTITION BY genome, strand ORDER BY start_bp, gene) - (start_bp + length - 1)) AS gap FROM placed) x WHERE gene2 IS NOT NULL""")
@@ -16,6 +18,9 @@ query("be04_strand_asymmetry", f"SELECT codon, aa, round(mp, 6) AS mean_plus, ro
 query("be01_growth_rate", """SELECT s.genome, count(*) AS n_ref, round(avg(s.cai), 6) AS mean_cai, round(exp(7.15e0 - 7.38e0 * avg(s.cai)), 6) AS doubling_hours, CASE WHEN exp(7.15e0 - 7.38e0 * avg(s.cai)) < 2 THEN 'fast' WHEN exp(7.15e0 - 7.38e0 * avg(s.cai)) <= 8 THEN 'moderate' ELSE 'slow' END AS growth
   FROM scores s JOIN refset r ON r.gene = s.gene GROUP BY s.genome HAVING count(*) >= 3""")
 relation("high_mean", "SELECT r.codon, r.aa, r.family, avg(r.rscu) AS all_mean, avg(CASE WHEN t.tier = 'high' THEN r.rscu END) AS high_mean FROM rscu r JOIN tier t ON t.gene = r.gene GROUP BY r.codon, r.aa, r.family")
+on_spark("high_mean", f"""SELECT d.codon, d.aa, d.family, avg(x.rscu) AS all_mean, avg(CASE WHEN x.tier = 'high' THEN x.rscu END) AS high_mean
+  FROM (SELECT {CODON}[s.k] AS codon, s.rscu, g.tier FROM (SELECT u.rs, u.lengths, t.tier FROM gene_ns u JOIN tier t ON t.gene = u.gene) g LATERAL VIEW explode(g.lengths) l AS length LATERAL VIEW posexplode(g.rs) s AS k, rscu) x
+  JOIN codon_dim d ON d.codon = x.codon AND d.sense GROUP BY d.codon, d.aa, d.family""")
 query("st10_delta_rscu", """SELECT codon, aa, round(all_mean, 6) AS ref_rscu, round(high_mean, 6) AS high_rscu, round(high_mean - all_mean, 6) AS delta_rscu,
   round((ln(greatest(high_mean, 1e-6)) - avg(ln(greatest(high_mean, 1e-6))) OVER ()) - (ln(greatest(all_mean, 1e-6)) - avg(ln(greatest(all_mean, 1e-6))) OVER ()), 6) AS delta_clr FROM high_mean WHERE high_mean IS NOT NULL AND all_mean IS NOT NULL""")
 query("be02_optimal_codons", "SELECT codon, family, CASE WHEN row_number() OVER (PARTITION BY family ORDER BY d DESC, codon) = 1 THEN 2 WHEN d > 5e-2 THEN 1 ELSE 0 END AS is_optimal, round(d, 6) AS delta FROM (SELECT codon, family, high_mean - all_mean AS d FROM high_mean WHERE high_mean IS NOT NULL) x")
@@ -25,6 +30,8 @@ query("wn05_positional_fop", """SELECT region, count(DISTINCT gene) AS n_genes,
 query("mv03_rscu_distance", """SELECT r.gene, round(sqrt(sum(pow(r.rscu - s.rscu, 2))), 6) AS euclidean, round(sqrt(sum(pow(r.rscu - s.rscu, 2) / greatest(s.rscu, 1e-10))), 6) AS chi_squared FROM rscu r JOIN set_rscu s ON s.codon = r.codon AND s.gene_set = 'reference'
   WHERE r.rscu IS NOT NULL AND s.rscu IS NOT NULL GROUP BY r.gene HAVING count(*) = 59""")
 relation("gene_clr", "SELECT gene, codon, ln(greatest(coalesce(rscu, 0e0), 1e-6)) - avg(ln(greatest(coalesce(rscu, 0e0), 1e-6))) OVER (PARTITION BY gene) AS x FROM rscu WHERE indep")
+on_spark("gene_clrs", "SELECT gene, aggregate(ls, 0e0, (a, l) -> a + l, a -> transform(ls, l -> l - a / size(ls))) AS xs FROM (SELECT gene, transform(ind, x -> ln(greatest(coalesce(x, 0e0), 1e-6))) AS ls FROM gene_codons) y")
+on_spark("gene_clr", f"SELECT g.gene, array({', '.join(repr(r[0]) for r in codon_rows() if r[7])})[t.k] AS codon, t.x FROM gene_clrs g LATERAL VIEW posexplode(g.xs) t AS k, x")
 relation("set_clr", "SELECT gene_set, s.codon, ln(greatest(coalesce(rscu, 0e0), 1e-6)) - avg(ln(greatest(coalesce(rscu, 0e0), 1e-6))) OVER (PARTITION BY gene_set) AS x FROM set_rscu s JOIN (SELECT codon FROM codon_dim WHERE indep) d ON d.codon = s.codon")
 query("sf05_aitchison", "SELECT g.gene, round(sqrt(sum(pow(g.x - s.x, 2))), 6) AS aitchison FROM gene_clr g JOIN set_clr s ON s.codon = g.codon AND s.gene_set = 'reference' GROUP BY g.gene")
 query("sg01_gene_signature", "SELECT g.gene, g.codon, round(g.x - s.x, 6) AS delta_clr FROM gene_clr g JOIN set_clr s ON s.codon = g.codon AND s.gene_set = 'all'")

@@ -1,16 +1,22 @@
 """Codon counts, synonymous usage, effective numbers of codons, adaptation and pairs."""
 
+from synonymy.functions.codons import codon_rows
 from synonymy.plans.relations import on_spark, query, relation
 
-relation("genes", "SELECT DISTINCT gene, sample_id, genome, cond, length FROM cds", kept=True)
-relation("cl", "SELECT gene, sample_id, genome, cond, codon, count(*) AS n FROM codon_pos JOIN codon_dim USING (codon) GROUP BY gene, sample_id, genome, cond, codon", kept=True)
+# On Spark a gene's counts of the 64 codons are one array (gene_ns), so what its codons share needs no shuffle.
+CODON = f"array({', '.join(repr(r[0]) for r in codon_rows())})"
+
+relation("genes", "SELECT DISTINCT gene, sample_id, genome, cond, length FROM cds")
+on_spark("genes", "SELECT gene, sample_id, genome, cond, length FROM gene_ns g LATERAL VIEW explode(g.lengths) t AS length")
+relation("cl", "SELECT gene, sample_id, genome, cond, codon, count(*) AS n FROM codon_pos JOIN codon_dim USING (codon) GROUP BY gene, sample_id, genome, cond, codon")
+on_spark("cl", f"SELECT g.gene, g.sample_id, g.genome, g.cond, {CODON}[t.k] AS codon, t.n FROM gene_ns g LATERAL VIEW posexplode(g.ns) t AS k, n WHERE t.n > 0")
 relation("grid", """SELECT g.gene, g.sample_id, g.genome, g.cond, d.codon, d.aa, d.family, d.fold, d.ffold, d.indep, coalesce(c.n, 0) AS n
   FROM genes g CROSS JOIN (SELECT * FROM codon_dim WHERE sense) d LEFT JOIN cl c ON c.gene = g.gene AND c.codon = d.codon""")
-# On Spark one shuffle by gene: a gene's counts (64 at most) as a map, spread over the codons.
-on_spark("grid", """SELECT gene, sample_id, genome, cond, codon, aa, family, fold, ffold, indep, coalesce(element_at(ns, codon), 0) AS n
-  FROM (SELECT g.gene, g.sample_id, g.genome, g.cond, map_from_entries(coalesce(c.es, array())) AS ns FROM genes g LEFT JOIN (SELECT gene, collect_list(struct(codon, n)) AS es FROM cl GROUP BY gene) c ON c.gene = g.gene) x
-  CROSS JOIN (SELECT * FROM codon_dim WHERE sense) d""")
+on_spark("grid_rs", f"""SELECT x.gene, x.sample_id, x.genome, x.cond, d.codon, d.aa, d.family, d.fold, d.ffold, d.indep, CASE WHEN x.gene IS NULL THEN 0L ELSE x.n END AS n, x.rscu
+  FROM (SELECT g.gene, g.sample_id, g.genome, g.cond, {CODON}[t.k] AS codon, t.n, g.rs[t.k] AS rscu FROM gene_ns g LATERAL VIEW explode(g.lengths) s AS length LATERAL VIEW posexplode(g.ns) t AS k, n) x JOIN codon_dim d ON d.codon = x.codon AND d.sense""")
+on_spark("grid", "SELECT gene, sample_id, genome, cond, codon, aa, family, fold, ffold, indep, n FROM grid_rs")
 relation("rscu", "SELECT *, CAST(n * ffold AS DOUBLE) / nullif(sum(n) OVER (PARTITION BY gene, family), 0) AS rscu FROM grid")
+on_spark("rscu", "SELECT * FROM grid_rs")
 relation("refset", "SELECT DISTINCT doc_id AS gene FROM labels WHERE quality = 1")
 relation("goi", "SELECT DISTINCT doc_id AS gene FROM labels WHERE toxic = 1")
 relation("member", "SELECT 'all' AS gene_set, gene FROM genes UNION ALL SELECT 'reference' AS gene_set, gene FROM refset")
@@ -36,9 +42,13 @@ relation("cai", """SELECT c.gene, c.sample_id, c.genome, c.cond, exp(sum(c.n * l
   FROM cl c JOIN w_ref w USING (codon) GROUP BY c.gene, c.sample_id, c.genome, c.cond""")
 relation("freq", """SELECT gene_set, codon, CAST(n AS DOUBLE) / nullif(sum(n) OVER (PARTITION BY gene_set, aa), 0) AS f FROM set_rscu WHERE sense""")
 relation("aa_n", "SELECT gene, aa, fold, codon, n, sum(n) OVER (PARTITION BY gene, aa) AS n_aa, sum(n) OVER (PARTITION BY gene) AS total FROM grid")
-relation("milc", """SELECT a.gene, f.gene_set, sum(CASE WHEN a.n > 0 AND f.f > 0 THEN 2e0 * a.n * ln(a.n / (a.n_aa * f.f)) ELSE 0e0 END) / max(a.total)
+on_spark("aa_n", f"""SELECT x.gene, d.aa, d.fold, d.codon, CASE WHEN x.gene IS NULL THEN 0L ELSE x.n END AS n, x.n_aa, x.total, x.present
+  FROM (SELECT g.gene, {CODON}[t.k] AS codon, t.n, g.n_aa[t.k] AS n_aa, g.total, g.present FROM gene_ns g LATERAL VIEW explode(g.lengths) s AS length LATERAL VIEW posexplode(g.ns) t AS k, n) x JOIN codon_dim d ON d.codon = x.codon AND d.sense""")
+MILC = """SELECT a.gene, f.gene_set, sum(CASE WHEN a.n > 0 AND f.f > 0 THEN 2e0 * a.n * ln(a.n / (a.n_aa * f.f)) ELSE 0e0 END) / max(a.total)
   - ((sum(CASE WHEN a.n > 0 THEN 1e0 ELSE 0e0 END) - count(DISTINCT CASE WHEN a.n > 0 THEN a.aa END)) / max(a.total) - 5e-1) AS milc
-  FROM aa_n a JOIN freq f USING (codon) WHERE a.total > 0 GROUP BY a.gene, f.gene_set""", kept=True)
+  FROM aa_n a JOIN freq f USING (codon) WHERE a.total > 0 GROUP BY a.gene, f.gene_set"""
+relation("milc", MILC, kept=True)
+on_spark("milc", MILC.replace("count(DISTINCT CASE WHEN a.n > 0 THEN a.aa END)", "max(a.present)"))
 relation("melp", "SELECT a.gene, a.milc AS milc_all, r.milc AS milc_ref, a.milc / nullif(r.milc, 0) AS melp FROM milc a JOIN milc r ON r.gene = a.gene AND r.gene_set = 'reference' WHERE a.gene_set = 'all'")
 relation("encp_aa", """SELECT gene, aa, fold, (n_aa + x2 - fold) / (fold * (n_aa - 1e0)) AS f FROM (SELECT a.gene, a.aa, a.fold, max(a.n_aa) AS n_aa,
   sum(CASE WHEN f.f > 0 THEN a.n_aa * pow(CAST(a.n AS DOUBLE) / a.n_aa - f.f, 2) / f.f ELSE 0e0 END) AS x2 FROM aa_n a JOIN freq f ON f.codon = a.codon AND f.gene_set = 'all' WHERE a.n_aa > 1 GROUP BY a.gene, a.aa, a.fold) x""")
