@@ -22,6 +22,8 @@ from synonymy.plans.relations import Run, needs, on_spark
 
 #: Places of one packed array, and resamples of a permutation test or an interval.
 CHUNK, PERMUTATIONS, BOOTS, INTERVALS = 65_536, 1000, 500, 1000
+#: Rows that a genome's genes are packed into.
+PARTS = 64
 
 
 def packed(rows: DataFrame, by: list[str], place: str, *columns: str) -> DataFrame:
@@ -142,5 +144,53 @@ def sample_null_es(run: Run) -> DataFrame:
     return genes.groupBy("sample_id", "block").cogroup(sizes.groupBy("sample_id", "block")).applyInPandas(draw, "sample_id string, i long, drawn long, size long, es double")
 
 
-for form in (null_es, goi_values, goi_boot_test, ref_means, sample_null_es):
+def steps(x: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Distances of neighbours in an order of columns, summed row by row as the SQL does."""
+    out = np.zeros(max(len(order) - 1, 0))
+    for values in x:
+        step = np.diff(values[order])
+        step *= step
+        out += step
+    return np.sqrt(out)
+
+
+def shuffled(i: int, gene: np.ndarray) -> np.ndarray:
+    """The places of the genes in the order of md5(i || '-' || gene)."""
+    first, last = md5_words(f"{i}-", gene)
+    order = np.argsort(first)
+    return order if (np.diff(first[order]) > 0).all() else np.lexsort((gene, last, first))
+
+
+@needs("gene_vector", "near_distance")
+def null_share(run: Run) -> DataFrame:
+    """genome, d, seen, p: for each distance between neighbours the share of distances in random orders of the genome's genes that are no greater.
+
+    A task counts the distances of its orders among those between neighbours, so none of them is a row.
+    """
+    blocks = 16
+    part = lambda key: F.pmod(F.xxhash64(key), F.lit(PARTS)).alias("chunk_")
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        gene, x, d = (joined(rows, c) for c in ("gene", "xs", "d"))
+        d = np.sort(d)
+        if len(gene) < 2 or not len(d):
+            return pd.DataFrame({"genome": [], "chunk_": [], "d": [], "below": [], "n": []})
+        x = np.ascontiguousarray(x.reshape(len(gene), -1).T)
+        # A distance is rounded to nine digits, half up, before it is compared.
+        gene, bounds, below, orders = gene.astype(np.int64), d + 5e-10, np.zeros(len(d), np.int64), range(int(rows.block.iloc[0]), PERMUTATIONS, blocks)
+        for i in orders:
+            below += np.searchsorted(np.sort(steps(x, shuffled(i, gene))), bounds)
+        at = range(0, len(d), CHUNK)
+        return pd.DataFrame({"genome": rows.genome.iloc[0], "chunk_": [k // CHUNK for k in at], "d": [d[k : k + CHUNK] for k in at], "below": [below[k : k + CHUNK] for k in at], "n": (len(gene) - 1) * len(orders)})
+
+    genes = run("gene_vector").where("gene IS NOT NULL").groupBy("genome", part("gene")).agg(F.collect_list(F.struct("gene", "xs")).alias("r"))
+    near = run("near_distance").select("genome", "d").distinct().groupBy("genome", part("d")).agg(F.collect_list("d").alias("d"))
+    none = lambda kind: F.expr(f"cast(array() as array<{kind}>)")
+    both = genes.select("genome", "chunk_", F.col("r.gene").alias("gene"), F.flatten("r.xs").alias("xs"), none("double").alias("d")).unionByName(near.select("genome", "chunk_", none("bigint").alias("gene"), none("double").alias("xs"), "d"))
+    counts = dealt(both, blocks, 20 * blocks, "genome").groupBy("genome", "block").applyInPandas(count, "genome string, chunk_ long, d array<double>, below array<long>, n long")
+    each = counts.select("genome", "n", F.explode(F.arrays_zip("d", "below")).alias("e")).groupBy("genome", F.col("e.d").alias("d")).agg(F.sum("e.below").alias("c"), F.sum("n").alias("n"))
+    return each.select("genome", "d", F.lit(1).alias("seen"), ((1 + F.col("c")) / (1 + F.col("n"))).alias("p"))
+
+
+for form in (null_es, goi_values, goi_boot_test, ref_means, sample_null_es, null_share):
     on_spark(form.__name__, form)

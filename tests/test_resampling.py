@@ -64,3 +64,12 @@ def test_words_below_a_bound():
 def test_draws_take_no_row_for_each_word(spark):
     plan = relations.Run(spark, SF)._fresh("drawn")._jdf.queryExecution().toString()
     assert "words_below" in plan
+
+
+def test_shares_of_random_neighbours_are_those_of_the_sql(spark, monkeypatch):
+    run = relations.Run(spark, SF)
+    got = run._fresh("null_share")
+    assert "md5" not in got._jdf.queryExecution().toString()  # no row for each order
+    monkeypatch.delitem(relations.SPARK, "null_share")
+    want = run._fresh("null_share").where("seen = 1")
+    same(got, want, ["genome", "d"], ["p"])
