@@ -27,6 +27,8 @@ from synonymy.plans.relations import KEPT, Run, needs, on_spark, spark_query
 from synonymy.sources.shared import new_folder, written
 
 REPLICATES, BAGGED, SPLITS, RESAMPLE = 100, 200, 100, 50_000
+#: Rows that are held against all fits at once.
+JUDGED = 1000
 #: In how many resamples a core gene is a member; weights of overlap, core frequency and cosine in the composite score.
 CORE, WEIGHTS = 0.5, (0.4, 0.3, 0.3)
 #: Mean overlap from which a sub-cluster counts as stable, and below which it is dissolved.
@@ -106,6 +108,16 @@ def coordinates(run: Run) -> DataFrame:
     return rows.join(run("refset").withColumn("is_ref", F.lit(True)), "gene", "left").withColumn("is_ref", F.coalesce("is_ref", F.lit(False)))
 
 
+def judged(batches: Iterator[pd.DataFrame], centres: np.ndarray, covariances: np.ndarray, bounds: np.ndarray) -> Iterator[pd.DataFrame]:
+    """Rows (gene, is_ref, zs, out) under each fit, ``JUDGED`` at a time: one of them costs some kilobytes for each hundred fits."""
+    for whole in batches:
+        for at in range(0, len(whole), JUDGED):
+            b = whole.iloc[at : at + JUDGED]
+            inside = (np.sqrt(squared(np.stack(b.zs.to_numpy()), centres, covariances)) <= bounds).T.astype(float)
+            tested = np.stack(b.out.to_numpy()).astype(float)
+            yield pd.DataFrame({"gene": b.gene.to_numpy(), "is_ref": b.is_ref.to_numpy(), "inside": list(inside), "tested": list(tested), "recovered": list(inside * tested)})
+
+
 @needs("gene_coordinates")
 def replicates(run: Run) -> DataFrame:
     """gene, is_ref, inside, tested, recovered: in which resamples a gene is a member, and for reference genes which left it out, and found it again."""
@@ -121,16 +133,8 @@ def replicates(run: Run) -> DataFrame:
     centres = np.array([r["centre"] for r in fits])
     covariances = np.array([r["covariance"] for r in fits]).reshape(len(fits), centres.shape[1], -1)
     bounds = np.array([r["boundary"] for r in fits])[:, None]
-
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
-                inside = (np.sqrt(squared(np.stack(b.zs.to_numpy()), centres, covariances)) <= bounds).T.astype(float)
-                tested = np.stack(b.out.to_numpy()).astype(float)
-                yield pd.DataFrame({"gene": b.gene, "is_ref": b.is_ref, "inside": inside.tolist(), "tested": tested.tolist(), "recovered": (inside * tested).tolist()})
-
     left_out = F.transform(F.array(*map(F.lit, numbers)), lambda i: (F.col("is_ref") & (times(i, min(1.0, RESAMPLE / n)) == 0)).cast("int"))
-    return rows.withColumn("out", left_out).mapInPandas(judge, schema)
+    return rows.withColumn("out", left_out).mapInPandas(lambda batches: judged(batches, centres, covariances, bounds), schema)
 
 
 def _sums(rows: DataFrame, *columns: str) -> list[np.ndarray]:

@@ -2,8 +2,10 @@
 
 import hashlib
 import math
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,3 +134,20 @@ def test_bagged_resamples_are_each_fitted_in_a_task(spark, monkeypatch):
     refs = spark.createDataFrame([(g, [float(g % 7), float(g % 11)]) for g in range(60)], "gene long, zs array<double>")
     assert len(stability.bagged(refs, 60, 3)[2]) == 3
     assert limits[0] > stability.RESAMPLE + 20 * math.sqrt(stability.RESAMPLE)
+
+
+def test_genes_are_judged_in_bounded_memory():
+    rng = np.random.default_rng(3)
+    n, k = 10_000, 100
+    centres, covariances, bounds = rng.normal(size=(k, 8)), np.tile(np.eye(8), (k, 1, 1)), np.full((k, 1), 3.0)
+    x, out = rng.normal(size=(n, 8)), rng.integers(0, 2, (n, k))
+    rows = pd.DataFrame({"gene": np.arange(n), "is_ref": True, "zs": list(x), "out": list(out)})
+    tracemalloc.start()
+    seen = 0
+    for got in stability.judged(iter([rows]), centres, covariances, bounds):
+        want = np.linalg.norm(x[got.gene.to_numpy()][:, None] - centres, axis=2) <= 3.0
+        assert (np.stack(got.inside) == want).all() and (np.stack(got.recovered) == want * out[got.gene.to_numpy()]).all()
+        seen += len(got)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == n and peak < 40e6  # all rows at once: over 200 MB
