@@ -150,4 +150,4 @@ def test_genes_are_judged_in_bounded_memory():
         seen += len(got)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert seen == n and peak < 40e6  # all rows at once: over 200 MB
+    assert seen == n and peak < 40e6
