@@ -16,9 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from synonymy.functions.digests import md5_words
+from synonymy.llm.common import column
 from synonymy.operators.density import CORE_LEAST, densities
 from synonymy.operators.moments import apart, chi_square_quantile, moments
 from synonymy.operators.multivariate import Ordination, _distances
@@ -50,17 +53,27 @@ def _steps(mean: float) -> list[float]:
     return out
 
 
-def times(replicate: Column, mean: float) -> Column:
-    """How often a resample draws the gene of column ``gene``."""
-    u = (F.conv(F.substring(F.md5(F.concat_ws("-", replicate.cast("string"), "gene")), 1, 13), 16, 10).cast("double") + 0.5) / float(16**13)
-    return sum((F.when(u > x, 1).otherwise(0) for x in _steps(mean)), F.lit(0))
+def draws(replicate: int, genes: np.ndarray, mean: float) -> np.ndarray:
+    """How often a resample draws each of these genes: by the first 13 digits of md5(replicate-gene)."""
+    u = ((md5_words(f"{replicate}-", genes)[0] >> np.uint64(12)).astype(float) + 0.5) / float(16**13)
+    return np.searchsorted(_steps(mean), u).astype(np.int32)
 
 
 def resampled(rows: DataFrame, replicates: int, n: int, *columns: str) -> DataFrame:
     """grp, times and the columns of the rows (gene, ...) that each resample draws."""
-    every = rows.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    drawn = every.withColumn("times", times(F.col("replicate"), min(1.0, RESAMPLE / max(n, 1)))).where("times > 0")
-    return drawn.select(F.col("replicate").cast("string").alias("grp"), "times", *columns)
+    mean = min(1.0, RESAMPLE / max(n, 1))
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            genes = column(b, "gene").to_numpy(zero_copy_only=False)
+            for i in range(replicates):
+                drawn = draws(i, genes, mean)
+                at = np.flatnonzero(drawn)
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.repeat(str(i), len(at)), pa.array(drawn[at]), *[column(b, c).take(pa.array(at)) for c in columns]], names=["grp", "times", *columns])
+
+    kinds = dict(rows.dtypes)
+    return rows.select(*dict.fromkeys(["gene", *columns])).mapInArrow(draw, ", ".join(["grp string", "times int", *[f"{c} {kinds[c]}" for c in columns]]))
 
 
 def gap(distances: np.ndarray, axes: int) -> float:
@@ -127,14 +140,22 @@ def replicates(run: Run) -> DataFrame:
     n = refs.count()
     if n < 4:
         return run.spark.createDataFrame([], schema)
-    fits = resampled(refs, REPLICATES, n, "gene", "zs").groupBy("grp").applyInPandas(_fit_replicate, FITS).collect()  # a row for each resample
-    fits = sorted(fits, key=lambda r: int(r["grp"]))
+    drawn = resampled(refs, REPLICATES, n, "gene", "zs").repartition(REPLICATES, "grp")  # up to RESAMPLE rows a resample, however many a shuffle's target size would put together
+    fits = sorted(drawn.groupBy("grp").applyInPandas(_fit_replicate, FITS).collect(), key=lambda r: int(r["grp"]))  # a row for each resample
     numbers = [int(r["grp"]) for r in fits]
     centres = np.array([r["centre"] for r in fits])
     covariances = np.array([r["covariance"] for r in fits]).reshape(len(fits), centres.shape[1], -1)
-    bounds = np.array([r["boundary"] for r in fits])[:, None]
-    left_out = F.transform(F.array(*map(F.lit, numbers)), lambda i: (F.col("is_ref") & (times(i, min(1.0, RESAMPLE / n)) == 0)).cast("int"))
-    return rows.withColumn("out", left_out).mapInPandas(lambda batches: judged(batches, centres, covariances, bounds), schema)
+    bounds, mean = np.array([r["boundary"] for r in fits])[:, None], min(1.0, RESAMPLE / n)
+
+    def left_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out, ref = np.zeros((len(b), len(numbers)), bool), b.is_ref.to_numpy()
+            genes = b.gene.to_numpy()[ref].astype(np.int64)
+            for k, i in enumerate(numbers):
+                out[ref, k] = draws(i, genes, mean) == 0
+            yield b.assign(out=list(out))
+
+    return rows.mapInPandas(lambda batches: judged(left_out(batches), centres, covariances, bounds), schema)
 
 
 def _sums(rows: DataFrame, *columns: str) -> list[np.ndarray]:

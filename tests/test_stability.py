@@ -151,3 +151,12 @@ def test_genes_are_judged_in_bounded_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert seen == n and peak < 40e6
+
+
+def test_draws_are_hashed_once_in_arrays(spark):
+    """What a resample leaves out is known where the genes are: no md5 of a row in the plan, and no draw is hashed again for each step of the count."""
+    rows = spark.createDataFrame([(g,) for g in (-5, 0, 7, 10**15 + 1)], "gene long")
+    plan = stability.resampled(rows, 3, 4, "gene")._jdf.queryExecution().executedPlan().toString()
+    assert "md5" not in plan and "MapInArrow" in plan
+    for mean in (1.0, 0.2):
+        assert stability.draws(2, np.array([-5, 0, 7, 10**15 + 1]), mean).tolist() == [drawn(2, g, mean) for g in (-5, 0, 7, 10**15 + 1)]
