@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from synonymy.operators.moments import apart as _apart
 from synonymy.operators.moments import moments
-from synonymy.operators.multivariate import COVERED, Ordination, _distances, _robust
+from synonymy.operators.multivariate import COVERED, Ordination, _distances, _robust, fit_of_reference
 from synonymy.plans.relations import KEPT, Run, needs, on_spark, spark_query
 
 GRID, SEEDS, LEVEL = 200, 0.30, 0.5
@@ -109,11 +109,10 @@ def _coordinates(run: Run) -> tuple[Ordination, DataFrame | None]:
     o = Ordination(run)
     if not o.axes:
         return o, None
-    rows = o.coordinates(run, o.chosen()).join(run("refset").withColumn("is_ref", F.lit(True)), "gene", "left").withColumn("is_ref", F.coalesce("is_ref", F.lit(False)))
-    return o, rows.select("gene", "zs", "is_ref")
+    return o, run("gene_coordinates").select("gene", "zs", "is_ref")
 
 
-@needs("gene_codons", "refset")
+@needs("gene_codons", "gene_coordinates")
 def dense_core(run: Run) -> DataFrame:
     """gene, density, in_core: the reference genes where they stand densest, at or above their median density; all of them for fewer than 8."""
     o, rows = _coordinates(run)
@@ -136,7 +135,7 @@ def _near(rows: DataFrame, peak: np.ndarray) -> tuple[DataFrame, float]:
     return out, out.agg(F.percentile("off", F.lit(SEEDS))).first()[0]
 
 
-@needs("gene_codons", "refset")
+@needs("gene_codons", "gene_coordinates")
 def density_peaks(run: Run) -> DataFrame:
     """peak, axis1, axis2, density, n_seed: peaks of all genes' density, each with the genes within the radius that holds 30 % of all."""
     o, rows = _coordinates(run)
@@ -148,7 +147,7 @@ def density_peaks(run: Run) -> DataFrame:
     return run.spark.createDataFrame(out, "peak int, axis1 double, axis2 double, density double, n_seed long")
 
 
-@needs("gene_codons", "refset", "membership")
+@needs("gene_codons", "gene_coordinates", "reference_fit", "membership")
 def dual_anchor(run: Run) -> DataFrame:
     """gene, distance, threshold, membership, rp_membership, category: membership in the cluster around the main peak, and in which of both clusters a gene is."""
     schema = "gene long, distance double, threshold double, membership double, rp_membership double, category string, spread double, apart double"
@@ -158,7 +157,7 @@ def dual_anchor(run: Run) -> DataFrame:
         return run.spark.createDataFrame([], schema)
     near, radius = _near(rows, field.peaks()[0][0])
     axes = o.chosen()
-    fitted, reference = _robust(near.where(F.col("off") <= radius), axes), _robust(rows.where("is_ref"), axes)
+    fitted, reference = _robust(near.where(F.col("off") <= radius), axes), fit_of_reference(run)
     if fitted is None or reference is None:
         return run.spark.createDataFrame([], schema)
     apart = float(np.linalg.norm(fitted[0] - reference[0]))

@@ -113,11 +113,11 @@ def _fit_replicate(b: pd.DataFrame) -> pd.DataFrame:
 
 @needs("gene_codons", "refset")
 def coordinates(run: Run) -> DataFrame:
-    """gene, zs, is_ref: all genes on the chosen axes; none without 10 genes."""
+    """gene, sample_id, genome, cond, zs, is_ref: all genes on the chosen axes; none without 10 genes."""
     o = Ordination(run)
     if not o.axes:
-        return run.spark.createDataFrame([], "gene long, zs array<double>, is_ref boolean")
-    rows = o.coordinates(run, o.chosen()).select("gene", "zs")
+        return run.spark.createDataFrame([], "gene long, sample_id string, genome string, cond string, zs array<double>, is_ref boolean")
+    rows = o.coordinates(run, o.chosen())
     return rows.join(run("refset").withColumn("is_ref", F.lit(True)), "gene", "left").withColumn("is_ref", F.coalesce("is_ref", F.lit(False)))
 
 
@@ -135,7 +135,7 @@ def judged(batches: Iterator[pd.DataFrame], centres: np.ndarray, covariances: np
 def replicates(run: Run) -> DataFrame:
     """gene, is_ref, inside, tested, recovered: in which resamples a gene is a member, and for reference genes which left it out, and found it again."""
     schema = "gene long, is_ref boolean, inside array<double>, tested array<double>, recovered array<double>"
-    rows = run("gene_coordinates")
+    rows = run("gene_coordinates").select("gene", "zs", "is_ref")
     refs = rows.where("is_ref").select("gene", "zs")
     n = refs.count()
     if n < 4:
