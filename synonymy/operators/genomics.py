@@ -31,8 +31,12 @@ query("mv03_rscu_distance", """SELECT r.gene, round(sqrt(sum(pow(r.rscu - s.rscu
   WHERE r.rscu IS NOT NULL AND s.rscu IS NOT NULL GROUP BY r.gene HAVING count(*) = 59""")
 relation("gene_clr", "SELECT gene, codon, ln(greatest(coalesce(rscu, 0e0), 1e-6)) - avg(ln(greatest(coalesce(rscu, 0e0), 1e-6))) OVER (PARTITION BY gene) AS x FROM rscu WHERE indep")
 on_spark("gene_clrs", "SELECT gene, aggregate(ls, 0e0, (a, l) -> a + l, a -> transform(ls, l -> l - a / size(ls))) AS xs FROM (SELECT gene, transform(ind, x -> ln(greatest(coalesce(x, 0e0), 1e-6))) AS ls FROM gene_codons) y")
-on_spark("gene_clr", f"SELECT g.gene, array({', '.join(repr(r[0]) for r in codon_rows() if r[7])})[t.k] AS codon, t.x FROM gene_clrs g LATERAL VIEW posexplode(g.xs) t AS k, x")
+INDEP = [r[0] for r in codon_rows() if r[7]]
+on_spark("indep_place", f"SELECT * FROM (VALUES {', '.join(f'({c!r}, {k})' for k, c in enumerate(INDEP))}) AS t(codon, k)")
+on_spark("gene_clr", "SELECT /*+ BROADCAST(d) */ g.gene, d.codon, g.xs[d.k] AS x FROM gene_clrs g CROSS JOIN indep_place d")
 relation("set_clr", "SELECT gene_set, s.codon, ln(greatest(coalesce(rscu, 0e0), 1e-6)) - avg(ln(greatest(coalesce(rscu, 0e0), 1e-6))) OVER (PARTITION BY gene_set) AS x FROM set_rscu s JOIN (SELECT codon FROM codon_dim WHERE indep) d ON d.codon = s.codon")
+# Without a join its size is known to be small, so it is the side that is broadcast.
+on_spark("set_clr", f"SELECT gene_set, codon, ln(greatest(coalesce(rscu, 0e0), 1e-6)) - avg(ln(greatest(coalesce(rscu, 0e0), 1e-6))) OVER (PARTITION BY gene_set) AS x FROM set_rscu WHERE codon IN ({', '.join(map(repr, INDEP))})")
 query("sf05_aitchison", "SELECT g.gene, round(sqrt(sum(pow(g.x - s.x, 2))), 6) AS aitchison FROM gene_clr g JOIN set_clr s ON s.codon = g.codon AND s.gene_set = 'reference' GROUP BY g.gene")
 query("sg01_gene_signature", "SELECT g.gene, g.codon, round(g.x - s.x, 6) AS delta_clr FROM gene_clr g JOIN set_clr s ON s.codon = g.codon AND s.gene_set = 'all'")
 query("sg02_genome_signature", "SELECT s.sample_id, s.codon, round(s.x - r.x, 6) AS delta_clr FROM clr s JOIN set_clr r ON r.codon = s.codon AND r.gene_set = 'reference'")

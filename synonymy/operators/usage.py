@@ -9,7 +9,9 @@ CODON = f"array({', '.join(repr(r[0]) for r in codon_rows())})"
 relation("genes", "SELECT DISTINCT gene, sample_id, genome, cond, length FROM cds")
 on_spark("genes", "SELECT gene, sample_id, genome, cond, length FROM gene_ns g LATERAL VIEW explode(g.lengths) t AS length")
 relation("cl", "SELECT gene, sample_id, genome, cond, codon, count(*) AS n FROM codon_pos JOIN codon_dim USING (codon) GROUP BY gene, sample_id, genome, cond, codon")
-on_spark("cl", f"SELECT g.gene, g.sample_id, g.genome, g.cond, {CODON}[t.k] AS codon, t.n FROM gene_ns g LATERAL VIEW posexplode(g.ns) t AS k, n WHERE t.n > 0")
+# A row for each place is made by a join: Spark takes exploded arrays to be no larger than the compressed files they are in, and would send these rows to all workers through the driver.
+on_spark("codon_place", f"SELECT * FROM (VALUES {', '.join(f'({r[0]!r}, {k})' for k, r in enumerate(codon_rows()))}) AS t(codon, k)")
+on_spark("cl", "SELECT /*+ BROADCAST(d) */ g.gene, g.sample_id, g.genome, g.cond, d.codon, g.ns[d.k] AS n FROM gene_ns g CROSS JOIN codon_place d WHERE g.ns[d.k] > 0")
 relation("grid", """SELECT g.gene, g.sample_id, g.genome, g.cond, d.codon, d.aa, d.family, d.fold, d.ffold, d.indep, coalesce(c.n, 0) AS n
   FROM genes g CROSS JOIN (SELECT * FROM codon_dim WHERE sense) d LEFT JOIN cl c ON c.gene = g.gene AND c.codon = d.codon""")
 on_spark("grid_rs", f"""SELECT x.gene, x.sample_id, x.genome, x.cond, d.codon, d.aa, d.family, d.fold, d.ffold, d.indep, CASE WHEN x.gene IS NULL THEN 0L ELSE x.n END AS n, x.rscu

@@ -147,3 +147,11 @@ def test_kruskal_wallis_of_any_groups(spark, monkeypatch, sizes):
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize("name, row_bytes", [("cl", 32), ("gene_clr", 32), ("set_clr", None)])
+def test_the_planner_knows_which_side_grows(spark, name, row_bytes):
+    """Spark broadcasts what it takes for small: rows made from arrays must not count as the compressed files they come from, and what has a row a codon must."""
+    rows = relations.Run(spark, "/root/testdata/sf0.01")(name)
+    taken = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert taken >= row_bytes * rows.count() if row_bytes else taken < 1_000_000
