@@ -5,8 +5,8 @@ state and a lost task draws the same again.  Each resample is fitted in one task
 core, the robust fit of that core and the gap in its own distances.  The fits, a few
 numbers each, then judge all genes where these are.
 
-A reference of more than ``RESAMPLE`` genes is resampled with that many draws (m out of
-n); all of its genes are still judged by every resample.
+A resample has as many draws as the reference has genes.  Where these are more than a task
+holds (``TASK_REFS``), resamples are fitted by passes of Spark over all of their rows.
 """
 
 from __future__ import annotations
@@ -19,10 +19,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from synonymy.functions.digests import md5_words
 from synonymy.llm.common import column
-from synonymy.operators.density import CORE_LEAST, densities
+from synonymy.operators.density import CORE_LEAST, GRID, densities, smoothed
 from synonymy.operators.moments import apart, chi_square_quantile, moments
 from synonymy.operators.multivariate import Ordination, _distances
 from synonymy.operators.robust import Fit, robust, squared, two_passes
@@ -30,6 +31,8 @@ from synonymy.plans.relations import KEPT, Run, needs, on_spark, spark_query
 from synonymy.sources.shared import new_folder, written
 
 REPLICATES, BAGGED, SPLITS, RESAMPLE = 100, 200, 100, 50_000
+#: Reference genes of which a task holds a resample; beyond, it is fitted by passes.
+TASK_REFS = 1_000_000
 #: Rows that are held against all fits at once.
 JUDGED = 1000
 #: In how many resamples a core gene is a member; weights of overlap, core frequency and cosine in the composite score.
@@ -59,23 +62,27 @@ def draws(replicate: int, genes: np.ndarray, mean: float) -> np.ndarray:
     return np.searchsorted(_steps(mean), u).astype(np.int32)
 
 
-def resampled(rows: DataFrame, replicates: int, n: int, *columns: str) -> DataFrame:
-    """grp, times and the columns of the rows (gene, ...) that each resample draws."""
-    mean = min(1.0, RESAMPLE / max(n, 1))
+def drawn(rows: DataFrame, replicates: int, *columns: str, mean: float = 1.0) -> DataFrame:
+    """grp, times and the columns of the rows (gene, ...) that each resample draws; ``mean`` 1: as many draws as there are rows."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             genes = column(b, "gene").to_numpy(zero_copy_only=False)
             for i in range(replicates):
-                drawn = draws(i, genes, mean)
-                at = np.flatnonzero(drawn)
+                times = draws(i, genes, mean)
+                at = np.flatnonzero(times)
                 if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.repeat(str(i), len(at)), pa.array(drawn[at]), *[column(b, c).take(pa.array(at)) for c in columns]], names=["grp", "times", *columns])
+                    yield pa.RecordBatch.from_arrays([pa.repeat(str(i), len(at)), pa.array(times[at]), *[column(b, c).take(pa.array(at)) for c in columns]], names=["grp", "times", *columns])
 
     kinds = dict(rows.dtypes)
     return rows.select(*dict.fromkeys(["gene", *columns])).mapInArrow(draw, ", ".join(["grp string", "times int", *[f"{c} {kinds[c]}" for c in columns]]))
 
 
+def resampled(rows: DataFrame, replicates: int, n: int, *columns: str) -> DataFrame:
+    """``drawn``, but of more than ``RESAMPLE`` rows that many draws: the sub-clusters' mixtures alone are resampled so."""
+    return drawn(rows, replicates, *columns, mean=min(1.0, RESAMPLE / max(n, 1)))
+
+
 def gap(distances: np.ndarray, axes: int) -> float:
     """Where sorted distances part: the rule of ``gap_boundary``."""
     lo, mid, hi, far, usual = (math.sqrt(chi_square_quantile(p, axes)) for p in (0.90, 0.99, 0.999, 0.99999, 0.95))
@@ -131,6 +138,53 @@ def judged(batches: Iterator[pd.DataFrame], centres: np.ndarray, covariances: np
             yield pd.DataFrame({"gene": b.gene.to_numpy(), "is_ref": b.is_ref.to_numpy(), "inside": list(inside), "tested": list(tested), "recovered": list(inside * tested)})
 
 
+def fits_by_passes(rows: DataFrame) -> list[dict]:
+    """``FITS`` of resamples (grp, zs) that no task holds: the steps of ``core_fit`` over all of their rows."""
+    rows = written(rows.select("grp", "zs"), new_folder(rows.sparkSession, "resamples"))
+    axes = rows.select(F.size("zs")).first()[0]
+    core = rows
+    if axes > 1:
+        plane = [F.col("zs")[k] for k in (0, 1)]
+        pad = [F.greatest((F.max(x) - F.min(x)) * 0.05, F.lit(1e-9)) for x in plane]
+        lines = [((F.min(x) - p).alias(f"low{k}"), ((F.max(x) - F.min(x) + 2 * p) / (GRID - 1)).alias(f"step{k}")) for k, (x, p) in enumerate(zip(plane, pad, strict=True))]
+        shape = [F.covar_samp(plane[i], plane[j]).alias(f"v{i}{j}") for i, j in ((0, 0), (0, 1), (1, 1))]
+        grids = rows.groupBy("grp").agg(*[c for pair in lines for c in pair], *shape)  # a row for each resample
+        at = [F.greatest(F.least(F.rint((x - F.col(f"low{k}")) / F.col(f"step{k}")), F.lit(GRID - 1)), F.lit(0)).cast("int").alias(f"c{k}") for k, x in enumerate(plane)]
+        placed = rows.join(F.broadcast(grids), "grp").select("grp", "zs", *at)
+        cells = placed.groupBy("grp", "c0", "c1").agg(F.count("*").alias("n")).join(F.broadcast(grids), "grp")
+
+        def dense(b: pd.DataFrame) -> pd.DataFrame:
+            """The cells at or above the median density of their resample's rows: GRID * GRID at most."""
+            n, i, j = b.n.to_numpy(), b.c0.to_numpy(), b.c1.to_numpy()
+            covariance = np.array([[b.v00.iloc[0], b.v01.iloc[0]], [b.v01.iloc[0], b.v11.iloc[0]]])
+            if np.linalg.matrix_rank(covariance) == 2:
+                counts = np.zeros((GRID, GRID))
+                counts[i, j] = n
+                values = smoothed(counts, covariance * n.sum() ** (-1 / 3), b[["step0", "step1"]].iloc[0].to_numpy(float), float(n.sum()))[i, j]
+                order = np.argsort(values)
+                ends = np.cumsum(n[order])
+                middle = values[order][np.searchsorted(ends, [(ends[-1] - 1) // 2, ends[-1] // 2], "right")].mean()
+                b = b[values >= middle]
+            return b[["grp", "c0", "c1"]]
+
+        core = placed.join(cells.groupBy("grp").applyInPandas(dense, "grp string, c0 int, c1 int"), ["grp", "c0", "c1"], "left_semi").select("grp", "zs")
+    fits = robust(core)
+
+    def distances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for grp, part in b.groupby("grp"):
+                yield pd.DataFrame({"grp": grp, "d": np.sqrt(squared(np.stack(part.zs.to_numpy()), fits[grp].centre[None], fits[grp].covariance[None])[0])})
+
+    # The rule of ``gap``; a resample's distances are sorted in a task, which may spill.
+    lo, mid, hi, far = (math.sqrt(chi_square_quantile(p, axes)) for p in (0.90, 0.99, 0.999, 0.99999))
+    widths = written(rows.mapInPandas(distances, "grp string, d double").withColumn("after", F.lead("d").over(Window.partitionBy("grp").orderBy("d"))), new_folder(rows.sparkSession, "gaps")).withColumn("width", F.col("after") - F.col("d"))
+    ends = widths.groupBy("grp").agg(F.percentile("width", F.lit(0.5)).alias("usual"), F.min("d").alias("least"), F.max("d").alias("most"))
+    parts = (F.col("d") >= lo) & ((F.col("d") <= hi) | (F.col("d") <= far) & (F.col("width") >= 3 * F.col("usual")))
+    widest = F.max_by((F.col("d") + F.col("after")) / 2, F.when(parts & F.col("width").isNotNull(), F.struct("width", -F.col("d"))))
+    bounds = widths.join(F.broadcast(ends), "grp").groupBy("grp").agg(F.coalesce(widest, F.least(F.greatest(F.lit(mid), F.first("least")), F.first("most"))).alias("boundary"))
+    return [{"grp": r["grp"], "centre": fits[r["grp"]].centre.tolist(), "covariance": fits[r["grp"]].covariance.ravel().tolist(), "boundary": r["boundary"]} for r in bounds.collect()]  # a row for each resample
+
+
 @needs("gene_coordinates")
 def replicates(run: Run) -> DataFrame:
     """gene, is_ref, inside, tested, recovered: in which resamples a gene is a member, and for reference genes which left it out, and found it again."""
@@ -140,19 +194,24 @@ def replicates(run: Run) -> DataFrame:
     n = refs.count()
     if n < 4:
         return run.spark.createDataFrame([], schema)
-    drawn = resampled(refs, REPLICATES, n, "gene", "zs").repartition(REPLICATES, "grp")  # up to RESAMPLE rows a resample, however many a shuffle's target size would put together
-    fits = sorted(drawn.groupBy("grp").applyInPandas(_fit_replicate, FITS).collect(), key=lambda r: int(r["grp"]))  # a row for each resample
+    every = drawn(refs, REPLICATES, "gene", "zs")
+    if n <= TASK_REFS:
+        every = every.repartition(REPLICATES, "grp")  # a resample or two a task, however many a shuffle's target size would put together
+        got = every.groupBy("grp").applyInPandas(_fit_replicate, FITS).collect()  # a row for each resample
+    else:
+        got = fits_by_passes(every)
+    fits = sorted(got, key=lambda r: int(r["grp"]))
     numbers = [int(r["grp"]) for r in fits]
     centres = np.array([r["centre"] for r in fits])
     covariances = np.array([r["covariance"] for r in fits]).reshape(len(fits), centres.shape[1], -1)
-    bounds, mean = np.array([r["boundary"] for r in fits])[:, None], min(1.0, RESAMPLE / n)
+    bounds = np.array([r["boundary"] for r in fits])[:, None]
 
     def left_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out, ref = np.zeros((len(b), len(numbers)), bool), b.is_ref.to_numpy()
             genes = b.gene.to_numpy()[ref].astype(np.int64)
             for k, i in enumerate(numbers):
-                out[ref, k] = draws(i, genes, mean) == 0
+                out[ref, k] = draws(i, genes, 1.0) == 0
             yield b.assign(out=list(out))
 
     return rows.mapInPandas(lambda batches: judged(left_out(batches), centres, covariances, bounds), schema)
@@ -219,9 +278,9 @@ def robust_reference(run: Run) -> DataFrame:
 
 def bagged(refs: DataFrame, n: int, count: int = BAGGED) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """(mean centre, mean covariance, all centres) of robust fits of resamples of (gene, zs)."""
-    drawn = resampled(refs, count, n, "zs").select("grp", "zs", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
-    # About RESAMPLE rows each, as often more as fewer: all are fitted in a task.
-    fits = [f for _, f in sorted(robust(drawn, task_rows=2 * RESAMPLE).items(), key=lambda x: int(x[0]))]
+    every = drawn(refs, count, "zs").select("grp", "zs", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+    # About n rows each, as often more as fewer: up to twice TASK_REFS are fitted in a task.
+    fits = [f for _, f in sorted(robust(every, task_rows=2 * TASK_REFS).items(), key=lambda x: int(x[0]))]
     if not fits:
         return None
     centres = np.stack([f.centre for f in fits])

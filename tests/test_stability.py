@@ -160,3 +160,39 @@ def test_draws_are_hashed_once_in_arrays(spark):
     assert "md5" not in plan and "MapInArrow" in plan
     for mean in (1.0, 0.2):
         assert stability.draws(2, np.array([-5, 0, 7, 10**15 + 1]), mean).tolist() == [drawn(2, g, mean) for g in (-5, 0, 7, 10**15 + 1)]
+
+
+def test_a_large_reference_is_resampled_whole(spark, monkeypatch):
+    """However many reference genes there are, a resample has as many draws: in the members' frequency and in the bagged estimate."""
+    monkeypatch.setattr(stability, "RESAMPLE", 20)
+    rows = cloud()
+    patched(monkeypatch, spark, "gene_coordinates", rows, "gene long, zs array<double>, is_ref boolean")
+    got = {r.gene: r for r in stability.replicates(relations.Run(spark, SF)).collect()}
+    assert all(got[g].tested[i] == (drawn(i, g) == 0) for g in range(60) for i in range(stability.REPLICATES))
+    refs = spark.createDataFrame([(g, z) for g, z, ref in rows if ref], "gene long, zs array<double>")
+    centre, _, every = stability.bagged(refs, 60, 4)
+    x = np.array([z for _, z, ref in rows if ref])
+    assert every == pytest.approx(np.stack([robust.two_passes(np.repeat(x, [drawn(i, g) for g in range(60)], axis=0)).centre for i in range(4)]))
+
+
+@pytest.mark.parametrize("axes", [2, 3])
+def test_resamples_by_passes_are_fitted_as_in_a_task(spark, axes):
+    """The steps over all rows end where those of a task do, and no row is left out."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, axes)) @ np.diag([3.0, 1.0, 2.0][:axes])
+    x[:12] += 9
+    rows = spark.createDataFrame([(str(i), r.tolist()) for i in range(2) for r in x[i * 20 :]], "grp string, zs array<double>")
+    got = {r["grp"]: r for r in stability.fits_by_passes(rows)}
+    for i in range(2):
+        fit, boundary = stability.core_fit(x[i * 20 :], np.ones(300 - i * 20, int))
+        assert got[str(i)]["centre"] == pytest.approx(fit.centre.tolist()) and got[str(i)]["covariance"] == pytest.approx(fit.covariance.ravel().tolist())
+        assert got[str(i)]["boundary"] == pytest.approx(boundary)
+
+
+def test_a_large_group_of_a_task_takes_the_steps_of_passes(monkeypatch):
+    x = np.random.default_rng(6).normal(size=(2000, 3)) @ np.diag([3.0, 1.0, 2.0])
+    x[:200] += 15
+    whole = robust.two_passes(x)
+    monkeypatch.setattr(robust, "TASK_ROWS", 1000)
+    large = robust.two_passes(x)
+    assert large.n == 2000 and large.outliers >= 200 and large.centre == pytest.approx(whole.centre, abs=0.05) and large.covariance == pytest.approx(whole.covariance, rel=0.1, abs=0.1)
